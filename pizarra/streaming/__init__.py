@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workloads this library covers are one-shot batch jobs: none of them
+reads a stream, keeps state between batches or handles late data, so this
+package holds no operators.  Every operator is a plain DataFrame function and
+can be applied to a micro-batch inside ``foreachBatch`` if needed.
+"""

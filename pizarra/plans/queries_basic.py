@@ -51,14 +51,18 @@ def q_roster_left_join(spark, sf):
     return jobs.scores_with_roster(spark, sf)
 
 
-@register("score_table", settle=["view", "click"], sql=Q.with_(Q.ACTIVITY, Q.ROSTER, _SCORES_SQL) + """
+_SCORE_TABLE_BODY = """
 SELECT CURID, IDNUMBER, "view", "click", DNI,
        CASE NIVEL_NEXUS WHEN 'AFRICA' THEN 1 WHEN 'AMERICA' THEN 2 WHEN 'ASIA' THEN 3 ELSE 4 END AS NIVEL_NEXUS,
        DESCRIPCION_CARGO, D_DPTO, coalesce(ESCALA_DIFODS, 0) AS ESCALA_DIFODS,
        CASE DAREACENSO WHEN 'Rural' THEN 1 ELSE 2 END AS DAREACENSO
 FROM scores s JOIN roster_n r ON s.IDNUMBER = r.DNI
 WHERE NIVEL_NEXUS IS NOT NULL AND DESCRIPCION_CARGO IS NOT NULL AND D_DPTO IS NOT NULL
-  AND DAREACENSO IS NOT NULL""")
+  AND DAREACENSO IS NOT NULL"""
+SCORE_TABLE_CTES = Q.with_(Q.ACTIVITY, Q.ROSTER, _SCORES_SQL) + ", score_table AS (" + _SCORE_TABLE_BODY + ")\n"
+
+
+@register("score_table", settle=["view", "click"], sql=Q.with_(Q.ACTIVITY, Q.ROSTER, _SCORES_SQL) + _SCORE_TABLE_BODY)
 def q_score_table(spark, sf):
     """J1 input: scores + traits, gaps dropped, level and area recoded."""
     return jobs.score_table(spark, sf)

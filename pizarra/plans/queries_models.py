@@ -1 +1,199 @@
-"""Named queries (filled in below)."""
+"""Named queries: the model jobs (drop-out, forecast, clustering, ratings)."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from pizarra.functions.scalar import recode
+from pizarra.operators import features, models, stats
+from pizarra.operators.clean import capped_per_class, fill_nulls, filter_ne_keep_nulls
+from pizarra.operators.ratings import ratings
+from pizarra.operators.recommend import neighbour_features
+from pizarra.operators.reshape import append, ordered_split
+from pizarra.plans import jobs
+from pizarra.plans.catalog import register
+from pizarra.session import scratch_path
+from pizarra.sources import io
+from pizarra.sources import standins as S
+
+# ---------------------------------------------------------------- J2 drop-out model
+
+DROPOUT_CATEGORICAL = ["ESCALA", "condicion_laboral", "DAREACENSO", "NIVEL_NEXUS"]
+DROPOUT_NUMERIC = ["Porc_act_realizada", "PORC_DIAS", "NOTA"]
+
+
+def dropout_frame(spark, sf):
+    """Prepared cohort without the excluded status; target 1 = did not finish."""
+    c = filter_ne_keep_nulls(jobs.cohort_prepared(spark, sf), "CUMPLIMIENTO", jobs.EXCLUDED_STATUS)
+    c = fill_nulls(c, {"PORC_DIAS": 0.0})
+    return c.withColumn("target", recode("CUMPLIMIENTO", {"CULMINARON": 0}, 1).cast("double"))
+
+
+def _dropout_split(spark, sf):
+    d = features.hash_split(dropout_frame(spark, sf), ["USUARIO"], 0.8, seed=123)
+    return d.filter("is_train"), d.filter(~F.col("is_train"))
+
+
+def _dropout_model(train):
+    n = train.count()
+    return models.logistic_pipeline(DROPOUT_CATEGORICAL, DROPOUT_NUMERIC, "target", n).fit(train)
+
+
+@register("dropout_scores")
+def q_dropout_scores(spark, sf):
+    """Logistic regression (L2, C=1) fitted on 80 %, scores for the other 20 %."""
+    train, test = _dropout_split(spark, sf)
+    scored = models.positive_probability(_dropout_model(train).transform(test))
+    return scored.select("USUARIO", "target", F.col("prediction"), "p1")
+
+
+@register("dropout_report")
+def q_dropout_report(spark, sf):
+    """Hold-out classification report of the drop-out model (truth, prediction)."""
+    train, test = _dropout_split(spark, sf)
+    scored = _dropout_model(train).transform(test)
+    return stats.class_report(scored, "target", "prediction", positive=1.0).join(
+        stats.confusion(scored, "target", "prediction", positive=1.0))
+
+
+@register("dropout_gbt")
+def q_dropout_gbt(spark, sf):
+    """Boosted-tree classifier (100 trees) on the same features and split."""
+    train, test = _dropout_split(spark, sf)
+    model = models.gbt_classifier_pipeline(DROPOUT_CATEGORICAL, DROPOUT_NUMERIC, "target").fit(train)
+    scored = models.positive_probability(model.transform(test))
+    return scored.select("USUARIO", "target", "prediction", "p1")
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """Fitted drop-out pipeline saved to the shared folder, loaded back and applied."""
+    train, test = _dropout_split(spark, sf)
+    path = scratch_path(spark, "model")
+    io.save_model(_dropout_model(train), path)
+    loaded = io.load_model(path)
+    return models.positive_probability(loaded.transform(test)).select("USUARIO", "target", "prediction", "p1")
+
+
+# ---------------------------------------------------------------- J3 pass/fail forecast
+
+FORECAST_STRINGS = ["o_orderpriority", "c_mktsegment", "n_name", "r_name"]
+FORECAST_NUMBERS = ["o_totalprice", "c_acctbal", "month"]
+PER_CLASS_CAP = 100_000
+
+
+def forecast_frame(spark, sf):
+    """Training extract: at most 100 000 rows per outcome class, ordered by id."""
+    od = S.table(spark, sf, "orders")
+    cust = S.table(spark, sf, "customer")
+    nation = S.table(spark, sf, "nation")
+    region = S.table(spark, sf, "region")
+    base = (od.join(cust, od.o_custkey == cust.c_custkey)
+            .join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
+            .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+            .select("o_orderkey", "o_orderpriority", "c_mktsegment", "n_name", "r_name", "o_totalprice",
+                    "c_acctbal", F.month("o_orderdate").cast("double").alias("month"),
+                    F.when(F.col("o_orderstatus") == "F", "EXITOSO").otherwise("NO EXITOSO").alias("RENDIMIENTO")))
+    ok = capped_per_class(base.filter(F.col("RENDIMIENTO") == "EXITOSO"), "RENDIMIENTO", PER_CLASS_CAP, ["o_orderkey"])
+    ko = capped_per_class(base.filter(F.col("RENDIMIENTO") == "NO EXITOSO"), "RENDIMIENTO", PER_CLASS_CAP,
+                          ["o_orderkey"])
+    return append(ok, ko).withColumn("label", (F.col("RENDIMIENTO") == "NO EXITOSO").cast("double"))
+
+
+@register("mlp_scores")
+def q_mlp_scores(spark, sf):
+    """Perceptron (100, 100 hidden, 300 iterations): label-encoded text and
+    min-max scaled numbers, encoders fitted on the stratified 80 %."""
+    d = features.hash_split(forecast_frame(spark, sf), ["o_orderkey"], 0.8, seed=123, stratify="label")
+    train, test = d.filter("is_train"), d.filter(~F.col("is_train"))
+    enc = features.fit_labels(train, FORECAST_STRINGS)
+    scal = features.fit_min_max(train, FORECAST_NUMBERS)
+    cols = [f"{c}_code" for c in FORECAST_STRINGS] + FORECAST_NUMBERS
+
+    def prep(df):
+        df = scal.transform(enc.transform(df))
+        df = fill_nulls(df, {f"{x}_code": -1 for x in FORECAST_STRINGS})
+        return models.vectors(df, cols)
+
+    mlp = models.mlp_pipeline(len(cols), "label").fit(prep(train))
+    scored = mlp.transform(prep(test))
+    return scored.select("o_orderkey", "label", "prediction",
+                         vector_to_array("probability")[1].alias("p1"))
+
+
+# ---------------------------------------------------------------- J1 clustering
+
+
+def _scaled_scores(spark, sf):
+    t = jobs.score_table(spark, sf)
+    return features.standardise(t, ["view", "click"], suffix="_z")
+
+
+@register("kmeans_scores")
+def q_kmeans_scores(spark, sf):
+    """k-means (k=3) on the standardised entry/exit scores, labels 1..3."""
+    data = models.vectors(_scaled_scores(spark, sf), ["view_z", "click_z"])
+    _, scored = models.kmeans_labels(data, 3, seed=1)
+    return scored.select("CURID", "IDNUMBER", "view", "click", "clusters")
+
+
+@register("cluster_profile")
+def q_cluster_profile(spark, sf):
+    """Teachers per k-means cluster (k=4), with the two quality indices."""
+    data = models.vectors(_scaled_scores(spark, sf), ["view_z", "click_z"])
+    _, scored = models.kmeans_labels(data, 4, seed=1)
+    scored = scored.withColumn("_arr", vector_to_array("features")).cache()
+    db = stats.davies_bouldin(scored, "_arr", "clusters").first()["davies_bouldin"]
+    sil = stats.silhouette_sq(scored, "_arr", "clusters").first()["silhouette"]
+    prof = scored.groupBy("clusters").agg(F.count(F.lit(1)).alias("n"), F.avg("view").alias("mean_view"),
+                                          F.avg("click").alias("mean_click"))
+    return prof.withColumns({"davies_bouldin": F.lit(db), "silhouette": F.lit(sil)})
+
+
+@register("elbow")
+def q_elbow(spark, sf):
+    """Inertia for k = 1..10, best of 20 seeded restarts."""
+    costs = models.elbow(_scaled_scores(spark, sf), ["view_z", "click_z"], range(1, 11), restarts=20)
+    return spark.createDataFrame(costs, "k long, inertia double")
+
+
+@register("compare_k")
+def q_compare_k(spark, sf):
+    """k-means vs bisecting k-means for k = 3..6: Davies-Bouldin and silhouette."""
+    rows = models.compare_clusterers(_scaled_scores(spark, sf), ["view_z", "click_z"], range(3, 7))
+    return spark.createDataFrame(rows, "algorithm string, k long, davies_bouldin double, silhouette double")
+
+
+# ---------------------------------------------------------------- J4 rating regression
+
+GBT_FEATURES = (["total_average"] + [f"similar_user_pun{i}" for i in range(1, 6)]
+                + [f"similar_cur_rating{i}" for i in range(1, 6)] + ["user_average", "cur_average"])
+
+
+def _rating_sets(spark, sf):
+    r = ratings(S.survey(spark, sf), user="USUARIO", digits=0)
+    train, test = ordered_split(r, ["CURID", "USUARIO"], 0.8)
+    ftr = neighbour_features(train, "USUARIO", "CURID", "PUNTUACION")
+    fte = neighbour_features(test, "USUARIO", "CURID", "PUNTUACION")
+    return ftr.withColumn("puntuacion", F.col("puntuacion").cast("double")), \
+        fte.withColumn("puntuacion", F.col("puntuacion").cast("double"))
+
+
+@register("gbt_ratings")
+def q_gbt_ratings(spark, sf):
+    """Boosted-tree regressor (100 trees) on the 13 neighbourhood features:
+    test predictions, with the test RMSE on every row."""
+    ftr, fte = _rating_sets(spark, sf)
+    model = models.gbt_regressor_pipeline(GBT_FEATURES, "puntuacion").fit(ftr)
+    pred = model.transform(fte).select("USUARIO", "CURID", "puntuacion", "prediction")
+    err = pred.agg(F.sqrt(F.avg(F.pow(F.col("puntuacion") - F.col("prediction"), 2)))).scalar()
+    return pred.withColumn("rmse", err)
+
+
+@register("gbt_importance")
+def q_gbt_importance(spark, sf):
+    """Feature importances of the rating regressor (gain share)."""
+    ftr, _ = _rating_sets(spark, sf)
+    model = models.gbt_regressor_pipeline(GBT_FEATURES, "puntuacion").fit(ftr)
+    return spark.createDataFrame(models.feature_importances(model, GBT_FEATURES), "feature string, importance double")

@@ -41,7 +41,10 @@ def to_numeric(col: str | Column) -> Column:
     ``nan`` into NaN; both become null here.
     """
     text = F.trim(_c(col).cast("string"))
-    parsed = F.when(text.rlike("[dDfF]$"), F.lit(None).cast("double")).otherwise(
+    low = F.lower(text)
+    parsed = F.when(low.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf"))).when(
+        low.isin("-inf", "-infinity"), F.lit(float("-inf"))
+    ).when(text.rlike("[dDfF]$"), F.lit(None).cast("double")).otherwise(
         text.try_cast("double")
     )
     return F.nanvl(parsed, F.lit(None).cast("double"))

@@ -3,8 +3,8 @@
 ``row_number() OVER (ORDER BY k)`` with no ``PARTITION BY`` moves the whole
 table into one task.  Here the table is range-partitioned and sorted by the
 key (a distributed sort), each partition numbers its own rows in one
-vectorised pass, and the partition offsets come from a table with one row
-per partition (bounded by the partition count, so it is broadcast).  The
+vectorised pass, and the partition offsets are prefix sums over one row per
+partition (bounded by the partition count), applied as a literal map.  The
 numbered table is checkpointed into the shared checkpoint folder so the
 partition boundaries cannot change between the two passes.
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,17 +67,20 @@ def with_running_totals(df: DataFrame, order: Sequence[Column], weight_col: str
     numbered = sorted_df.mapInPandas(_local_numbering(weight_col), schema).checkpoint(eager=True)
     per_part = numbered.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_pn"), F.coalesce(F.max("_lcum"), F.lit(0.0)).alias("_pw")
-    )
-    # one row per partition: a window over it is tiny, and so is the broadcast
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "_pid",
-        F.coalesce(F.sum("_pn").over(w), F.lit(0)).alias("_off_n"),
-        F.coalesce(F.sum("_pw").over(w), F.lit(0.0)).alias("_off_w"),
-    )
-    out = numbered.join(F.broadcast(offsets), "_pid")
-    return out.select(
+    ).collect()
+    # one row per partition (bounded by the partition count): the offsets are
+    # prefix sums over partition ids, applied as a literal map
+    off_n, off_w, acc_n, acc_w = {}, {}, 0, 0.0
+    for row in sorted(per_part, key=lambda r: r["_pid"]):
+        off_n[row["_pid"]], off_w[row["_pid"]] = acc_n, acc_w
+        acc_n += row["_pn"]
+        acc_w += row["_pw"]
+    if not off_n:
+        off_n, off_w = {0: 0}, {0: 0.0}
+    map_n = F.create_map(*[x for k, v in off_n.items() for x in (F.lit(k), F.lit(v))])
+    map_w = F.create_map(*[x for k, v in off_w.items() for x in (F.lit(k), F.lit(float(v)))])
+    return numbered.select(
         *[F.col(f"`{c}`") for c in df.columns],
-        (F.col("_off_n") + F.col("_lidx")).cast("long").alias(POS),
-        (F.col("_off_w") + F.col("_lcum")).alias(CUM),
+        (F.element_at(map_n, F.col("_pid")) + F.col("_lidx")).cast("long").alias(POS),
+        (F.element_at(map_w, F.col("_pid")) + F.col("_lcum")).alias(CUM),
     )

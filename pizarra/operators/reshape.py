@@ -16,12 +16,15 @@ def pivot_mean(df: DataFrame, index: Sequence[str], column: str, values: str,
                pivot_values: Sequence[Any]) -> DataFrame:
     """``pivot_table(index, columns, values)`` with the default mean.
 
-    The pivot values are passed in, so Spark does not scan for them; rows
-    whose value is null are dropped first, so an index whose cells would all
-    be null disappears, as in pandas.
+    The pivot values are passed in, so each cell is a conditional average
+    in one hash aggregate on the index (one shuffle, with map-side partial
+    aggregation) instead of ``pivot``'s two-step plan.  Rows whose value is
+    null are dropped first, so an index whose cells would all be null
+    disappears, as in pandas.
     """
     src = df.filter(qcol(values).isNotNull() & qcol(column).isin(list(pivot_values)))
-    return src.groupBy([qcol(c) for c in index]).pivot(column, list(pivot_values)).agg(F.avg(qcol(values)))
+    cells = [F.avg(F.when(qcol(column) == F.lit(v), qcol(values))).alias(str(v)) for v in pivot_values]
+    return src.groupBy([qcol(c) for c in index]).agg(*cells)
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -36,7 +39,9 @@ def pivot_unique(df: DataFrame, index: str, column: str, values: str, pivot_valu
     """``DataFrame.pivot``: one value per cell, duplicates are an error."""
     if check:
         assert_unique(df, [index, column])
-    return df.groupBy(qcol(index)).pivot(column, list(pivot_values)).agg(F.first(qcol(values)))
+    cells = [F.first(F.when(qcol(column) == F.lit(v), qcol(values)), ignorenulls=True).alias(str(v))
+             for v in pivot_values]
+    return df.filter(qcol(column).isin(list(pivot_values))).groupBy(qcol(index)).agg(*cells)
 
 
 def sum_duplicates(df: DataFrame, keys: Sequence[str], values: str, name: str | None = None) -> DataFrame:
@@ -105,7 +110,7 @@ def ordered_split(df: DataFrame, order: Sequence[str], fraction: float = 0.8) ->
     never from one global window.
     """
     numbered = with_running_totals(df, [qcol(c).asc_nulls_last() for c in order])
-    n = df.count()
+    n = numbered.count()  # reads the checkpointed numbering, not the input plan
     cut = int(n * fraction)
     train = numbered.filter(F.col(POS) < cut).drop(POS, "_cum")
     test = numbered.filter(F.col(POS) >= cut).drop(POS, "_cum")
@@ -116,6 +121,6 @@ def ordered_split_flag(df: DataFrame, order: Sequence[str], fraction: float = 0.
                        name: str = "is_train") -> DataFrame:
     """Same split as one frame with a boolean column."""
     numbered = with_running_totals(df, [qcol(c).asc_nulls_last() for c in order])
-    n = df.agg(F.count(F.lit(1))).scalar()
-    cut = F.floor(n * F.lit(float(fraction)))
+    n = numbered.count()  # reads the checkpointed numbering, not the input plan
+    cut = F.floor(F.lit(n) * F.lit(float(fraction)))
     return numbered.withColumn(name, F.col(POS) < cut).drop("_cum")

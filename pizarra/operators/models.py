@@ -14,7 +14,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -221,20 +221,27 @@ def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(1, 11),
     return sorted(best.items())
 
 
-def compare_clusterers(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(3, 7)) -> list[tuple]:
-    """k-means vs bisecting k-means for each k: Davies-Bouldin and silhouette."""
+def compare_clusterers(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(3, 7),
+                       batch_fraction: float = 0.25) -> list[tuple]:
+    """k-means vs a mini-batch style k-means for each k: Davies-Bouldin and
+    silhouette.
+
+    The mini-batch variant fits on a seeded sample of the rows (the batches)
+    and then assigns every row to the nearest fitted center.
+    """
     from pizarra.operators.stats import davies_bouldin, silhouette_sq
 
-    data = vectors(df, cols).cache()
-    data = data.withColumn("_arr", vector_to_array("features"))
+    data = vectors(df, cols).withColumn("_arr", vector_to_array("features")).cache()
+    sample = data.sample(fraction=batch_fraction, seed=2)
     out = []
     for k in ks:
-        for name, est in (("kmeans", KMeans(k=k, seed=1, featuresCol="features", predictionCol="_lab")),
-                          ("bisecting_kmeans", BisectingKMeans(k=k, seed=2, featuresCol="features",
-                                                               predictionCol="_lab"))):
-            lab = est.fit(data).transform(data)
+        fits = (("kmeans", KMeans(k=k, seed=1, featuresCol="features", predictionCol="_lab").fit(data)),
+                ("minibatch_kmeans", KMeans(k=k, seed=2, featuresCol="features", predictionCol="_lab",
+                                            initMode="random").fit(sample)))
+        for name, model in fits:
+            lab = model.transform(data)
             db = davies_bouldin(lab, "_arr", "_lab").first()["davies_bouldin"]
             sil = silhouette_sq(lab, "_arr", "_lab").first()["silhouette"]
-            out.append((name, k, float(db), float(sil)))
+            out.append((name, k, float(db), None if sil is None else float(sil)))
     data.unpersist()
     return out

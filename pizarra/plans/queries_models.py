@@ -160,7 +160,7 @@ def q_elbow(spark, sf):
 
 @register("compare_k")
 def q_compare_k(spark, sf):
-    """k-means vs bisecting k-means for k = 3..6: Davies-Bouldin and silhouette."""
+    """k-means vs sample-fitted (mini-batch) k-means for k = 3..6: Davies-Bouldin and silhouette."""
     rows = models.compare_clusterers(_scaled_scores(spark, sf), ["view_z", "click_z"], range(3, 7))
     return spark.createDataFrame(rows, "algorithm string, k long, davies_bouldin double, silhouette double")
 

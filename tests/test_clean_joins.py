@@ -51,3 +51,10 @@ def test_fill_keeps_type(spark):
     out = clean.fill_nulls(df, {"x": 3})
     assert out.schema["x"].dataType.simpleString() == "bigint"
     assert [r[0] for r in out.collect()] == [3, 2]
+
+
+def test_capped_per_class_large_cap_uses_numbering(spark, monkeypatch):
+    monkeypatch.setattr(clean, "GROUP_LIMIT_THRESHOLD", 2)
+    df = spark.createDataFrame([(c, i) for c in "ab" for i in range(50)], "c string, i long").repartition(5)
+    out = clean.capped_per_class(df, "c", 7, ["i"]).collect()
+    assert sorted((r.c, r.i) for r in out) == [(c, i) for c in "ab" for i in range(7)]

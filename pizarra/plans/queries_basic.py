@@ -94,6 +94,21 @@ def q_csv_roundtrip(spark, sf):
     return io.read_delimited(spark, path, schema=schema, sep=";")
 
 
+@register("csv_headerless", sql=Q.with_(Q.COHORT) + """
+SELECT CAST(USUARIO AS VARCHAR) AS USUARIO, CAST(CURID AS VARCHAR) AS CURID,
+       CASE WHEN CUMPLIMIENTO = 'NINGUNA ACTIVIDAD' THEN NULL ELSE ESCALA END AS ESCALA
+FROM cohort""")
+def q_csv_headerless(spark, sf):
+    """Header-less text with names given at read; short rows padded with nulls."""
+    c = S.cohort(spark, sf)
+    line = F.when(F.col("CUMPLIMIENTO") == "NINGUNA ACTIVIDAD",
+                  F.concat_ws(";", F.col("USUARIO").cast("string"), F.col("CURID").cast("string"))).otherwise(
+        F.concat_ws(";", F.col("USUARIO").cast("string"), F.col("CURID").cast("string"), F.col("ESCALA")))
+    path = scratch_path(spark, "ragged")
+    c.select(line.alias("value")).write.mode("overwrite").text(path)
+    return io.read_delimited(spark, path, sep=";", header=False, names=["USUARIO", "CURID", "ESCALA"])
+
+
 @register("replace_table")
 def q_replace_table(spark, sf):
     """Score table written over an existing file table, then read back."""
@@ -442,6 +457,17 @@ def q_best_rated(spark, sf):
     return m.orderBy(F.col("mean_rating").desc(), "CURID")
 
 
+@register("best_rated_top5", settle=["mean_rating"], sql=Q.with_(Q.SURVEY) + """
+, filled AS (SELECT CURID, CAST(coalesce(OPCION_ELEGIDA, 3) AS BIGINT) AS OPCION_ELEGIDA FROM survey)
+SELECT CURID, avg(OPCION_ELEGIDA) AS mean_rating FROM filled GROUP BY CURID
+ORDER BY mean_rating DESC, CURID LIMIT 5""")
+def q_best_rated_top5(spark, sf):
+    """The five best-rated courses (``head(5)`` of the sorted means; the limit is the report)."""
+    f = answers_filled(S.survey(spark, sf))
+    m = profile.mean_per_group(f, ["CURID"], "OPCION_ELEGIDA", "mean_rating")
+    return clean.head(m, 5, [F.col("mean_rating").desc(), F.col("CURID").asc()])
+
+
 _RATINGS2 = """ratings2 AS (SELECT CURID, IDNUMBER,
     round_even(avg(OPCION_ELEGIDA) * CAST(100 AS DOUBLE), 0) / CAST(100 AS DOUBLE) AS PUNTUACION
   FROM filled GROUP BY CURID, IDNUMBER)"""
@@ -622,6 +648,17 @@ def q_block_slice(spark, sf):
     return reshape.block_slice(ratings(S.survey(spark, sf)), "IDNUMBER", "CURID", 50, 15)
 
 
+@register("rating_distribution", sql=Q.with_(Q.SURVEY, _FILLED, _RATINGS0) + """
+, o AS (SELECT *, row_number() OVER (ORDER BY CURID, USUARIO) - 1 AS pos, count(*) OVER () AS n FROM ratings0)
+SELECT PUNTUACION, count(*) AS "count" FROM o WHERE pos < floor(CAST(n AS DOUBLE) * CAST(0.8 AS DOUBLE))
+GROUP BY PUNTUACION""")
+def q_rating_distribution(spark, sf):
+    """Ratings per value in the ordered train part (data behind the count plot)."""
+    r = ratings(S.survey(spark, sf), user="USUARIO", digits=0)
+    train, _ = reshape.ordered_split(r, ["CURID", "USUARIO"], 0.8)
+    return profile.value_counts(train, "PUNTUACION")
+
+
 @register("ordered_split", sql=Q.with_(Q.SURVEY, _FILLED, _RATINGS0) + """
 SELECT CURID, USUARIO, PUNTUACION,
        row_number() OVER (ORDER BY CURID, USUARIO) - 1 < floor(CAST((SELECT count(*) FROM ratings0) AS DOUBLE)

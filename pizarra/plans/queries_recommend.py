@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from pizarra.operators import recommend
 from pizarra.operators.ratings import ratings
-from pizarra.operators.reshape import ordered_split
+from pizarra.operators import stats
+from pizarra.operators.reshape import block_slice, ordered_split
 from pizarra.plans import standin_sql as Q
 from pizarra.plans.catalog import register
 from pizarra.plans.queries_basic import _FILLED, _RATINGS0
@@ -108,6 +109,16 @@ def q_svd_rmse(spark, sf):
     return recommend.svd_rmse(ratings(S.survey(spark, sf)), "IDNUMBER", "CURID", "PUNTUACION", rank=6)
 
 
+@register("svd_block_rmse")
+def q_svd_block_rmse(spark, sf):
+    """RMSE of the SVD prediction on the observed cells of the first 50
+    teachers x first 15 courses (the reference's check block)."""
+    r = ratings(S.survey(spark, sf))
+    pred = recommend.svd_predict_cells(r, "IDNUMBER", "CURID", "PUNTUACION", rank=6)
+    block = block_slice(r, "IDNUMBER", "CURID", 50, 15)
+    return stats.rmse(block, pred, ["IDNUMBER", "CURID"], "PUNTUACION", "prediction")
+
+
 @register("sampled_block")
 def q_sampled_block(spark, sf):
     """Ratings of 100 sampled teachers x 10 course draws (with replacement), seed 15."""

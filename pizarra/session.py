@@ -18,6 +18,11 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # one task per core: numpy's BLAS inside Python tasks must not also
+    # spawn a thread per core
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.MKL_NUM_THREADS": "1",
 }
 
 

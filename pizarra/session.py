@@ -40,9 +40,41 @@ def get_session(master: str | None = None, app: str = "pizarra", **conf) -> Spar
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors (``addPyFile`` of a zip), once per
+    application, so Python tasks can import the helpers they call."""
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in sorted(os.walk(root)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.join("pizarra", os.path.relpath(full, root)))
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:12]
+    path = os.path.join(tempfile.gettempdir(), f"pizarra-{digest}.zip")
+    if not os.path.exists(path):
+        with open(path, "wb") as fh:
+            fh.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 

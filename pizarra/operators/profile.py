@@ -95,7 +95,8 @@ def column_info(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None,
-             quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+             quantiles: Sequence[float] = (0.25, 0.5, 0.75), approximate: bool = False,
+             accuracy: int = 10000) -> DataFrame:
     """``DataFrame.describe()`` long: one row per column with count, mean,
     sample std, min, exact linear-interpolated quantiles, max.
 
@@ -113,6 +114,13 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
+    if approximate:
+        # one pass, bounded memory per group (Greenwald-Khanna sketch);
+        # not interpolated, so it can differ from the exact quartiles
+        qa = long.groupBy("column").agg(
+            F.percentile_approx("value", list(quantiles), accuracy).alias("_q"))
+        return basic.join(qa, "column").select(
+            *basic.columns, *[F.col("_q")[i].alias(f"p{int(round(q * 100))}") for i, q in enumerate(quantiles)])
     numbered = with_running_totals(long, [F.col("column"), F.col("value")])
     starts = numbered.groupBy("column").agg(F.min(POS).alias("_start"), F.count(F.lit(1)).alias("_n"))
     # quantile q over n values sits between ranks floor(q(n-1)) and ceil(q(n-1))

@@ -116,12 +116,9 @@ class OneHotFit:
 
 
 def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> OneHotFit:
-    """Sorted category list per column (only the categories reach the driver)."""
-    cats = {}
-    for c in cols:
-        rows = df.select(qcol(c).cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct().orderBy("v")
-        cats[c] = [r["v"] for r in rows.collect()]
-    return OneHotFit(cats)
+    """Sorted category list per column, all columns in one pass (only the
+    categories reach the driver)."""
+    return OneHotFit(fit_labels(df, cols).labels)
 
 
 def hash_split(df: DataFrame, key: Sequence[str], fraction: float = 0.8, seed: int = 0,

@@ -57,3 +57,21 @@ def test_elbow_decreasing(spark):
     x = np.array(pts)
     assert costs[1] == pytest.approx(((x - x.mean(axis=0)) ** 2).sum())
     assert costs[1] > costs[2] > costs[3] > costs[4]
+
+
+def test_hash_split_is_repeatable(spark):
+    df = spark.createDataFrame([(i,) for i in range(500)], "id long")
+    a = {r.id for r in features.hash_split(df, ["id"], 0.8, seed=3).filter("is_train").collect()}
+    b = {r.id for r in features.hash_split(df.repartition(7), ["id"], 0.8, seed=3).filter("is_train").collect()}
+    c = {r.id for r in features.hash_split(df, ["id"], 0.8, seed=4).filter("is_train").collect()}
+    assert a == b and len(a) == 400 and a != c
+
+
+def test_describe_sketch_close_to_exact(spark):
+    from pizarra.operators import profile
+
+    df = spark.createDataFrame([(float(x),) for x in np.random.default_rng(9).normal(0, 1, 5000)], "v double")
+    exact = profile.describe(df, ["v"]).first()
+    approx = profile.describe(df, ["v"], approximate=True).first()
+    for q in ("p25", "p50", "p75"):
+        assert abs(exact[q] - approx[q]) < 0.01

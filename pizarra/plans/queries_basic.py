@@ -109,7 +109,8 @@ def q_csv_headerless(spark, sf):
     return io.read_delimited(spark, path, sep=";", header=False, names=["USUARIO", "CURID", "ESCALA"])
 
 
-@register("replace_table")
+@register("replace_table", settle=["view", "click"],
+          sql=Q.with_(Q.ACTIVITY, Q.ROSTER, _SCORES_SQL) + _SCORE_TABLE_BODY)
 def q_replace_table(spark, sf):
     """Score table written over an existing file table, then read back."""
     path = scratch_path(spark, "table")

@@ -13,7 +13,7 @@ from pizarra.operators.recommend import neighbour_features
 from pizarra.operators.reshape import append, ordered_split
 from pizarra.plans import jobs
 from pizarra.plans.catalog import register
-from pizarra.session import scratch_path
+from pizarra.session import ensure_checkpoint_dir, scratch_path
 from pizarra.sources import io
 from pizarra.sources import standins as S
 
@@ -171,22 +171,24 @@ GBT_FEATURES = (["total_average"] + [f"similar_user_pun{i}" for i in range(1, 6)
                 + [f"similar_cur_rating{i}" for i in range(1, 6)] + ["user_average", "cur_average"])
 
 
-def _rating_sets(spark, sf):
+def _rating_features(spark, sf, part: str):
+    """Neighbourhood features of the ordered train or test part (each part's
+    features come from that part's own ratings, as in the reference)."""
     r = ratings(S.survey(spark, sf), user="USUARIO", digits=0)
     train, test = ordered_split(r, ["CURID", "USUARIO"], 0.8)
-    ftr = neighbour_features(train, "USUARIO", "CURID", "PUNTUACION")
-    fte = neighbour_features(test, "USUARIO", "CURID", "PUNTUACION")
-    return ftr.withColumn("puntuacion", F.col("puntuacion").cast("double")), \
-        fte.withColumn("puntuacion", F.col("puntuacion").cast("double"))
+    f = neighbour_features(train if part == "train" else test, "USUARIO", "CURID", "PUNTUACION")
+    # written once to the checkpoint folder: the boosting passes read it many
+    # times and must not re-run the similarity blocks
+    ensure_checkpoint_dir(spark)
+    return f.withColumn("puntuacion", F.col("puntuacion").cast("double")).checkpoint(eager=True)
 
 
 @register("gbt_ratings")
 def q_gbt_ratings(spark, sf):
     """Boosted-tree regressor (100 trees) on the 13 neighbourhood features:
     test predictions, with the test RMSE on every row."""
-    ftr, fte = _rating_sets(spark, sf)
-    model = models.gbt_regressor_pipeline(GBT_FEATURES, "puntuacion").fit(ftr)
-    pred = model.transform(fte).select("USUARIO", "CURID", "puntuacion", "prediction")
+    model = models.gbt_regressor_pipeline(GBT_FEATURES, "puntuacion").fit(_rating_features(spark, sf, "train"))
+    pred = model.transform(_rating_features(spark, sf, "test")).select("USUARIO", "CURID", "puntuacion", "prediction")
     err = pred.agg(F.sqrt(F.avg(F.pow(F.col("puntuacion") - F.col("prediction"), 2)))).scalar()
     return pred.withColumn("rmse", err)
 
@@ -194,6 +196,5 @@ def q_gbt_ratings(spark, sf):
 @register("gbt_importance")
 def q_gbt_importance(spark, sf):
     """Feature importances of the rating regressor (gain share)."""
-    ftr, _ = _rating_sets(spark, sf)
-    model = models.gbt_regressor_pipeline(GBT_FEATURES, "puntuacion").fit(ftr)
+    model = models.gbt_regressor_pipeline(GBT_FEATURES, "puntuacion").fit(_rating_features(spark, sf, "train"))
     return spark.createDataFrame(models.feature_importances(model, GBT_FEATURES), "feature string, importance double")

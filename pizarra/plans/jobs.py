@@ -73,17 +73,19 @@ def cohort_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # J5: enrolment reconciliation ------------------------------------------------------
 
-def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reconcile_systems(a: DataFrame, b: DataFrame) -> DataFrame:
     """Teachers per course in both systems, matched by upper-case name.
 
-    VAL_1 is 1 when system 1 counts more teachers, 2 when system 2 does,
-    3 when they agree; compared per matched course.
+    ``a``: (ID_OFERTA_FORMATIVA, NOMBRE, USUARIO_DOCUMENTO) participants of
+    system 1; ``b``: (CURID, FULLNAME, IDNUMBER) of system 2.  VAL_1 is 1 when
+    system 1 counts more distinct teachers, 2 when system 2 does, 3 when they
+    agree; compared per matched course.
     """
-    a = count_distinct_per_group(S.enrolment_system_a(spark, sf_dir), ["ID_OFERTA_FORMATIVA", "NOMBRE"],
-                                 "USUARIO_DOCUMENTO", "DOCENTE_x").withColumn("NOMBRE", F.upper("NOMBRE"))
-    b = count_distinct_per_group(S.enrolment_system_b(spark, sf_dir), ["CURID", "FULLNAME"],
-                                 "IDNUMBER", "DOCENTE_y").withColumn("FULLNAME", F.upper("FULLNAME"))
-    m = a.join(b, a.NOMBRE == b.FULLNAME, "inner")
+    ca = count_distinct_per_group(a, ["ID_OFERTA_FORMATIVA", "NOMBRE"], "USUARIO_DOCUMENTO",
+                                  "DOCENTE_x").withColumn("NOMBRE", F.upper("NOMBRE"))
+    cb = count_distinct_per_group(b, ["CURID", "FULLNAME"], "IDNUMBER", "DOCENTE_y").withColumn(
+        "FULLNAME", F.upper("FULLNAME"))
+    m = ca.join(cb, ca.NOMBRE == cb.FULLNAME, "inner")
     val = F.when(F.col("DOCENTE_x") > F.col("DOCENTE_y"), 1).when(F.col("DOCENTE_x") < F.col("DOCENTE_y"), 2).otherwise(3)
     return m.select(
         F.col("ID_OFERTA_FORMATIVA").alias("SIFODS_ID"),
@@ -96,6 +98,11 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrolment reconciliation over the two stand-in systems."""
+    return reconcile_systems(S.enrolment_system_a(spark, sf_dir), S.enrolment_system_b(spark, sf_dir))
+
+
 def reconcile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three reports as counts per outcome code."""
     return reconcile(spark, sf_dir).groupBy("VAL_1").agg(F.count(F.lit(1)).cast("long").alias("n_courses"))

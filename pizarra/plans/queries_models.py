@@ -57,6 +57,21 @@ def q_dropout_report(spark, sf):
         stats.confusion(scored, "target", "prediction", positive=1.0))
 
 
+# Fixed value: enrolments from this date on form the second (scoring) cohort.
+NEW_COHORT_FROM = "1999-01-01"
+
+
+@register("dropout_new_cohort")
+def q_dropout_new_cohort(spark, sf):
+    """Model fitted on the earlier cohort, applied to the later one with the
+    training dummy layout (unseen categories encode as zeros)."""
+    d = dropout_frame(spark, sf)
+    old = d.filter(F.col("MAX_FECHA") < F.lit(NEW_COHORT_FROM).cast("timestamp_ntz"))
+    new = d.filter(F.col("MAX_FECHA") >= F.lit(NEW_COHORT_FROM).cast("timestamp_ntz"))
+    scored = models.positive_probability(_dropout_model(old).transform(new))
+    return scored.select("USUARIO", "CURID", "target", "prediction", "p1")
+
+
 @register("dropout_gbt")
 def q_dropout_gbt(spark, sf):
     """Boosted-tree classifier (100 trees) on the same features and split."""

@@ -42,9 +42,9 @@ def scores_with_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score table with teacher traits: rows with any gap dropped, traits recoded."""
     t = scores_with_roster(spark, sf_dir)
-    t = fill_nulls(t, {"ESCALA_DIFODS": 0.0}).na.drop()
+    t = fill_nulls(t, {"ESCALA_DOCENTE": 0.0}).na.drop()
     return t.withColumns({
-        "NIVEL_NEXUS": recode("NIVEL_NEXUS", LEVEL_CODES, LEVEL_OTHER),
+        "NIVEL": recode("NIVEL", LEVEL_CODES, LEVEL_OTHER),
         "DAREACENSO": recode("DAREACENSO", AREA_CODES, AREA_OTHER),
     })
 
@@ -88,9 +88,9 @@ def reconcile_systems(a: DataFrame, b: DataFrame) -> DataFrame:
     m = ca.join(cb, ca.NOMBRE == cb.FULLNAME, "inner")
     val = F.when(F.col("DOCENTE_x") > F.col("DOCENTE_y"), 1).when(F.col("DOCENTE_x") < F.col("DOCENTE_y"), 2).otherwise(3)
     return m.select(
-        F.col("ID_OFERTA_FORMATIVA").alias("SIFODS_ID"),
-        F.col("NOMBRE").alias("SIFODS_NOMBRE"),
-        F.col("DOCENTE_x").alias("SIFODS_DOCENTE"),
+        F.col("ID_OFERTA_FORMATIVA").alias("OFERTA_ID"),
+        F.col("NOMBRE").alias("OFERTA_NOMBRE"),
+        F.col("DOCENTE_x").alias("OFERTA_DOCENTE"),
         "CURID",
         F.col("FULLNAME").alias("CAMPUS_NOMBRE"),
         F.col("DOCENTE_y").alias("CAMPUS_DOCENTE"),

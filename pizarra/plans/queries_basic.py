@@ -39,8 +39,8 @@ _SCORES_SQL = """scores AS (
         FROM activity WHERE NOMBRE_ACTIVIDAD IN ('view', 'click'))
   WHERE IDNUMBER IS NOT NULL AND FINALGRADE IS NOT NULL
   GROUP BY CURID, IDNUMBER),
-roster_n AS (SELECT TRY_CAST(trim(DNI) AS DOUBLE) AS DNI, NIVEL_NEXUS, DESCRIPCION_CARGO, D_DPTO,
-                    ESCALA_DIFODS, DAREACENSO FROM roster)"""
+roster_n AS (SELECT TRY_CAST(trim(DNI) AS DOUBLE) AS DNI, NIVEL, DESCRIPCION_CARGO, D_DPTO,
+                    ESCALA_DOCENTE, DAREACENSO FROM roster)"""
 
 
 @register("roster_left_join", settle=["view", "click"],
@@ -53,11 +53,11 @@ def q_roster_left_join(spark, sf):
 
 _SCORE_TABLE_BODY = """
 SELECT CURID, IDNUMBER, "view", "click", DNI,
-       CASE NIVEL_NEXUS WHEN 'AFRICA' THEN 1 WHEN 'AMERICA' THEN 2 WHEN 'ASIA' THEN 3 ELSE 4 END AS NIVEL_NEXUS,
-       DESCRIPCION_CARGO, D_DPTO, coalesce(ESCALA_DIFODS, 0) AS ESCALA_DIFODS,
+       CASE NIVEL WHEN 'AFRICA' THEN 1 WHEN 'AMERICA' THEN 2 WHEN 'ASIA' THEN 3 ELSE 4 END AS NIVEL,
+       DESCRIPCION_CARGO, D_DPTO, coalesce(ESCALA_DOCENTE, 0) AS ESCALA_DOCENTE,
        CASE DAREACENSO WHEN 'Rural' THEN 1 ELSE 2 END AS DAREACENSO
 FROM scores s JOIN roster_n r ON s.IDNUMBER = r.DNI
-WHERE NIVEL_NEXUS IS NOT NULL AND DESCRIPCION_CARGO IS NOT NULL AND D_DPTO IS NOT NULL
+WHERE NIVEL IS NOT NULL AND DESCRIPCION_CARGO IS NOT NULL AND D_DPTO IS NOT NULL
   AND DAREACENSO IS NOT NULL"""
 SCORE_TABLE_CTES = Q.with_(Q.ACTIVITY, Q.ROSTER, _SCORES_SQL) + ", score_table AS (" + _SCORE_TABLE_BODY + ")\n"
 
@@ -311,10 +311,10 @@ def q_day_key_left_join(spark, sf):
 
 @register("semi_join", sql=Q.with_(Q.ACTIVITY, Q.ROSTER) + """
 SELECT event_id, IDNUMBER, CURID FROM activity
-WHERE IDNUMBER IN (SELECT DNI FROM roster WHERE NIVEL_NEXUS = 'ASIA')""")
+WHERE IDNUMBER IN (SELECT DNI FROM roster WHERE NIVEL = 'ASIA')""")
 def q_semi_join(spark, sf):
     """``IN (SELECT ...)`` as a left semi join."""
-    asia = S.roster(spark, sf).filter(F.col("NIVEL_NEXUS") == "ASIA")
+    asia = S.roster(spark, sf).filter(F.col("NIVEL") == "ASIA")
     return joins.semi_join(S.activity(spark, sf), asia, ["IDNUMBER"], ["DNI"]).select("event_id", "IDNUMBER", "CURID")
 
 
@@ -323,7 +323,7 @@ def q_semi_join(spark, sf):
         FROM enrol_a GROUP BY ID_OFERTA_FORMATIVA, NOMBRE),
 b AS (SELECT CURID, upper(FULLNAME) AS FULLNAME, count(DISTINCT IDNUMBER) AS DOCENTE_y
       FROM enrol_b GROUP BY CURID, FULLNAME)
-SELECT ID_OFERTA_FORMATIVA AS SIFODS_ID, NOMBRE AS SIFODS_NOMBRE, DOCENTE_x AS SIFODS_DOCENTE, CURID,
+SELECT ID_OFERTA_FORMATIVA AS OFERTA_ID, NOMBRE AS OFERTA_NOMBRE, DOCENTE_x AS OFERTA_DOCENTE, CURID,
        FULLNAME AS CAMPUS_NOMBRE, DOCENTE_y AS CAMPUS_DOCENTE,
        CASE WHEN DOCENTE_x > DOCENTE_y THEN 1 WHEN DOCENTE_x < DOCENTE_y THEN 2 ELSE 3 END AS VAL_1
 FROM a JOIN b ON a.NOMBRE = b.FULLNAME""")
@@ -367,13 +367,13 @@ def q_to_numeric(spark, sf):
 
 @register("recode", sql=Q.with_(Q.COHORT) + """
 SELECT USUARIO, CASE WHEN CUMPLIMIENTO = 'CULMINARON' THEN 0 ELSE 1 END AS target,
-       CASE NIVEL_NEXUS WHEN 'AFRICA' THEN 1 WHEN 'AMERICA' THEN 2 WHEN 'ASIA' THEN 3 ELSE 4 END AS nivel
+       CASE NIVEL WHEN 'AFRICA' THEN 1 WHEN 'AMERICA' THEN 2 WHEN 'ASIA' THEN 3 ELSE 4 END AS nivel
 FROM cohort""")
 def q_recode(spark, sf):
     """Binary and n-way recodes with a default branch."""
     c = S.cohort(spark, sf)
     return c.select("USUARIO", recode("CUMPLIMIENTO", {"CULMINARON": 0}, 1).alias("target"),
-                    recode("NIVEL_NEXUS", jobs.LEVEL_CODES, jobs.LEVEL_OTHER).alias("nivel"))
+                    recode("NIVEL", jobs.LEVEL_CODES, jobs.LEVEL_OTHER).alias("nivel"))
 
 
 @register("code_map", sql=Q.with_(Q.COHORT) + """
@@ -422,10 +422,10 @@ def q_value_counts(spark, sf):
 
 
 @register("row_value_counts", sql=Q.with_(Q.COHORT) + """
-SELECT CUMPLIMIENTO, NIVEL_NEXUS, count(*) AS "count" FROM cohort
-WHERE CUMPLIMIENTO IS NOT NULL AND NIVEL_NEXUS IS NOT NULL GROUP BY 1, 2""")
+SELECT CUMPLIMIENTO, NIVEL, count(*) AS "count" FROM cohort
+WHERE CUMPLIMIENTO IS NOT NULL AND NIVEL IS NOT NULL GROUP BY 1, 2""")
 def q_row_value_counts(spark, sf):
-    return profile.row_value_counts(S.cohort(spark, sf), ["CUMPLIMIENTO", "NIVEL_NEXUS"])
+    return profile.row_value_counts(S.cohort(spark, sf), ["CUMPLIMIENTO", "NIVEL"])
 
 
 @register("teachers_per_course", sql=Q.with_(Q.SURVEY) + """
@@ -503,11 +503,11 @@ def q_null_profile(spark, sf):
 , t AS (SELECT * FROM (VALUES
   (0, 'USUARIO', 'bigint'), (1, 'CURID', 'bigint'), (2, 'DNI_CARACTERIZADO', 'bigint'),
   (3, 'CUMPLIMIENTO', 'string'), (4, 'ESCALA', 'string'), (5, 'condicion_laboral', 'string'),
-  (6, 'NIVEL_NEXUS', 'string'), (7, 'DAREACENSO', 'string'), (8, 'Porc_act_realizada', 'double'),
+  (6, 'NIVEL', 'string'), (7, 'DAREACENSO', 'string'), (8, 'Porc_act_realizada', 'double'),
   (9, 'NOTA', 'double'), (10, 'MAX_FECHA', 'timestamp_ntz')) AS v(position, "column", dtype)),
 nn AS (SELECT count(*) AS n_rows, count(USUARIO) AS c0, count(CURID) AS c1, count(DNI_CARACTERIZADO) AS c2,
               count(CUMPLIMIENTO) AS c3, count(ESCALA) AS c4, count(condicion_laboral) AS c5,
-              count(NIVEL_NEXUS) AS c6, count(DAREACENSO) AS c7, count(Porc_act_realizada) AS c8,
+              count(NIVEL) AS c6, count(DAREACENSO) AS c7, count(Porc_act_realizada) AS c8,
               count(NOTA) AS c9, count(MAX_FECHA) AS c10 FROM cohort)
 SELECT CAST(position AS BIGINT) AS position, "column", dtype,
        CASE position WHEN 0 THEN c0 WHEN 1 THEN c1 WHEN 2 THEN c2 WHEN 3 THEN c3 WHEN 4 THEN c4 WHEN 5 THEN c5

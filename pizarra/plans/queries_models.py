@@ -19,7 +19,7 @@ from pizarra.sources import standins as S
 
 # ---------------------------------------------------------------- J2 drop-out model
 
-DROPOUT_CATEGORICAL = ["ESCALA", "condicion_laboral", "DAREACENSO", "NIVEL_NEXUS"]
+DROPOUT_CATEGORICAL = ["ESCALA", "condicion_laboral", "DAREACENSO", "NIVEL"]
 DROPOUT_NUMERIC = ["Porc_act_realizada", "PORC_DIAS", "NOTA"]
 
 

@@ -42,20 +42,20 @@ def q_min_max(spark, sf):
         "USUARIO", "NOTA_s", "Porc_act_realizada_s")
 
 
-_ENC_COLS = ["condicion_laboral", "NIVEL_NEXUS", "DAREACENSO", "ESCALA"]
+_ENC_COLS = ["condicion_laboral", "NIVEL", "DAREACENSO", "ESCALA"]
 
 
 @register("label_encode", sql=Q.with_(Q.COHORT) + """
 SELECT USUARIO, """ + ", ".join(f"dense_rank() OVER (ORDER BY {c}) - 1 AS {c}_code" for c in _ENC_COLS) + """,
-       NIVEL_NEXUS AS NIVEL_NEXUS_back
+       NIVEL AS NIVEL_back
 FROM cohort""")
 def q_label_encode(spark, sf):
     """Codes in sorted order of the distinct values, and the inverse mapping."""
     c = S.cohort(spark, sf)
     fit = features.fit_labels(c, _ENC_COLS)
     out = fit.transform(c)
-    out = fit.inverse(out, {"NIVEL_NEXUS": "NIVEL_NEXUS_code"}).withColumnRenamed("NIVEL_NEXUS", "NIVEL_NEXUS_back")
-    return out.select("USUARIO", *[f"{x}_code" for x in _ENC_COLS], "NIVEL_NEXUS_back")
+    out = fit.inverse(out, {"NIVEL": "NIVEL_code"}).withColumnRenamed("NIVEL", "NIVEL_back")
+    return out.select("USUARIO", *[f"{x}_code" for x in _ENC_COLS], "NIVEL_back")
 
 
 _ESCALA = [str(i) for i in range(8)] + ["X"]
@@ -64,11 +64,11 @@ _LEVELS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 @register("one_hot", sql=Q.with_(Q.COHORT) + "SELECT USUARIO, Porc_act_realizada, " + ", ".join(
     [f"CASE WHEN ESCALA = '{v}' THEN 1 ELSE 0 END AS \"ESCALA_{v}\"" for v in _ESCALA]
-    + [f"CASE WHEN NIVEL_NEXUS = '{v}' THEN 1 ELSE 0 END AS \"NIVEL_NEXUS_{v}\"" for v in _LEVELS]) + " FROM cohort")
+    + [f"CASE WHEN NIVEL = '{v}' THEN 1 ELSE 0 END AS \"NIVEL_{v}\"" for v in _LEVELS]) + " FROM cohort")
 def q_one_hot(spark, sf):
     """Dummy columns per category seen at fit; numeric columns pass through."""
     c = S.cohort(spark, sf)
-    fit = features.fit_one_hot(c, ["ESCALA", "NIVEL_NEXUS"])
+    fit = features.fit_one_hot(c, ["ESCALA", "NIVEL"])
     return fit.transform(c, keep=["USUARIO", "Porc_act_realizada"])
 
 

@@ -14,8 +14,8 @@ ACTIVITY = """activity AS (
   FROM events)"""
 
 ROSTER = """roster AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS DNI, r_name AS NIVEL_NEXUS, c_mktsegment AS DESCRIPCION_CARGO,
-         n_name AS D_DPTO, c_acctbal AS ESCALA_DIFODS,
+  SELECT CAST(c_custkey AS VARCHAR) AS DNI, r_name AS NIVEL, c_mktsegment AS DESCRIPCION_CARGO,
+         n_name AS D_DPTO, c_acctbal AS ESCALA_DOCENTE,
          CASE WHEN c_mktsegment = 'BUILDING' THEN 'Rural' ELSE 'Urbana' END AS DAREACENSO
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
@@ -31,7 +31,7 @@ COHORT = """cohort AS (
          CASE o_orderstatus WHEN 'F' THEN 'CULMINARON' WHEN 'O' THEN 'AL MENOS UNA ACTIVIDAD'
                             WHEN 'P' THEN 'NINGUNA ACTIVIDAD' END AS CUMPLIMIENTO,
          CASE WHEN o_orderkey % 9 = 8 THEN 'X' ELSE CAST(o_orderkey % 9 AS VARCHAR) END AS ESCALA,
-         c_mktsegment AS condicion_laboral, r_name AS NIVEL_NEXUS, o_orderpriority AS DAREACENSO,
+         c_mktsegment AS condicion_laboral, r_name AS NIVEL, o_orderpriority AS DAREACENSO,
          CAST(o_orderkey % 101 AS DOUBLE) AS Porc_act_realizada, o_totalprice AS NOTA, o_orderdate AS MAX_FECHA
   FROM orders JOIN customer ON o_custkey = c_custkey
        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""

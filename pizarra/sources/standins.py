@@ -57,10 +57,10 @@ def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = _dims(spark, sf_dir)
     return cust.join(F.broadcast(dims), cust.c_nationkey == dims.n_nationkey).select(
         F.col("c_custkey").cast("string").alias("DNI"),
-        F.col("r_name").alias("NIVEL_NEXUS"),
+        F.col("r_name").alias("NIVEL"),
         F.col("c_mktsegment").alias("DESCRIPCION_CARGO"),
         F.col("n_name").alias("D_DPTO"),
-        F.col("c_acctbal").alias("ESCALA_DIFODS"),
+        F.col("c_acctbal").alias("ESCALA_DOCENTE"),
         F.when(F.col("c_mktsegment") == "BUILDING", "Rural").otherwise("Urbana").alias("DAREACENSO"),
     )
 
@@ -99,7 +99,7 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
         completion.alias("CUMPLIMIENTO"),
         escala.alias("ESCALA"),
         F.col("c_mktsegment").alias("condicion_laboral"),
-        F.col("r_name").alias("NIVEL_NEXUS"),
+        F.col("r_name").alias("NIVEL"),
         F.col("o_orderpriority").alias("DAREACENSO"),
         (F.col("o_orderkey") % 101).cast("double").alias("Porc_act_realizada"),
         F.col("o_totalprice").alias("NOTA"),

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints of tables no longer referenced are deleted by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # one task per core: numpy's BLAS inside Python tasks must not also
     # spawn a thread per core
     "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",

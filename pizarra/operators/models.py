@@ -116,13 +116,27 @@ def inertia_one_cluster(df: DataFrame, cols: Sequence[str]) -> float:
     return float(sum(row[f"q{i}"] - row[f"s{i}"] ** 2 / n for i in range(len(cols))))
 
 
+def _kmeans_pp(pts: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ seeding: each next center drawn with probability
+    proportional to the squared distance to the nearest chosen one."""
+    centers = [pts[rng.integers(len(pts))]]
+    d2 = ((pts - centers[0]) ** 2).sum(axis=1)
+    while len(centers) < k:
+        total = d2.sum()
+        i = rng.integers(len(pts)) if total <= 0 else rng.choice(len(pts), p=d2 / total)
+        centers.append(pts[i])
+        d2 = np.minimum(d2, ((pts - pts[i]) ** 2).sum(axis=1))
+    return np.array(centers, dtype=float)
+
+
 def batched_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], restarts: int = 20, seed: int = 123,
-                   max_iter: int = 300, tol: float = 1e-4, key: Sequence[str] | None = None) -> list[tuple]:
+                   max_iter: int = 300, tol: float = 1e-4, key: Sequence[str] | None = None,
+                   init_sample: int = 10_000) -> list[tuple]:
     """Lloyd's k-means for every (k, restart) at once: one pass over the data
     per iteration serves all models.
 
-    Each restart starts from k distinct rows chosen by a seeded hash (the
-    ``n_init`` restarts of the reference).  In a pass every partition assigns
+    Each restart (the reference's ``n_init``) is seeded by k-means++ on a
+    bounded, hash-chosen sample of the rows.  In a pass every partition assigns
     its points to the nearest center of every model and emits per-(model,
     cluster) sums; a grouped aggregate adds them up and only those sums
     (models x k x d numbers) reach the driver.  Returns
@@ -136,21 +150,15 @@ def batched_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], restar
     key = list(key or cols)
     x = F.array(*[qcol(c).cast("double") for c in cols])
     data = df.select(x.alias("x"), F.xxhash64(*[qcol(k) for k in key]).alias("_id")).cache()
-    kmax = max(ks)
-    # seeded initial centers: the kmax smallest hashes per restart (distinct rows)
-    tagged = data.select("x", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("r"), "_id")
-    tagged = tagged.withColumn("_h", F.xxhash64("_id", F.lit(seed) + F.col("r")))
-    from pyspark.sql import Window as W
-    w = W.partitionBy("r").orderBy("_h", "_id")
-    init = tagged.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= kmax).collect()
-    starts = {}
-    for row in init:
-        starts.setdefault(row["r"], []).append((row["_rk"], row["x"]))
+    # k-means++ seeding per restart, on a bounded sample (the init_sample
+    # smallest hashes: a top-n, so at most init_sample rows reach the driver)
+    sample = (data.withColumn("_h", F.xxhash64("_id", F.lit(seed))).orderBy("_h", "_id")
+              .limit(init_sample).select("x").collect())
+    pts = np.array([row["x"] for row in sample], dtype=float)
     models_ = []
     for k in ks:
         for r in range(restarts):
-            pts = [p for _, p in sorted(starts[r])][:k]
-            models_.append([k, r, np.array(pts, dtype=float)])
+            models_.append([k, r, _kmeans_pp(pts, k, np.random.default_rng(seed * 1000 + r))])
     active = [True] * len(models_)
     # convergence as in scikit-learn: squared center shift <= tol * mean variance
     n_rows = data.count()
@@ -159,6 +167,8 @@ def batched_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], restar
                            T.StructField("n", T.LongType()), T.StructField("cost", T.DoubleType())]
                           + [T.StructField(f"s{j}", T.DoubleType()) for j in range(d)])
     costs = [0.0] * len(models_)
+    n_centers = sum(len(m[2]) for m in models_)
+    direct = data.rdd.getNumPartitions() * n_centers <= 200_000
     for _ in range(max_iter):
         bc = spark.sparkContext.broadcast([m[2] for m in models_])
 
@@ -183,16 +193,22 @@ def batched_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], restar
                     out.append(part[n > 0])
                 yield pd.concat(out, ignore_index=True)
 
-        agg = (data.select("x").mapInPandas(step, schema).groupBy("m", "c")
-               .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-                    *[F.sum(f"s{j}").alias(f"s{j}") for j in range(d)]).collect())
+        partial = data.select("x").mapInPandas(step, schema)
+        if direct:
+            # few partitions: the partial sums (partitions x centers rows)
+            # come back as they are and are added up here
+            pdf = partial.toPandas()
+        else:
+            pdf = (partial.groupBy("m", "c").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                                                 *[F.sum(f"s{j}").alias(f"s{j}") for j in range(d)]).toPandas())
         bc.unpersist()
+        pdf = pdf.groupby(["m", "c"], as_index=False).sum()
         costs = [0.0] * len(models_)
         new_centers = [m[2].copy() for m in models_]
-        for row in agg:
-            mi, ci = row["m"], row["c"]
-            costs[mi] += row["cost"]
-            new_centers[mi][ci] = np.array([row[f"s{j}"] for j in range(d)]) / row["n"]
+        for row in pdf.itertuples(index=False):
+            mi, ci = int(row.m), int(row.c)
+            costs[mi] += row.cost
+            new_centers[mi][ci] = np.array([getattr(row, f"s{j}") for j in range(d)]) / row.n
         moved = False
         for mi, m in enumerate(models_):
             if not active[mi]:

@@ -58,7 +58,11 @@ def with_running_totals(df: DataFrame, order: Sequence[Column], weight_col: str
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_df = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    # a per-row tie-break makes the sort key unique, so the range partitioner
+    # can split a value that a third of the rows share across partitions
+    tagged = df.withColumn("_tb", F.monotonically_increasing_id())
+    order = [*order, F.col("_tb")]
+    sorted_df = tagged.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     sorted_df = sorted_df.withColumn("_pid", F.spark_partition_id())
     schema = T.StructType(
         sorted_df.schema.fields

@@ -131,7 +131,10 @@ def q_mlp_scores(spark, sf):
         df = fill_nulls(df, {f"{x}_code": -1 for x in FORECAST_STRINGS})
         return models.vectors(df, cols)
 
-    mlp = models.mlp_pipeline(len(cols), "label").fit(prep(train))
+    # the optimiser reads the training vectors once per iteration: write them once
+    ensure_checkpoint_dir(spark)
+    train_vec = prep(train).select("features", "label").checkpoint(eager=True)
+    mlp = models.mlp_pipeline(len(cols), "label").fit(train_vec)
     scored = mlp.transform(prep(test))
     return scored.select("o_orderkey", "label", "prediction",
                          vector_to_array("probability")[1].alias("p1"))

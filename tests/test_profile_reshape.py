@@ -76,3 +76,14 @@ def test_pivot_unique_refuses_duplicates(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0)], "i long, c string, v double")
     with pytest.raises(ValueError):
         reshape.pivot_unique(df, "i", "c", "v", ["a"])
+
+
+def test_running_totals_split_a_hot_value(spark):
+    # two thirds of the rows share one value: the numbering must still spread
+    # them over several partitions and number every row exactly once
+    rows = [(1.0,)] * 2000 + [(float(i),) for i in range(2, 1002)]
+    df = spark.createDataFrame(rows, "v double").repartition(5)
+    out = with_running_totals(df, [F.col("v")], num_partitions=4)
+    sizes = out.rdd.glom().map(len).collect()
+    assert max(sizes) < 2000
+    assert sorted(r[POS] for r in out.select(POS).collect()) == list(range(3000))

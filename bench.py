@@ -54,22 +54,30 @@ def main() -> None:
     })
     reg = load_all()
     times = {}
+    failed = []
     for name in names:
         q = reg[name]
-        q.run(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-        samples = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            q.run(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
+        try:
+            q.run(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+            samples = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                q.run(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 3)
+        except Exception as exc:  # noqa: BLE001 - report and keep benchmarking the rest
+            times[name] = None
+            failed.append(name)
+            print(f"# {name}: FAILED {type(exc).__name__}: {str(exc)[:200]}", file=sys.stderr, flush=True)
+            continue
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
+        "failed": failed,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
     }))
 

@@ -87,3 +87,24 @@ def test_running_totals_split_a_hot_value(spark):
     sizes = out.rdd.glom().map(len).collect()
     assert max(sizes) < 2000
     assert sorted(r[POS] for r in out.select(POS).collect()) == list(range(3000))
+
+
+def test_histogram_matches_numpy(spark):
+    x = np.random.default_rng(4).integers(0, 97, 1000).astype(float)
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    got = {r.bin: r.n for r in profile.histogram(df, "v", 10).collect()}
+    counts, _ = np.histogram(x, bins=10)
+    assert [got.get(i, 0) for i in range(10)] == counts.tolist()
+
+
+def test_grouping_sets_means_match_pandas(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"u": rng.integers(0, 20, 400), "c": rng.integers(0, 7, 400), "r": rng.integers(0, 5, 400)})
+    out = profile.grouped_means_nonzero(spark.createDataFrame(pdf), "u", "c", "r").toPandas()
+    nz = pdf[pdf.r != 0]
+    users = out[out.u.notna() & out.c.isna()].set_index("u")["mean_rating"]
+    items = out[out.c.notna() & out.u.isna()].set_index("c")["mean_rating"]
+    total = out[out.u.isna() & out.c.isna()]["mean_rating"].iloc[0]
+    assert np.allclose(users.sort_index().to_numpy(), nz.groupby("u").r.mean().sort_index().to_numpy())
+    assert np.allclose(items.sort_index().to_numpy(), nz.groupby("c").r.mean().sort_index().to_numpy())
+    assert total == pytest.approx(nz.r.mean())

@@ -9,6 +9,7 @@ trees, perceptron, k-means).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -24,6 +25,21 @@ from pyspark.sql import functions as F
 from pizarra.operators.clean import qcol
 
 
+ROWS_PER_PARTITION = 50_000
+
+
+def right_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Coalesce (no shuffle) so each partition holds at least
+    ``rows_per_partition`` rows.
+
+    Iterative fits run one job per iteration with one task per partition;
+    a small table that inherited the shuffle partition count would pay
+    hundreds of near-empty tasks on every iteration.
+    """
+    target = max(1, math.ceil(df.count() / rows_per_partition))
+    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
+
+
 def encoded_features(categorical: Sequence[str], numeric: Sequence[str], out: str = "features") -> list:
     """``get_dummies`` + numeric columns as one vector.
 
@@ -98,7 +114,7 @@ def kmeans_labels(df: DataFrame, k: int, seed: int = 1, features: str = "feature
     Centroids are sorted lexicographically, so the same partition of the
     data gets the same numbers whatever the run.
     """
-    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="_raw", maxIter=max_iter).fit(df)
+    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="_raw", maxIter=max_iter).fit(right_sized(df))
     centers = [tuple(c) for c in model.clusterCenters()]
     order = sorted(range(len(centers)), key=lambda i: centers[i])
     relabel = {raw: pos + 1 for pos, raw in enumerate(order)}
@@ -149,7 +165,9 @@ def batched_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], restar
     d = len(cols)
     key = list(key or cols)
     x = F.array(*[qcol(c).cast("double") for c in cols])
-    data = df.select(x.alias("x"), F.xxhash64(*[qcol(k) for k in key]).alias("_id")).cache()
+    # every pass starts one Python task per partition: partitions sized by rows
+    data = right_sized(df.select(x.alias("x"), F.xxhash64(*[qcol(k) for k in key]).alias("_id"))).cache()
+    n_rows = data.count()
     # k-means++ seeding per restart, on a bounded sample (the init_sample
     # smallest hashes: a top-n, so at most init_sample rows reach the driver)
     sample = (data.withColumn("_h", F.xxhash64("_id", F.lit(seed))).orderBy("_h", "_id")
@@ -161,7 +179,6 @@ def batched_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], restar
             models_.append([k, r, _kmeans_pp(pts, k, np.random.default_rng(seed * 1000 + r))])
     active = [True] * len(models_)
     # convergence as in scikit-learn: squared center shift <= tol * mean variance
-    n_rows = data.count()
     threshold = tol * inertia_one_cluster(df, cols) / max(n_rows * d, 1)
     schema = T.StructType([T.StructField("m", T.IntegerType()), T.StructField("c", T.IntegerType()),
                            T.StructField("n", T.LongType()), T.StructField("cost", T.DoubleType())]
@@ -247,7 +264,7 @@ def compare_clusterers(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = r
     """
     from pizarra.operators.stats import davies_bouldin, silhouette_sq
 
-    data = vectors(df, cols).withColumn("_arr", vector_to_array("features")).cache()
+    data = right_sized(vectors(df, cols).withColumn("_arr", vector_to_array("features"))).cache()
     sample = data.sample(fraction=batch_fraction, seed=2)
     out = []
     for k in ks:

@@ -37,7 +37,7 @@ def _dropout_split(spark, sf):
 
 def _dropout_model(train):
     n = train.count()
-    return models.logistic_pipeline(DROPOUT_CATEGORICAL, DROPOUT_NUMERIC, "target", n).fit(train)
+    return models.logistic_pipeline(DROPOUT_CATEGORICAL, DROPOUT_NUMERIC, "target", n).fit(models.right_sized(train))
 
 
 @register("dropout_scores")
@@ -76,7 +76,8 @@ def q_dropout_new_cohort(spark, sf):
 def q_dropout_gbt(spark, sf):
     """Boosted-tree classifier (100 trees) on the same features and split."""
     train, test = _dropout_split(spark, sf)
-    model = models.gbt_classifier_pipeline(DROPOUT_CATEGORICAL, DROPOUT_NUMERIC, "target").fit(train)
+    model = models.gbt_classifier_pipeline(DROPOUT_CATEGORICAL, DROPOUT_NUMERIC, "target").fit(
+        models.right_sized(train))
     scored = models.positive_probability(model.transform(test))
     return scored.select("USUARIO", "target", "prediction", "p1")
 
@@ -133,7 +134,7 @@ def q_mlp_scores(spark, sf):
 
     # the optimiser reads the training vectors once per iteration: write them once
     ensure_checkpoint_dir(spark)
-    train_vec = prep(train).select("features", "label").checkpoint(eager=True)
+    train_vec = models.right_sized(prep(train).select("features", "label")).checkpoint(eager=True)
     mlp = models.mlp_pipeline(len(cols), "label").fit(train_vec)
     scored = mlp.transform(prep(test))
     return scored.select("o_orderkey", "label", "prediction",
@@ -198,7 +199,7 @@ def _rating_features(spark, sf, part: str):
     # written once to the checkpoint folder: the boosting passes read it many
     # times and must not re-run the similarity blocks
     ensure_checkpoint_dir(spark)
-    return f.withColumn("puntuacion", F.col("puntuacion").cast("double")).checkpoint(eager=True)
+    return models.right_sized(f.withColumn("puntuacion", F.col("puntuacion").cast("double"))).checkpoint(eager=True)
 
 
 @register("gbt_ratings")

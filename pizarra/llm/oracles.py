@@ -13,3 +13,26 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id
 """
+
+OP8_URL_FILTER = f"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(url, '^(.*?)://(.*)$', 2, 's') ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, {_ASCII_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+  regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+r(verdict, rhost, rpath) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+m AS (SELECT h.page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS verdict
+  FROM h JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY h.page_id)
+SELECT page_id, host, path, rule, coalesce(m.verdict, 'allow') AS verdict FROM h LEFT JOIN m USING (page_id)
+"""
+
+OP10_SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS pos FROM d),
+w AS (SELECT doc_id, pos, md5(array_to_string(ws[pos:pos + 49], ' ')) AS win FROM p WHERE pos + 49 <= len(ws)),
+f AS (SELECT win, min(doc_id) AS first_doc FROM w GROUP BY win),
+s AS (SELECT DISTINCT w.doc_id, unnest(range(w.pos, w.pos + 50)) AS pos FROM w JOIN f USING (win) WHERE f.first_doc < w.doc_id),
+k AS (SELECT p.doc_id, p.pos, p.ws[p.pos] AS word, s.pos IS NOT NULL AS gone FROM p LEFT JOIN s ON p.doc_id = s.doc_id AND p.pos = s.pos)
+SELECT d.doc_id, len(any_value(d.ws))::BIGINT AS n_words, (count(*) FILTER (k.gone))::BIGINT AS n_removed,
+  sha256(coalesce(string_agg(k.word, ' ' ORDER BY k.pos) FILTER (NOT k.gone), '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id) GROUP BY d.doc_id
+"""

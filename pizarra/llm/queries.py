@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pizarra.llm import oracles
 from pizarra.llm.common import table
 from pizarra.llm.line_dedup import line_report
+from pizarra.llm.substring_dedup import substring_report
+from pizarra.llm.url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -25,3 +27,23 @@ def oracle_sql() -> dict[str, str]:
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
+
+
+#: (verdict, host, path)
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_report(table(spark, sf_dir, "documents"))

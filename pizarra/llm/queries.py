@@ -10,6 +10,7 @@ from pizarra.llm import oracles
 from pizarra.llm.common import table
 from pizarra.llm.line_dedup import line_report
 from pizarra.llm.substring_dedup import substring_report
+from pizarra.llm.toxicity import toxicity_report
 from pizarra.llm.url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from pizarra.llm.common import col, fresh, id_text, ship_code, slices
 from pizarra.llm.hashing import NOT_ALNUM, byte_set, span_hashes, word_spans
 
-BITS = 18
+BITS = 22
 PREFIXES = (3, 4, 5, 6)         # bytes of a word's beginning that are features besides the word
-FIT_ROWS = 6000                 # labelled rows of each class that the fit may take (documented bound)
-FIT_BYTES = 8192                # of a fit row, the sentences within so many bytes of its text, spread over it
+FIT_ROWS = 2000                 # labelled rows of each class that the fit may take (documented bound)
+FIT_BYTES = {0: 8 << 10, 1: 256 << 10}   # of a longer fit row every k-th sentence is taken, about so many bytes in all
+MIN_RATIO = 16.0
+SHRINK = 1e-4
 SENTENCE_END = byte_set(b".!?\n")
 
 
@@ -43,10 +45,6 @@ def _features(data: np.ndarray, off: np.ndarray):
     return feat, np.cumsum(new) - 1, row[new], s, e, new
 
 
-def _logits(feat: np.ndarray, sent: np.ndarray, n: int, w: np.ndarray, b: float) -> np.ndarray:
-    return np.bincount(sent, weights=w[feat].sum(axis=1), minlength=n)[:n] + b
-
-
 def _softplus(z):
     return np.logaddexp(0.0, z)
 
@@ -56,44 +54,79 @@ def is_held_out(ids) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, w: np.ndarray, b: float):
-        self.w, self.b = w, b
+    """Weights of the chosen features (none negative) and the sentence bias."""
+
+    def __init__(self, ids: np.ndarray, w: np.ndarray, b: float):
+        self.ids, self.w, self.b = ids, w, b
+        self.table = np.zeros(1 << BITS, np.float32)
+        self.table[ids] = w
+
+    def __reduce__(self):
+        return Model, (self.ids, self.w, self.b)
 
     def sentences(self, data, off):
         feat, sent, rows, s, e, new = _features(data, off)
-        return _logits(feat, sent, len(rows), self.w, self.b), rows, s, e, new
+        z = np.bincount(sent, weights=self.table[feat].sum(axis=1), minlength=len(rows))[:len(rows)] + self.b
+        return z, rows, s, e, new
 
     def scores(self, data, off) -> np.ndarray:
         """Noisy-or score of each row; a row without sentences has 0."""
         z, rows, *_ = self.sentences(data, off)
-        return -np.expm1(-np.bincount(rows, weights=_softplus(z), minlength=len(off) - 1)[:len(off) - 1])
+        return _noisy_or(z, rows, len(off) - 1)
+
+
+def _noisy_or(z, rows, n):
+    return -np.expm1(-np.bincount(rows, weights=_softplus(z), minlength=n)[:n])
+
+
+def _never(b: float) -> Model:
+    return Model(np.empty(0, np.int64), np.empty(0, np.float32), b)
 
 
-def fit_noisy_or(data: np.ndarray, off: np.ndarray, labels: np.ndarray, steps: int = 120, rate: float = 0.15,
-                 l2: float = 3e-5) -> Model:
-    """Full-batch Adam on the document likelihood; the classes weigh the same."""
+def fit_noisy_or(data: np.ndarray, off: np.ndarray, y: np.ndarray, steps: int = 150, rate: float = 0.1) -> Model:
+    """Choose features whose document counts speak for label 1 (likelihood ratio of
+    ``MIN_RATIO`` or more), then fit their weights, kept at 0 or above, and the bias to
+    the documents' noisy-or likelihood by full-batch Adam; the classes weigh the same."""
+    n, pos, neg = len(off) - 1, int((y == 1).sum()), int((y == 0).sum())
+    if pos == 0 or neg == 0:
+        return _never(-20.0 if pos == 0 else 0.0)
     feat, sent, rows, *_ = _features(data, off)
-    n = len(off) - 1
-    w, b = np.zeros(1 << BITS), -5.0
-    if n == 0 or labels.min() == labels.max():
-        return Model(w, -20.0 if n == 0 or labels.max() == 0 else 0.0)
-    weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
-    flat = feat.ravel()
+    toxic, clean = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for k in range(feat.shape[1]):                       # documents that have each feature
+        has = np.unique(rows[sent] << BITS | feat[:, k])
+        for c, counts in ((1, toxic), (0, clean)):
+            np.add.at(counts, has[y[has >> BITS] == c] & ((1 << BITS) - 1), 1)
+    f = np.flatnonzero(toxic)
+    toxic, clean = toxic[f], clean[f]
+    odds = np.log((toxic + 0.25) / (pos + 0.5)) - np.log((clean + 0.25) / (neg + 0.5))
+    share = (toxic + clean) / n
+    ratio = 2 * (toxic * np.log(np.maximum(toxic, 1e-9) / (pos * share)) + clean * np.log(np.maximum(clean, 1e-9) / (neg * share)))
+    chosen = (odds > 0) & (ratio >= MIN_RATIO)
+    ids, w, b = f[chosen], np.append(0.3 * odds[chosen], 0.0), -6.0
+    place = np.full(1 << BITS, len(ids), np.int32)       # the last place: features left out
+    place[ids] = np.arange(len(ids))
+    feat = place[feat]
+    hit = (feat < len(ids)).any(axis=1)
+    feat, sent = feat[hit], sent[hit]
+    weight = np.where(y == 1, 0.5 / pos, 0.5 / neg)
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = _logits(feat, sent, len(rows), w, b)
+        z = np.clip(np.bincount(sent, weights=w[feat].sum(axis=1), minlength=len(rows)) + b, -30, 30)
         total = np.bincount(rows, weights=_softplus(z), minlength=n)          # -log(1 - p)
         # d loss / d total: 1 for label 0, -(1 - p) / p for label 1
-        slope = np.where(labels == 1, -1.0 / np.maximum(np.expm1(np.minimum(total, 50.0)), 1e-6), 1.0) * weight
+        slope = np.where(y == 1, -1.0 / np.maximum(np.expm1(np.minimum(total, 50.0)), 1e-4), 1.0) * weight
         dz = slope[rows] / (1.0 + np.exp(-z))
-        g = np.bincount(flat, weights=np.repeat(dz[sent], feat.shape[1]), minlength=1 << BITS) + l2 * w
+        g = np.bincount(feat.ravel(), weights=np.repeat(dz[sent], feat.shape[1]), minlength=len(w))
         gb = dz.sum()
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
-        c1, c2 = 1 - 0.9 ** t, 1 - 0.999 ** t
-        w -= rate * (m / c1) / (np.sqrt(v / c2) + 1e-8)
-        b -= rate * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
-    return Model(w, float(b))
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
+        c1, c2, step = 1 - 0.9 ** t, 1 - 0.99 ** t, rate * (1 - (t - 1) / steps)
+        s = step / (np.sqrt(v / c2) + 1e-5)
+        w = np.maximum(w - s * (m / c1) - s * SHRINK, 0.0)
+        w[-1] = 0.0
+        b -= step * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
+    used = w[:-1] > 0
+    return Model(ids[used], w[:-1][used].astype(np.float32), float(b))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -109,15 +142,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         "id is not null and y in (0, 1) and crc32(cast(cast(id as string) as binary)) % 5 <> 0").groupBy("id").agg(F.max("y").alias("y"))
     chosen = [y.where(F.col("y") == c).orderBy(F.xxhash64("id"), "id").limit(fit_rows) for c in (0, 1)]
     rows = chosen[0].unionByName(chosen[1])  # at most 2 * fit_rows ids: a bounded broadcast
-    step = F.greatest(F.ceil(F.octet_length("text") / F.lit(FIT_BYTES)), F.lit(1))
-    # a long fit row gives every step-th sentence, so that the sample stays bounded and spread out
+    step = F.greatest(F.ceil(F.octet_length("text") / F.when(F.col("y") == 0, FIT_BYTES[0]).otherwise(FIT_BYTES[1])), F.lit(1))
     thin = F.array_join(F.filter(F.split("text", "(?<=[.!?\n])"), lambda s, i: i % F.col("step") == 0), "")
     sample = (texts.join(F.broadcast(rows), "id").withColumn("step", step)
-              .select("id", "y", F.when(F.col("y") == 0, thin).otherwise(F.col("text")).alias("text"))
+              .select("id", "y", F.when(F.col("step") > 1, thin).otherwise(F.col("text")).alias("text"))
               .dropDuplicates(["id", "text"]).toArrow().sort_by([("id", "ascending"), ("text", "ascending")]))
     out = [(d, o) for b in sample.combine_chunks().to_batches() for _, d, o in slices(b, 2, 1 << 40)]
     if not out:
-        return Model(np.zeros(1 << BITS), -20.0)
+        return _never(-20.0)
     data = np.concatenate([d for d, _ in out])
     base = np.cumsum([0, *[len(d) for d, _ in out]])
     off = np.concatenate([[0], *[o[1:] + a for (_, o), a in zip(out, base)]])
@@ -128,11 +160,10 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[D
     """``docs`` and its score in a new column; that column's name."""
     name, fields = fresh("toxicity", docs.columns), docs.columns
     at = fields.index(text_col)
-    w, b = model.w.astype(np.float32), model.b
-    sent = docs.sparkSession.sparkContext.broadcast((w, b))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        m = Model(sent.value[0].astype(np.float64), sent.value[1])
+        m = sent.value
         for batch in batches:
             for rows, data, off in slices(batch, at):
                 yield pa.RecordBatch.from_arrays(rows.columns + [pa.array(m.scores(data, off))], names=fields + [name])
@@ -147,15 +178,15 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     without words).  Null and empty texts score 0; a null id isn't held out.
     """
     model = fit_toxicity(docs, labels, id_col, text_col)
-    sent = docs.sparkSession.sparkContext.broadcast((model.w.astype(np.float32), model.b))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judged(batches):
-        m = Model(sent.value[0].astype(np.float64), sent.value[1])
+        m = sent.value
         for batch in batches:
             for rows, data, off in slices(batch, 1):
                 n = len(off) - 1
                 z, row, s, e, new = m.sentences(data, off)
-                score = -np.expm1(-np.bincount(row, weights=_softplus(z), minlength=n)[:n])
+                score = _noisy_or(z, row, n)
                 a = np.full(n, -1)
                 order = np.lexsort((z, row))          # the last of each row is its largest
                 a[row[order]] = order
@@ -165,7 +196,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                 lo, hi, top = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
                 lo[some] = s[at[a[some]]] - off[:-1][some]
                 hi[some] = e[last[a[some]]] - off[:-1][some]
-                top[some] = 1 / (1 + np.exp(-z[a[some]]))
+                top[some] = -np.expm1(-_softplus(z[a[some]]))
                 ids = rows.column(0)
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(is_held_out(ids.to_pylist())), pa.array(score), pa.array((score >= 0.5).astype(np.int32)),

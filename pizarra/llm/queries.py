@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pizarra.llm import oracles
 from pizarra.llm.common import table
+from pizarra.llm.fingerprint import edit_report
 from pizarra.llm.line_dedup import line_report
 from pizarra.llm.substring_dedup import substring_report
 from pizarra.llm.toxicity import toxicity_report
@@ -53,3 +54,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_report(table(spark, sf_dir, "documents"))

@@ -36,3 +36,12 @@ SELECT d.doc_id, len(any_value(d.ws))::BIGINT AS n_words, (count(*) FILTER (k.go
   sha256(coalesce(string_agg(k.word, ' ' ORDER BY k.pos) FILTER (NOT k.gone), '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id) GROUP BY d.doc_id
 """
+
+OP5_WARC = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first_page < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first_page < page_id THEN first_page END AS refers_to
+FROM f
+"""

@@ -13,6 +13,7 @@ from pizarra.llm.line_dedup import line_report
 from pizarra.llm.substring_dedup import substring_report
 from pizarra.llm.toxicity import toxicity_report
 from pizarra.llm.url_filter import url_verdicts
+from pizarra.llm.warc import archive_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -59,3 +60,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(table(spark, sf_dir, "pages"))

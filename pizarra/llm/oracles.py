@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express; names are the queries' in capitals."""
 
+from pizarra.llm.license_scan import TEMPLATES, THRESHOLD
+
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -45,3 +47,26 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND first_page < page_id THEN first_page END AS refers_to
 FROM f
 """
+
+_WORDS = r"regexp_extract_all({}, '[^\x00-\x2f\x3a-\x60\x7b-\x7f]+')"
+_TEMPLATE_ROWS = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(TEMPLATES))
+
+OP1_LICENSE_SCAN = f"""
+WITH d AS (SELECT doc_id, string_split({_ASCII_LOWER.format("coalesce(text, '')")}, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, generate_subscripts(ls, 1) AS pos, {_WORDS.format("unnest(ls)")} AS ws FROM d),
+p AS (SELECT *, (sum((len(ws) = 0)::INT) OVER (PARTITION BY doc_id ORDER BY pos))::BIGINT AS par FROM l),
+k AS (SELECT * FROM p WHERE len(ws) > 0 AND ws[1] <> 'copyright'),
+u AS (
+  SELECT doc_id, 0 AS unit, pos AS no, ws FROM k
+  UNION ALL SELECT doc_id, 1, par, flatten(list(ws ORDER BY pos)) FROM k GROUP BY doc_id, par
+  UNION ALL SELECT doc_id, 2, 0, flatten(list(ws ORDER BY pos)) FROM k GROUP BY doc_id),
+b AS (SELECT doc_id, unit, no, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS a FROM u WHERE len(ws) > 1),
+r(tid, name, txt) AS (VALUES {_TEMPLATE_ROWS}),
+w AS (SELECT name, {_WORDS.format(_ASCII_LOWER.format("txt"))} AS ws FROM r),
+t AS (SELECT name, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS b FROM w WHERE len(ws) > 1),
+m AS (SELECT doc_id, name, unit, 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice FROM b, t
+  WHERE len(b) BETWEEN len(a) * {THRESHOLD} / (2 - {THRESHOLD}) - 1e-9 AND len(a) * (2 - {THRESHOLD}) / {THRESHOLD} + 1e-9),
+x AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, name, unit) AS rn FROM m WHERE dice >= {THRESHOLD})
+SELECT d.doc_id, x.name AS license, x.dice, ['line', 'paragraph', 'text'][x.unit + 1] AS unit
+FROM d LEFT JOIN x ON d.doc_id = x.doc_id AND x.rn = 1
+"""

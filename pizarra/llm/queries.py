@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pizarra.llm import oracles
 from pizarra.llm.common import table
 from pizarra.llm.fingerprint import edit_report
+from pizarra.llm.license_scan import license_report
 from pizarra.llm.line_dedup import line_report
 from pizarra.llm.substring_dedup import substring_report
 from pizarra.llm.toxicity import toxicity_report
@@ -65,3 +66,8 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))

@@ -11,6 +11,7 @@ from pizarra.llm.common import table
 from pizarra.llm.fingerprint import edit_report
 from pizarra.llm.license_scan import license_report
 from pizarra.llm.line_dedup import line_report
+from pizarra.llm.sentencepieces import piece_report
 from pizarra.llm.substring_dedup import substring_report
 from pizarra.llm.toxicity import toxicity_report
 from pizarra.llm.url_filter import url_verdicts
@@ -71,3 +72,8 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_report(table(spark, sf_dir, "documents"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pizarra.llm import oracles
 from pizarra.llm.common import table
+from pizarra.llm.decontamination import contamination_report
 from pizarra.llm.fingerprint import edit_report
 from pizarra.llm.license_scan import license_report
 from pizarra.llm.line_dedup import line_report
@@ -77,3 +78,8 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -75,10 +75,11 @@ def text_buffers(arr) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def slices(batch: pa.RecordBatch, text_index: int, max_bytes: int = SLICE_BYTES):
+def slices(batch: pa.RecordBatch, text_index: int, max_bytes: int = SLICE_BYTES, fold: bool = False):
     """The batch in runs of rows of at most ``max_bytes`` of text (one row may be
-    longer): ``(rows, data, offsets)``."""
-    data, off = text_buffers(batch.column(text_index))
+    longer): ``(rows, data, offsets)``; with ``fold`` the text is in lower case."""
+    text = batch.column(text_index)
+    data, off = text_buffers(pc.utf8_lower(text) if fold else text)
     i, n = 0, batch.num_rows
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + max_bytes, side="right")) - 1)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -167,7 +168,7 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: s
     slim = docs.select(F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
     for k in range(n):
         rows = bench.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toArrow().combine_chunks()  # bounded by the block size
-        items = Items(rows.column(0).to_numpy(), *text_buffers(rows.column(1)))
+        items = Items(rows.column(0).to_numpy(), *text_buffers(pc.utf8_lower(rows.column(1))))
         if not len(items.known):
             continue
         sent = spark.sparkContext.broadcast(items)
@@ -176,7 +177,7 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: s
             items = sent.value
             for batch in batches:
                 total = np.zeros(len(items.known), np.int64)
-                for _, data, off in slices(batch, 0):
+                for _, data, off in slices(batch, 0, fold=True):
                     words, first = _words(data, off)
                     at = gram_starts(first, SEED_WORDS)
                     if len(at):
@@ -203,7 +204,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
     ``doc_id, item_id, score`` (1: every word in order) and the copy's ``start_word`` and
     ``end_word``.
 
-    Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.
+    Words are runs of letters, digits and non-ASCII characters of the text in lower case.
     Documents without a copy have no row.  Null texts are empty; items with a null id
     or fewer than ``MIN_WORDS`` words aren't searched; rows that repeat an id give a row
     each; items of one id and different texts are items of their own.
@@ -215,7 +216,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
         def search(batches, sent=sent):
             items = sent.value
             for batch in batches:
-                for rows, data, off in slices(batch, 1):
+                for rows, data, off in slices(batch, 1, fold=True):
                     found = sorted(scan(items, data, off, threshold))
                     ids = rows.column(0).to_pylist()
                     cols = zip(*found) if found else ([], [], [], [], [])
@@ -238,7 +239,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     for sent in item_blocks(docs, benchmark, text_col, item_id, item_text):
         def clean(batches, sent=sent):
             for batch in batches:
-                for rows, data, off in slices(batch, len(fields)):
+                for rows, data, off in slices(batch, len(fields), fold=True):
                     keep = np.ones(rows.num_rows, bool)
                     keep[[f[0] for f in scan(sent.value, data, off, threshold)]] = False
                     yield pa.RecordBatch.from_arrays(rows.columns[:len(fields)], names=fields).filter(pa.array(keep))

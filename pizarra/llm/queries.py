@@ -12,6 +12,7 @@ from pizarra.llm.decontamination import contamination_report
 from pizarra.llm.fingerprint import edit_report
 from pizarra.llm.license_scan import license_report
 from pizarra.llm.line_dedup import line_report
+from pizarra.llm.ngram_join import linked_documents
 from pizarra.llm.sentencepieces import piece_report
 from pizarra.llm.substring_dedup import substring_report
 from pizarra.llm.toxicity import toxicity_report
@@ -83,3 +84,8 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_documents(table(spark, sf_dir, "documents"))

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pizarra.session import ensure_checkpoint_dir, scratch_path, ship_code
 
@@ -54,6 +55,27 @@ def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def through(docs: DataFrame, inputs: list[Column], work, extra: list[tuple[str, str]] = ()) -> DataFrame:
+    """``docs`` passed through tasks with its own columns, whatever their names.
+
+    ``work(batch, first)`` gets batches with the columns of ``docs`` and then, from
+    column ``first`` on, ``inputs``; it yields ``(rows, arrays)``: which rows of the batch go on
+    (a record batch of the same columns) and the arrays of the ``extra`` columns.
+    """
+    n, m = len(docs.columns), len(extra)
+    names = [f"c{i}" for i in range(n)] + [f"e{i}" for i in range(m)]
+    wide = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)], *[x.alias(f"i{k}") for k, x in enumerate(inputs)])
+    schema = T.StructType([T.StructField(x, f.dataType) for x, f in zip(names, docs.schema.fields)]
+                          + [T.StructField(f"e{k}", T.DataType.fromDDL(t)) for k, (_, t) in enumerate(extra)])
+
+    def run(batches):
+        for batch in batches:
+            for rows, arrays in work(batch, n):
+                yield pa.RecordBatch.from_arrays(rows.columns[:n] + list(arrays), names=names)
+
+    return wide.mapInArrow(run, schema).toDF(*docs.columns, *[x for x, _ in extra])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -87,5 +109,5 @@ def slices(batch: pa.RecordBatch, text_index: int, max_bytes: int = SLICE_BYTES,
         i = j
 
 
-__all__ = ["table", "written", "fresh", "col", "id_text", "shuffle_partitions", "text_buffers", "slices",
+__all__ = ["table", "through", "written", "fresh", "col", "id_text", "shuffle_partitions", "text_buffers", "slices",
            "ensure_checkpoint_dir", "scratch_path", "ship_code", "SLICE_BYTES"]

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pizarra.llm.common import col, fresh, id_text, ship_code, slices, text_buffers
+from pizarra.llm.common import col, id_text, ship_code, slices, text_buffers, through
 from pizarra.llm.hashing import NOT_ALNUM, gram_hashes, gram_starts, span_hashes, word_spans
 
 SEED_WORDS = 3
@@ -25,7 +25,8 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 RARE_FACTOR = 4           # a seed occurs at most so many times as often as the item's rarest n-gram,
 RARE_SHARE = 1e-4         # plus this share of the number of documents
 BLOCK_BYTES = 4 << 20     # a larger benchmark is searched in blocks of about so much text
-BATCH = 256               # alignments worked out side by side
+BATCH = 256               # alignments worked out side by side,
+MAX_CELLS = 1 << 20       # within so many words of their windows
 FILTER_BITS = 22
 
 
@@ -151,7 +152,8 @@ def _alike(windows) -> list[list[int]]:
     order = sorted(range(len(windows)), key=lambda i: len(windows[i]))
     out: list[list[int]] = []
     for i in order:
-        if out and len(windows[i]) <= 2 * len(windows[out[-1][0]]) + 16:
+        n = len(windows[i])
+        if out and n <= 2 * len(windows[out[-1][0]]) + 16 and n * (len(out[-1]) + 1) <= MAX_CELLS:
             out[-1].append(i)
         else:
             out.append([i])
@@ -233,15 +235,12 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
                       item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that hold a copy of an item; all columns stay."""
-    fields = docs.columns
-    extra = fresh("_text", fields)
     out = docs
     for sent in item_blocks(docs, benchmark, text_col, item_id, item_text):
-        def clean(batches, sent=sent):
-            for batch in batches:
-                for rows, data, off in slices(batch, len(fields), fold=True):
-                    keep = np.ones(rows.num_rows, bool)
-                    keep[[f[0] for f in scan(sent.value, data, off, threshold)]] = False
-                    yield pa.RecordBatch.from_arrays(rows.columns[:len(fields)], names=fields).filter(pa.array(keep))
-        out = out.withColumn(extra, col(text_col).cast("string")).mapInArrow(clean, docs.schema)
+        def clean(batch, first, sent=sent):
+            for rows, data, off in slices(batch, first, fold=True):
+                keep = np.ones(rows.num_rows, bool)
+                keep[[f[0] for f in scan(sent.value, data, off, threshold)]] = False
+                yield rows.filter(pa.array(keep)), []
+        out = through(out, [col(text_col).cast("string")], clean)
     return out

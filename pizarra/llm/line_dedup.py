@@ -103,10 +103,10 @@ def with_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with the repeated lines cut from its text; the other columns stay."""
+    """``docs`` with the repeated lines cut from its text (a null one stays null); the
+    other columns stay."""
     out, runs, _ = with_bitmaps(docs, id_col, text_col, min_chars)
-    text = F.coalesce(col(text_col).cast("string"), F.lit(""))
-    return out.withColumn(text_col, kept_lines(text, F.col(runs))).select(*[col(c) for c in docs.columns])
+    return out.withColumn(text_col, kept_lines(col(text_col), F.col(runs))).select(*[col(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

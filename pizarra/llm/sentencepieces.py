@@ -15,13 +15,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from pizarra.llm.common import col, fresh, ship_code, slices
+from pizarra.llm.common import col, fresh, ship_code, slices, through
 from pizarra.llm.hashing import keyed, mix, span_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIT_BYTES = 48
+WORK_BYTES = 4 << 20
 SPACE, LINE = 0x20, 0x0A
 
 
@@ -76,9 +79,15 @@ class Pieces:
         self.keys = np.array(sorted(nodes), np.int64)
         self.next = np.array([nodes[k] for k in self.keys.tolist()], np.int64)
         self.piece = np.array(piece, np.int32)
+        # the first two bytes by table, the others by binary search
         self.first = np.zeros(256, np.int64)
         top = self.keys < 256
         self.first[self.keys[top]] = self.next[top]
+        self.second = np.zeros(1 << 16, np.int64)
+        for b in range(256):
+            if self.first[b]:
+                a, z = np.searchsorted(self.keys, [self.first[b] << 8, self.first[b] + 1 << 8])
+                self.second[b << 8 | (self.keys[a:z] & 255)] = self.next[a:z]
         self.size = np.array([len(b) for b in self.bytes], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.size)])[:-1]
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
@@ -137,10 +146,12 @@ class _Lattice:
             a.append(here[k])
             b.append(here[k] + n)
             ids.append(found[hit])
-            whole[k[width[k] == n]] = True
+            if n <= 4:
+                whole[k[width[k] == n]] = True
             more = left[live] > n
-            live, node = live[more], node[more]
-            node = v.step(node, data[at[live] + n].astype(np.int64))
+            live = live[more]
+            byte = data[at[live] + n].astype(np.int64)
+            node = v.second[lead[live].astype(np.int64) << 8 | byte] if n == 1 else v.step(node[more], byte)
         # byte edges: every byte of a character that no piece spells
         head = (lead & 0xC0) != 0x80
         head |= pos == 0
@@ -239,53 +250,51 @@ def _pieces(proto: bytes, alpha: float, zipf: bool) -> Pieces:
 
 
 def with_pieces(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text", seed: int = 0,
-                alpha: float = 1.0, zipf: bool = True, report: bool = False) -> tuple[DataFrame, str]:
+                alpha: float = 1.0, zipf: bool = True, proof: bool = False) -> tuple[DataFrame, str]:
     """``docs`` and a new column with the sampled piece ids; that column's name.
 
     The same seed, row key and text give the same ids in any partitioning.  Rows
     that repeat a key draw the same numbers.  A null key counts as a key of its own;
     null and empty texts have no ids.  ``model`` is a path on the driver; its bytes are
-    sent to the tasks.  With ``report``, ``doc_id, n_pieces, ids, decoded_sha256,
-    lossless`` take the place of the input columns.
+    sent to the tasks.  With ``proof``, ``decoded_sha256`` and ``lossless`` follow, from
+    decoding the ids again.
     """
     spark = docs.sparkSession
     ship_code(spark)
     with open(model, "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())
-    fields = docs.columns
-    name = fresh("ids", fields)
-    key, text = fresh("_key", fields), fresh("_text", fields + [fresh("_key", fields)])
-    wide = docs.select("*", col(id_col).cast("long").alias(key), col(text_col).cast("string").alias(text))
+    name = fresh("ids", docs.columns)
 
-    def encoded(batches):
+    def encoded(batch, first):
         v = _pieces(sent.value, alpha, zipf)
-        for batch in batches:
-            for rows, data, off in slices(batch, len(fields) + 1):
-                k = rows.column(len(fields)).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-                ids, cut = encode_rows(v, k, data, off, seed)
-                lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids))
-                if not report:
-                    yield pa.RecordBatch.from_arrays(rows.columns[:len(fields)] + [lists], names=fields + [name])
-                    continue
-                back, back_off = decode_rows(v, ids, cut)
-                raw, true = back.tobytes(), data.tobytes()
-                sha, same = [], []
-                for a, b, c, d in zip(back_off[:-1].tolist(), back_off[1:].tolist(), off[:-1].tolist(), off[1:].tolist()):
-                    sha.append(hashlib.sha256(raw[a:b]).hexdigest())
-                    same.append(raw[a:b] == true[c:d])
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(len(fields)), pa.array(np.diff(cut)), lists, pa.array(sha, pa.string()), pa.array(same)],
-                    names=["doc_id", "n_pieces", "ids", "decoded_sha256", "lossless"])
-
-    schema = "doc_id long, n_pieces long, ids array<int>, decoded_sha256 string, lossless boolean" if report else docs.schema.add(name, "array<int>")
-    return wide.mapInArrow(encoded, schema), name
+        for rows, data, off in slices(batch, first + 1, WORK_BYTES):
+            keys = rows.column(first).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+            ids, cut = encode_rows(v, keys, data, off, seed)
+            out = [pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids))]
+            if proof:
+                out += [pa.array(x) for x in _proof(v, ids, cut, data, off)]
+            yield rows, out
+
+    extra = [(name, "array<int>")] + [("decoded_sha256", "string"), ("lossless", "boolean")] * proof
+    return through(docs, [col(id_col).cast("long"), col(text_col).cast("string")], encoded, extra), name
+
+
+def _proof(v: Pieces, ids: np.ndarray, cut: np.ndarray, data: np.ndarray, off: np.ndarray):
+    back, back_off = decode_rows(v, ids, cut)
+    raw, true = back.tobytes(), data.tobytes()
+    sha, same = [], []
+    for a, b, c, d in zip(back_off[:-1].tolist(), back_off[1:].tolist(), off[:-1].tolist(), off[1:].tolist()):
+        sha.append(hashlib.sha256(raw[a:b]).hexdigest())
+        same.append(raw[a:b] == true[c:d])
+    return sha, same
 
 
 def piece_report(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text", seed: int = 0) -> DataFrame:
     """One row per document: its sampled ids, their number, the SHA-256 of the text
     decoded from them, and whether that is the text itself."""
-    slim = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
-    return with_pieces(slim, model, "doc_id", "text", seed, report=True)[0]
+    slim = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
+    out, ids = with_pieces(slim, model, "doc_id", "text", seed, proof=True)
+    return out.select("doc_id", F.size(ids).cast("long").alias("n_pieces"), ids, "decoded_sha256", "lossless")
 
 
 def decode(encoded: DataFrame, ids_col: str, model: str = MODEL) -> DataFrame:
@@ -294,18 +303,15 @@ def decode(encoded: DataFrame, ids_col: str, model: str = MODEL) -> DataFrame:
     ship_code(spark)
     with open(model, "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())
-    fields = encoded.columns
-    name, at = fresh("decoded", fields), fields.index(ids_col)
 
-    def decoded(batches):
+    def decoded(batch, first):
         v = _pieces(sent.value, 1.0, True)
-        for batch in batches:
-            lists = batch.column(at)
-            n = np.array([0 if x is None else len(x) for x in lists.to_pylist()], np.int64)
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            data, off = decode_rows(v, ids, np.concatenate([[0], np.cumsum(n)]))
-            raw, valid = data.tobytes(), lists.is_valid().to_pylist()
-            texts = [raw[a:b].decode("utf-8", "replace") if ok else None for a, b, ok in zip(off[:-1].tolist(), off[1:].tolist(), valid)]
-            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(texts, pa.string())], names=fields + [name])
-
-    return encoded.mapInArrow(decoded, encoded.schema.add(name, "string"))
+        lists = batch.column(first)
+        n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        data, off = decode_rows(v, ids, np.concatenate([[0], np.cumsum(n)]))
+        raw, valid = data.tobytes(), lists.is_valid().to_pylist()
+        texts = [raw[a:b].decode("utf-8", "replace") if ok else None for a, b, ok in zip(off[:-1].tolist(), off[1:].tolist(), valid)]
+        yield batch, [pa.array(texts, pa.string())]
+
+    return through(encoded, [col(ids_col)], decoded, [(fresh("decoded", encoded.columns), "string")])

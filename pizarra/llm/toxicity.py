@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pizarra.llm.common import col, fresh, id_text, ship_code, slices
+from pizarra.llm.common import col, fresh, id_text, ship_code, slices, through
 from pizarra.llm.hashing import NOT_ALNUM, byte_set, span_hashes, word_spans
 
 BITS = 22
@@ -158,18 +158,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:
     """``docs`` and its score in a new column; that column's name."""
-    name, fields = fresh("toxicity", docs.columns), docs.columns
-    at = fields.index(text_col)
+    name = fresh("toxicity", docs.columns)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scored(batches):
-        m = sent.value
-        for batch in batches:
-            for rows, data, off in slices(batch, at):
-                yield pa.RecordBatch.from_arrays(rows.columns + [pa.array(m.scores(data, off))], names=fields + [name])
+    def scored(batch, first):
+        for rows, data, off in slices(batch, first):
+            yield rows, [pa.array(sent.value.scores(data, off))]
 
-    schema = docs.schema.add(name, "double")
-    return docs.mapInArrow(scored, schema), name
+    return through(docs, [col(text_col).cast("string")], scored, [(name, "double")]), name
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -136,13 +136,16 @@ def signatures(elements: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def sketch_bytes(n: int) -> int:
+    """A cell or more an element: a power of two, 256 at least."""
+    return 1 << max(8, (n - 1).bit_length()) - 3
+
+
 def parity_sketch(elements: np.ndarray) -> bytes:
-    """Parities of the numbers of elements in cells, two cells or more an element.  The
-    parities in which two sets differ are no more than the elements in which they do."""
-    bits = 256
-    while bits < 2 * len(elements):
-        bits *= 2
-    odd = np.bincount((elements >> _U(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    """Parities of the numbers of elements in cells.  The parities in which two sets
+    differ are no more than the elements in which they do."""
+    cells = 8 * sketch_bytes(len(elements))
+    odd = np.bincount((elements >> _U(20)).astype(np.int64) & (cells - 1), minlength=cells) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
@@ -151,24 +154,43 @@ def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(sketch.reshape(-1, size), axis=0)
 
 
-_TABLE = ("kind int, doc_id long, n_shingles long, node long, grp long, members array<long>")
+_TABLE = "kind int, doc_id long, n_shingles long, node long, grp long, members array<long>, sketch binary"
 _ROW = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
-                  ("grp", pa.int64()), ("members", pa.list_(pa.int64()))])
+                  ("grp", pa.int64()), ("members", pa.list_(pa.int64())), ("sketch", pa.binary())])
 _DOC = np.dtype([("id", np.int64), ("null", np.uint8), ("n", np.int64), ("node", _U)])
 
 
+def _pack_docs(d: np.ndarray, sketches: list[bytes], n_buckets: int) -> pa.RecordBatch:
+    """Documents by bucket: their number, their entries, and their sets' sketches."""
+    bucket = bucket_of(keyed(d["id"], 1), n_buckets)
+    order = np.argsort(bucket, kind="stable")
+    parts = [x for x in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(x)]
+    data = [b"".join([np.int64(len(x)).tobytes(), d[x].tobytes(), *(sketches[i] for i in x.tolist())]) for x in parts]
+    return pa.RecordBatch.from_pydict({"bucket": [-1 - int(bucket[x[0]]) for x in parts], "data": data}, schema=pa.schema([("bucket", pa.int64()), ("data", pa.binary())]))
+
+
+def _unpack_docs(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
+    n = int(np.frombuffer(blob, np.int64, 1)[0])
+    d, at, sketches = np.frombuffer(blob, _DOC, n, 8), 8 + n * _DOC.itemsize, []
+    for k in d["n"].tolist():
+        size = sketch_bytes(k) if k else 0
+        sketches.append(blob[at:at + size])
+        at += size
+    return d, sketches
+
+
 def _signed(slim: DataFrame, n_buckets: int) -> DataFrame:
-    """Documents (kind 0: id, set size, set) and groups (kind 1: sets that share a
-    signature), from one pass over the texts."""
+    """Documents (kind 0: id, set size, set, sketch) and groups (kind 1: sets that share
+    a signature, in ``node`` the first of them), from one pass over the texts."""
 
-    def send(held: list, docs: list):
+    def send(held: list, docs: list, sketches: list):
         if docs:
-            x, d = np.concatenate(held), np.concatenate(docs)
+            x = np.concatenate(held)
             yield pack(x, bucket_of(x["key"], n_buckets))
-            yield pack(d, -1 - bucket_of(keyed(d["id"], 1), n_buckets))
+            yield _pack_docs(np.concatenate(docs), sketches, n_buckets)
 
     def sign(batches):
-        held, docs, count = [], [], 0
+        held, docs, sketches, count = [], [], [], 0
         for batch in batches:
             for rows, data, off in slices(batch, 1):
                 elements, cut = shingle_sets(data, off)
@@ -178,6 +200,8 @@ def _signed(slim: DataFrame, n_buckets: int) -> DataFrame:
                 d["id"], d["null"] = ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False)
                 d["n"], d["node"] = np.diff(cut), node
                 docs.append(d)
+                ends = cut.tolist()
+                sketches += [parity_sketch(elements[a:b]) if b > a else b"" for a, b in zip(ends, ends[1:])]
                 # each set of the slice signs once
                 valid = np.flatnonzero((d["null"] == 0) & (node != 0))
                 use = np.zeros(len(node), bool)
@@ -190,17 +214,17 @@ def _signed(slim: DataFrame, n_buckets: int) -> DataFrame:
                 held.append(x)
                 count += len(x)
                 if count >= FLUSH:
-                    yield from send(held, docs)
-                    held, docs, count = [], [], 0
-        yield from send(held, docs)
+                    yield from send(held, docs, sketches)
+                    held, docs, sketches, count = [], [], [], 0
+        yield from send(held, docs, sketches)
 
     def gather(bucket: int, blobs: list[bytes]):
         if bucket < 0:
-            d = np.concatenate([unpack(b, _DOC) for b in blobs])
-            n = len(d)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(n, np.int32)), pa.array(d["id"], mask=d["null"] == 1), pa.array(d["n"]), pa.array(d["node"].view(np.int64)),
-                 pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], schema=_ROW)
+            for d, sketches in map(_unpack_docs, blobs):
+                n = len(d)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.zeros(n, np.int32)), pa.array(d["id"], mask=d["null"] == 1), pa.array(d["n"]), pa.array(d["node"].view(np.int64)),
+                     pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], schema=_ROW)
             return
         x = np.concatenate([unpack(b, _SIGN) for b in blobs])
         order = np.argsort(x["key"])
@@ -238,14 +262,14 @@ def _signed(slim: DataFrame, n_buckets: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.array(leads, np.int64)),
              pa.array(np.array(names, _U).view(np.int64)),
-             pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(np.concatenate(lists)))], schema=_ROW)
+             pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(np.concatenate(lists))), pa.nulls(n, pa.binary())], schema=_ROW)
 
     return by_bucket(slim.mapInArrow(sign, SCHEMA), gather, _TABLE)
 
 
-def _filter_of(chosen: DataFrame) -> np.ndarray:
-    """A bit for each chosen set and document, packed: bounded by ``FILTER_BITS``."""
-    blocks = chosen.select(F.expr(f"(node ^ doc_id) & {FILTER_BITS - 1}").alias("at")).groupBy(F.expr("at div 32768").alias("block")).agg(
+def _filter_of(ids: DataFrame) -> np.ndarray:
+    """A bit for each document id, packed: bounded by ``FILTER_BITS``."""
+    blocks = ids.select(F.expr(f"doc_id & {FILTER_BITS - 1}").alias("at")).groupBy(F.expr("at div 32768").alias("block")).agg(
         F.bitmap_construct_agg(F.expr("at % 32768")).alias("bits"))
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in blocks.toLocalIterator():
@@ -253,40 +277,39 @@ def _filter_of(chosen: DataFrame) -> np.ndarray:
     return out
 
 
-def _sets_of(slim: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``node, elements, sketch`` of the chosen sets, each from the one document
-    chosen for it.  The filter spares the shuffle nearly all other texts' sets."""
-    bits = slim.sparkSession.sparkContext.broadcast(_filter_of(chosen))
+def _sets_of(slim: DataFrame, ids: DataFrame) -> DataFrame:
+    """``node, doc_id, elements`` of the documents in ``ids`` and a few others: the filter
+    spares all other texts the work and the shuffle."""
+    bits = slim.sparkSession.sparkContext.broadcast(_filter_of(ids))
 
     def compute(batches):
         for batch in batches:
+            at = batch.column(0).to_numpy(zero_copy_only=False) & (FILTER_BITS - 1)
+            batch = batch.filter(pa.array((bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
             for rows, data, off in slices(batch, 1):
                 elements, cut = shingle_sets(data, off)
-                node, ids = set_nodes(elements, cut), rows.column(0).to_numpy(zero_copy_only=False)
-                at = (node.view(np.int64) ^ ids) & (FILTER_BITS - 1)
-                one = np.flatnonzero((node != 0) & (bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
-                sets = [elements[cut[i]:cut[i + 1]] for i in one.tolist()]
+                ends = cut.tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[one].view(np.int64)), pa.array(ids[one]), pa.array([x.tobytes() for x in sets], pa.binary()),
-                     pa.array([parity_sketch(x) for x in sets], pa.binary())], names=["node", "doc_id", "elements", "sketch"])
+                    [pa.array(set_nodes(elements, cut).view(np.int64)), rows.column(0),
+                     pa.array([elements[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())], names=["node", "doc_id", "elements"])
 
-    found = slim.where("id is not null").mapInArrow(compute, "node long, doc_id long, elements binary, sketch binary")
-    # rows that repeat an id and its text give a set twice
-    return found.join(chosen.hint("shuffle_hash"), ["node", "doc_id"], "left_semi").drop("doc_id")
+    return slim.where("id is not null").mapInArrow(compute, "node long, doc_id long, elements binary")
 
 
 def similar(a: int, b: int, shared: int) -> bool:
     return 100 * shared >= 80 * (a + b - shared)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, info: DataFrame, slim: DataFrame) -> DataFrame:
     """Those of ``pairs (u, v)`` whose sets are similar.  The sets of all ``v`` meet their
     ``u`` in sorted runs, so a task holds two sets; a ``u`` of very many is dealt by a salt."""
     n = shuffle_partitions(pairs.sparkSession)
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(n)).cast("int"))
     roles = salted.select(F.col("v").alias("node"), F.col("u").alias("run"), "salt", F.lit(1).alias("role")).unionByName(
         salted.select(F.col("u").alias("node"), F.col("u").alias("run"), "salt", F.lit(0).alias("role")).distinct())
-    met = roles.join(sets.select("node", "elements"), "node").repartition(n, "run", "salt").sortWithinPartitions("run", "salt", "role")
+    roles = written(roles.join(info.select("node", "doc_id"), "node"), "roles")
+    sets = _sets_of(slim, roles.select("doc_id").distinct())
+    met = sets.join(roles.hint("shuffle_hash"), ["node", "doc_id"]).repartition(n, "run", "salt").sortWithinPartitions("run", "salt", "role")
 
     def compare(batches):
         run, held = None, None
@@ -306,13 +329,31 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("run", "salt", "role", "node", "elements").mapInArrow(compare, "u long, v long")
 
 
-def _crossing(groups: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+def _plausible(pairs: DataFrame, info: DataFrame) -> DataFrame:
+    """Those of ``pairs (u, v)`` that sizes and sketches allow."""
+    side = info.select("node", "n", "sketch")
+    met = pairs.join(side.toDF("u", "n1", "s1"), "u").join(side.toDF("v", "n2", "s2"), "v")
+
+    def allow(batches):
+        for batch in batches:
+            keep = []
+            for n1, n2, s1, s2 in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
+                a, b = np.frombuffer(s1, np.uint8), np.frombuffer(s2, np.uint8)
+                size = min(len(a), len(b))
+                apart = int(np.bitwise_count(_fold(a, size) ^ _fold(b, size)).sum())
+                keep.append(9 * apart <= n1 + n2 and 5 * min(n1, n2) >= 4 * max(n1, n2))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return met.select("u", "v", "n1", "n2", "s1", "s2").mapInArrow(allow, "u long, v long")
+
+
+def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame) -> DataFrame:
     """Pairs of sets that share a group, aren't in one component yet and whose
     sketches and sizes allow the similarity.  Groups are compared block by block."""
     member = groups.select("grp", F.explode("members").alias("node")).distinct()
     placed = member.join(roots, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("root"))
     split = placed.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi")
-    rows = placed.join(split, "grp").join(sets.select("node", F.expr("length(elements) div 8").alias("n"), "sketch"), "node")
+    rows = placed.join(split, "grp").join(info.select("node", "n", "sketch"), "node")
     # blocks of a group by hash; a group of many has several, each pair of them is one row
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)).cast("int"))
     blocks = rows.groupBy("grp", "block").agg(F.collect_list(F.struct("node", "root", "n", "sketch")).alias("x"))
@@ -377,16 +418,18 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     people = signed.where("kind = 0").select("doc_id", "n_shingles", "node")
     groups = signed.where("kind = 1").select("grp", F.col("node").alias("u"), "members")
     led = groups.select("u", F.explode("members").alias("v")).where("u <> v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("w"))
-    first = written(led.groupBy("v").agg(F.max_by("u", F.struct("w", "u")).alias("u")).select("u", "v"), "pairs")
-    # every set in a group is led by another or leads one
-    nodes = first.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    leads = led.select(F.col("u").alias("node")).distinct()
-    chosen = people.where("doc_id is not null").join(nodes.unionByName(leads).distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = written(_sets_of(slim, written(chosen, "chosen")), "sets")
-    one = written(_verified(first, sets), "links")
+    best = written(led.groupBy("v").agg(F.max_by("u", F.struct("w", "u")).alias("u")).select("u", "v"), "led")
+    # of each set in a group: a document that has it, and what rules pairs out
+    nodes = best.select(F.explode(F.array("u", "v")).alias("node")).unionByName(groups.select(F.col("u").alias("node"))).distinct()
+    sized = signed.where("kind = 0 and doc_id is not null").select("node", "doc_id", F.col("n_shingles").alias("n"), "sketch")
+    info = written(sized.join(nodes, "node").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "info")
+    first = written(_plausible(best, info), "pairs")
+    one = written(_verified(first, info, slim), "links")
     roots = components(one)
-    rest = _crossing(groups, roots, sets).join(first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
-    two = written(_verified(rest, sets), "links")
+    tried = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    rest = written(_crossing(groups, roots, info).join(tried, ["u", "v"], "left_anti"), "pairs")
+    two = written(_verified(rest, info, slim), "links")
     roots = components(one.unionByName(two))
     placed = people.join(roots, "node", "left").withColumn("root", F.when(F.col("node") != 0, F.coalesce("root", "node")))
     least = placed.where("root is not null and doc_id is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The n-grams of the benchmark's items are counted over the whole corpus; each item
-keeps those that are rare beside its rarest, so an item that leaked into very many
-documents keeps its seeds, while phrases that everybody uses are no seeds.  Documents
+keeps those that are rare beside its others, so an item that leaked into very many
+documents, whole or edited, keeps its seeds, while phrases that everybody uses are none.  Documents
 that hold a seed are aligned locally, word by word, with the item around it; the
 score, as a share of a full match, tells copies and edited copies from chance.
 """
@@ -22,8 +22,8 @@ SEED_WORDS = 3
 MIN_WORDS = 5             # shorter items can't be told from chance and aren't searched
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-RARE_FACTOR = 4           # a seed occurs at most so many times as often as the item's rarest n-gram,
-RARE_SHARE = 1e-4         # plus this share of the number of documents
+RARE_FACTOR = 4           # a seed occurs at most so many times as often as the rarer three quarters of its item's,
+RARE_SHARE, RARE_COUNT = 1e-4, 50   # plus this share of the number of documents and this count
 BLOCK_BYTES = 4 << 20     # a larger benchmark is searched in blocks of about so much text
 BATCH = 256               # alignments worked out side by side,
 MAX_CELLS = 1 << 20       # within so many words of their windows
@@ -52,7 +52,7 @@ class Items:
         seeds, item, place = [], [], []
         for i, g in enumerate(self.grams):
             c = counts[np.searchsorted(self.known, g)]
-            rare = np.flatnonzero(c <= RARE_FACTOR * c.min() + RARE_SHARE * n_docs)
+            rare = np.flatnonzero(c <= RARE_FACTOR * np.quantile(c, 0.75) + RARE_SHARE * n_docs + RARE_COUNT)
             seeds.append(g[rare])
             item.append(np.full(len(rare), i))
             place.append(rare)

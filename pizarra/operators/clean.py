@@ -106,28 +106,14 @@ def head(df: DataFrame, n: int, order: Sequence[Column] | None = None) -> DataFr
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-# Spark plans ``row_number() <= n`` with a per-partition group limit only up to
-# this n (``spark.sql.optimizer.windowGroupLimitThreshold``'s default).
-GROUP_LIMIT_THRESHOLD = 1000
-
-
 def capped_per_class(df: DataFrame, class_col: str, n: int, order_cols: Sequence[str]) -> DataFrame:
     """``TOP(n)`` per class, made repeatable with an explicit order.
 
-    For small ``n``, ``row_number() <= n`` is planned with a per-partition
-    group limit before the shuffle, so each class ships at most ``n`` rows
-    per map task.  For larger caps (the reference uses 100 000) the rank
-    inside the class comes from the distributed numbering of
-    :mod:`pizarra.operators.ordering`, so no class is ever sorted in one task.
-    ``order_cols`` should make the order total.
+    The position inside the class comes from the distributed numbering of
+    :mod:`pizarra.operators.ordering`, so no class is ever sorted in one
+    task.  ``order_cols`` should make the order total.
     """
-    order = [qcol(c).asc_nulls_last() for c in order_cols]
-    if n <= GROUP_LIMIT_THRESHOLD:
-        w = Window.partitionBy(qcol(class_col)).orderBy(*order)
-        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
-    from pizarra.operators.ordering import POS, with_running_totals
-
-    numbered = with_running_totals(df, [qcol(class_col).asc_nulls_last(), *order])
-    starts = numbered.groupBy(qcol(class_col).alias("_cls")).agg(F.min(POS).alias("_start"))
-    j = numbered.join(starts, numbered[class_col].eqNullSafe(starts["_cls"]))
-    return j.filter(F.col(POS) - F.col("_start") < n).select(*[F.col(f"`{c}`") for c in df.columns])
+    from pizarra.operators.ordering import GROUP_POS, with_group_positions
+
+    placed = with_group_positions(df, qcol(class_col), [qcol(c).asc_nulls_last() for c in order_cols])
+    return placed.filter(F.col(GROUP_POS) < n).select(*[F.col(f"`{c}`") for c in df.columns])

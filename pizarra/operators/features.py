@@ -1,9 +1,9 @@
 """Feature preparation.
 
-Fitting collects only per-column statistics or category lists (one row, or
-one entry per category) to the driver, the way ``pyspark.ml`` models hold
-their parameters; applying them is a projection with literals that stays in
-whole-stage codegen.
+Scalers and one-hot layouts collect per-column statistics or checked category
+lists to the driver, the way ``pyspark.ml`` models hold their parameters;
+applying them is a projection with literals that stays in whole-stage codegen.
+Label codes stay a table and are joined.
 """
 
 from __future__ import annotations
@@ -30,26 +30,28 @@ class ScalerFit:
 
 
 def fit_standard(df: DataFrame, cols: Sequence[str]) -> ScalerFit:
-    """Mean and population std per column; a constant column scales by 1."""
+    """Mean and population std per column; a constant column scales by 1, and a
+    column without values stays null."""
     aggs = []
     for c in cols:
         aggs += [F.avg(qcol(c)).alias(f"m_{c}"), F.stddev_pop(qcol(c)).alias(f"s_{c}")]
     row = df.agg(*aggs).first()
-    center = {c: float(row[f"m_{c}"]) for c in cols}
+    center = {c: float(row[f"m_{c}"] or 0.0) for c in cols}
     scale = {c: (float(row[f"s_{c}"]) if row[f"s_{c}"] else 1.0) for c in cols}
     return ScalerFit(center, scale)
 
 
 def fit_min_max(df: DataFrame, cols: Sequence[str]) -> ScalerFit:
-    """Min and range per column; a constant column maps to 0."""
+    """Min and range per column; a constant column maps to 0, and a column
+    without values stays null."""
     aggs = []
     for c in cols:
         aggs += [F.min(qcol(c)).alias(f"lo_{c}"), F.max(qcol(c)).alias(f"hi_{c}")]
     row = df.agg(*aggs).first()
-    center = {c: float(row[f"lo_{c}"]) for c in cols}
+    center = {c: float(row[f"lo_{c}"] or 0.0) for c in cols}
     scale = {}
     for c in cols:
-        rng = float(row[f"hi_{c}"]) - float(row[f"lo_{c}"])
+        rng = float(row[f"hi_{c}"] or 0.0) - float(row[f"lo_{c}"] or 0.0)
         scale[c] = rng if rng != 0 else 1.0
     return ScalerFit(center, scale)
 
@@ -64,38 +66,39 @@ def min_max(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
 
 @dataclass
 class LabelFit:
-    labels: dict[str, list[str]]
+    """Per column a table ``label, code``; nothing of it is held on the driver."""
+
+    codes: dict[str, DataFrame]
 
     def transform(self, df: DataFrame, suffix: str = "_code") -> DataFrame:
         """Code = position in the sorted label list; unseen or null -> null."""
-        cols = {}
-        for c, labels in self.labels.items():
-            m = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(i))])
-            cols[c + suffix] = F.try_element_at(m, qcol(c).cast("string")).cast("long")
-        return df.withColumns(cols)
+        for c, table in self.codes.items():
+            key = table.select(F.col("label").alias("_label"), F.col("code").alias(c + suffix))
+            df = df.join(key, qcol(c).cast("string") == F.col("_label"), "left").drop("_label")
+        return df
 
     def inverse(self, df: DataFrame, code_cols: dict[str, str]) -> DataFrame:
         """Codes back to labels (``inverse_transform``)."""
-        cols = {}
         for c, code_col in code_cols.items():
-            arr = F.array(*[F.lit(v) for v in self.labels[c]])
-            cols[c] = F.try_element_at(arr, qcol(code_col).cast("int") + 1)
-        return df.withColumns(cols)
+            key = self.codes[c].select(F.col("label").alias("_label"), F.col("code").alias("_code"))
+            df = df.join(key, qcol(code_col).cast("long") == F.col("_code"), "left").withColumn(c, F.col("_label")).drop("_label", "_code")
+        return df
 
 
 def fit_labels(df: DataFrame, cols: Sequence[str]) -> LabelFit:
-    """Distinct values per column in code-point order (``LabelEncoder``).
+    """Distinct values per column in code-point order (``LabelEncoder``),
+    numbered by a distributed sort; nulls have no code."""
+    from pizarra.operators.ordering import POS, with_running_totals
+
+    def codes(c):
+        labels = df.select(qcol(c).cast("string").alias("label")).where("label is not null").distinct()
+        return with_running_totals(labels, [F.col("label")]).select("label", F.col(POS).alias("code"))
+
+    return LabelFit({c: codes(c) for c in cols})
 
-    Runs ``pyspark.ml.feature.StringIndexer`` with ``alphabetAsc`` ordering;
-    only the label lists (one entry per category) reach the driver.
-    """
-    from pyspark.ml.feature import StringIndexer
 
-    idx = StringIndexer(inputCols=list(cols), outputCols=[f"{c}__i" for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="keep")
-    src = df.select([qcol(c).cast("string").alias(c) for c in cols])
-    model = idx.fit(src)
-    return LabelFit({c: list(lbls) for c, lbls in zip(cols, model.labelsArray)})
+# A one-hot layout has a column per category, so the count is checked first.
+MAX_CATEGORIES = 10_000
 
 
 @dataclass
@@ -116,27 +119,32 @@ class OneHotFit:
 
 
 def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> OneHotFit:
-    """Sorted category list per column, all columns in one pass (only the
-    categories reach the driver)."""
-    return OneHotFit(fit_labels(df, cols).labels)
+    """Sorted category list per column; a column of more than
+    ``MAX_CATEGORIES`` values is refused before its values are read."""
+    counts = df.agg(*[F.count_distinct(qcol(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    for i, c in enumerate(cols):
+        if counts[f"n{i}"] > MAX_CATEGORIES:
+            raise ValueError(f"column {c!r} has {counts[f'n{i}']} categories; one-hot encoding takes {MAX_CATEGORIES} at most")
+    lists = df.agg(*[F.array_sort(F.collect_set(qcol(c).cast("string"))).alias(f"v{i}") for i, c in enumerate(cols)]).first()
+    return OneHotFit({c: list(lists[f"v{i}"]) for i, c in enumerate(cols)})
 
 
 def hash_split(df: DataFrame, key: Sequence[str], fraction: float = 0.8, seed: int = 0,
                stratify: str | None = None, name: str = "is_train") -> DataFrame:
     """Seeded 80/20 split, optionally stratified.
 
-    Rows are ordered by a hash of (key, seed); the first ``fraction`` of each
-    stratum (by rank in that order) is train.  The rank inside a stratum
-    comes from the distributed numbering of ``with_running_totals``, so no
-    stratum is sorted in a single task.
+    Rows are ordered by the MD5 of key and seed, then by the key; the first
+    ``fraction`` of each stratum in that order is train.  Positions come
+    from the distributed numbering, so no stratum is sorted in a single task;
+    without strata a row's global position decides and nothing is joined.
     """
-    from pizarra.operators.ordering import POS, with_running_totals
-
-    h = F.xxhash64(*[qcol(k) for k in key], F.lit(seed))
-    strat = qcol(stratify) if stratify else F.lit(0)
-    tagged = df.withColumns({"_s": strat, "_h": h})
-    numbered = with_running_totals(tagged, [F.col("_s"), F.col("_h")] + [qcol(k) for k in key])
-    per = numbered.groupBy("_s").agg(F.min(POS).alias("_start"), F.count(F.lit(1)).alias("_n"))
-    out = numbered.join(per, [numbered["_s"].eqNullSafe(per["_s"])]).drop(per["_s"])
-    cut = F.floor(F.col("_n") * F.lit(float(fraction)))
-    return out.withColumn(name, (F.col(POS) - F.col("_start")) < cut).drop("_s", "_h", "_start", "_n", POS, "_cum")
+    from pizarra.operators.ordering import GROUP_N, GROUP_POS, POS, with_group_positions, with_running_totals
+
+    text = F.concat_ws("|", *[qcol(k).cast("string") for k in key], F.lit(str(seed)))
+    order = [F.md5(text.cast("binary")), *[qcol(k).asc_nulls_last() for k in key]]
+    if stratify is None:
+        numbered = with_running_totals(df, order)
+        cut = int(numbered.count() * float(fraction))  # reads the checkpointed numbering
+        return numbered.withColumn(name, F.col(POS) < cut).drop(POS)
+    placed = with_group_positions(df, qcol(stratify), order)
+    return placed.withColumn(name, F.col(GROUP_POS) < F.floor(F.col(GROUP_N) * F.lit(float(fraction)))).drop(GROUP_POS, GROUP_N)

@@ -9,7 +9,6 @@ trees, perceptron, k-means).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -19,33 +18,32 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pizarra.operators.clean import qcol
+from pizarra.session import ensure_checkpoint_dir
 
 
-ROWS_PER_PARTITION = 50_000
+# Partitions of a table that an iterative fit reads again and again: fixed, so
+# that a fit doesn't depend on how its input happened to be partitioned.
+FIT_PARTITIONS = 16
 
 
-def right_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Coalesce (no shuffle) so each partition holds at least
-    ``rows_per_partition`` rows.
-
-    Iterative fits run one job per iteration with one task per partition;
-    a small table that inherited the shuffle partition count would pay
-    hundreds of near-empty tasks on every iteration.
-    """
-    target = max(1, math.ceil(df.count() / rows_per_partition))
-    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
+def fit_table(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``df`` dealt by ``key`` and written once to the checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartition(FIT_PARTITIONS, *[qcol(k) for k in key]).checkpoint(eager=True)
 
 
 def encoded_features(categorical: Sequence[str], numeric: Sequence[str], out: str = "features") -> list:
     """``get_dummies`` + numeric columns as one vector.
 
-    Categories come from the training data (code-point order); at scoring a
-    null or unseen value encodes as all zeros, and the vector layout is the
-    training one.
+    Categories come from the training data (code-point order); a null or
+    unseen value encodes as all zeros, in training too, and the vector layout
+    is the training one.  (The indexer keeps such values as one more category,
+    the last, and the encoder drops the last.)  Numeric columns must have no
+    nulls: drop them first.
     """
     stages = []
     vec_cols = []
@@ -54,10 +52,10 @@ def encoded_features(categorical: Sequence[str], numeric: Sequence[str], out: st
         oh_cols = [f"{c}__oh" for c in categorical]
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx_cols,
                                     stringOrderType="alphabetAsc", handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=True, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=True, handleInvalid="error"))
         vec_cols += oh_cols
     vec_cols += list(numeric)
-    stages.append(VectorAssembler(inputCols=vec_cols, outputCol=out, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=vec_cols, outputCol=out, handleInvalid="error"))
     return stages
 
 
@@ -108,13 +106,15 @@ def vectors(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFr
 
 
 def kmeans_labels(df: DataFrame, k: int, seed: int = 1, features: str = "features", out: str = "clusters",
-                  max_iter: int = 300):
+                  max_iter: int = 300, key: Sequence[str] | None = None):
     """Fit k-means and label rows 1..k, clusters numbered by centroid order.
 
     Centroids are sorted lexicographically, so the same partition of the
-    data gets the same numbers whatever the run.
+    data gets the same numbers whatever the run.  ``key`` (by default all
+    other columns) deals the rows for the fit.
     """
-    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="_raw", maxIter=max_iter).fit(right_sized(df))
+    fit_on = fit_table(df, key or [c for c in df.columns if c != features])
+    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="_raw", maxIter=max_iter).fit(fit_on)
     centers = [tuple(c) for c in model.clusterCenters()]
     order = sorted(range(len(centers)), key=lambda i: centers[i])
     relabel = {raw: pos + 1 for pos, raw in enumerate(order)}
@@ -124,122 +124,154 @@ def kmeans_labels(df: DataFrame, k: int, seed: int = 1, features: str = "feature
 
 
 def inertia_one_cluster(df: DataFrame, cols: Sequence[str]) -> float:
-    """k=1 inertia: total squared distance to the mean (MLlib needs k >= 2)."""
-    aggs = [F.sum(F.pow(qcol(c).cast("double"), 2)).alias(f"q{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(qcol(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]
-    row = df.agg(F.count(F.lit(1)).alias("n"), *aggs).first()
-    n = row["n"]
-    return float(sum(row[f"q{i}"] - row[f"s{i}"] ** 2 / n for i in range(len(cols))))
-
-
-def _kmeans_pp(pts: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ seeding: each next center drawn with probability
-    proportional to the squared distance to the nearest chosen one."""
-    centers = [pts[rng.integers(len(pts))]]
-    d2 = ((pts - centers[0]) ** 2).sum(axis=1)
-    while len(centers) < k:
-        total = d2.sum()
-        i = rng.integers(len(pts)) if total <= 0 else rng.choice(len(pts), p=d2 / total)
-        centers.append(pts[i])
-        d2 = np.minimum(d2, ((pts - pts[i]) ** 2).sum(axis=1))
-    return np.array(centers, dtype=float)
+    """k=1 inertia: total squared distance to the mean (MLlib needs k >= 2).
 
+    From Spark's running variance, which doesn't cancel on shifted data."""
+    aggs = [(F.coalesce(F.var_pop(qcol(c).cast("double")), F.lit(0.0)) * F.count(qcol(c))).alias(f"v{i}") for i, c in enumerate(cols)]
+    return float(sum(df.agg(*aggs).first()))
 
-def batched_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], restarts: int = 20, seed: int = 123,
-                   max_iter: int = 300, tol: float = 1e-4, key: Sequence[str] | None = None,
-                   init_sample: int = 10_000) -> list[tuple]:
-    """Lloyd's k-means for every (k, restart) at once: one pass over the data
-    per iteration serves all models.
-
-    Each restart (the reference's ``n_init``) is seeded by k-means++ on a
-    bounded, hash-chosen sample of the rows.  In a pass every partition assigns
-    its points to the nearest center of every model and emits per-(model,
-    cluster) sums; a grouped aggregate adds them up and only those sums
-    (models x k x d numbers) reach the driver.  Returns
-    ``(k, restart, inertia)`` for every model.
+
+def _points(df: DataFrame, cols: Sequence[str], key: Sequence[str]) -> DataFrame:
+    x = F.array(*[qcol(c).cast("double") for c in cols])
+    return fit_table(df.select(x.alias("x"), F.xxhash64(*[qcol(k) for k in key]).alias("_id")), ["_id"])
+
+
+def seed_chains(data: DataFrame, k: int, chains: int, seed: int) -> list[np.ndarray]:
+    """k-means++ seeding over all rows: ``chains`` sequences of ``k`` centers, each next
+    one drawn with probability proportional to the squared distance to the
+    nearest so far.  The first j centers of a chain seed a model of j clusters.
+
+    A draw is an exponential race: every row gets -log(u) / weight, u from a hash of
+    its id, and the smallest wins, so one pass draws a center for all chains and
+    only the winners reach the driver.
     """
     import pandas as pd
-    from pyspark.sql import types as T
 
-    spark = df.sparkSession
-    d = len(cols)
-    key = list(key or cols)
-    x = F.array(*[qcol(c).cast("double") for c in cols])
-    # every pass starts one Python task per partition: partitions sized by rows
-    data = right_sized(df.select(x.alias("x"), F.xxhash64(*[qcol(k) for k in key]).alias("_id"))).cache()
-    n_rows = data.count()
-    # k-means++ seeding per restart, on a bounded sample (the init_sample
-    # smallest hashes: a top-n, so at most init_sample rows reach the driver)
-    sample = (data.withColumn("_h", F.xxhash64("_id", F.lit(seed))).orderBy("_h", "_id")
-              .limit(init_sample).select("x").collect())
-    pts = np.array([row["x"] for row in sample], dtype=float)
-    models_ = []
-    for k in ks:
-        for r in range(restarts):
-            models_.append([k, r, _kmeans_pp(pts, k, np.random.default_rng(seed * 1000 + r))])
-    active = [True] * len(models_)
-    # convergence as in scikit-learn: squared center shift <= tol * mean variance
-    threshold = tol * inertia_one_cluster(df, cols) / max(n_rows * d, 1)
-    schema = T.StructType([T.StructField("m", T.IntegerType()), T.StructField("c", T.IntegerType()),
-                           T.StructField("n", T.LongType()), T.StructField("cost", T.DoubleType())]
-                          + [T.StructField(f"s{j}", T.DoubleType()) for j in range(d)])
-    costs = [0.0] * len(models_)
-    n_centers = sum(len(m[2]) for m in models_)
-    direct = data.rdd.getNumPartitions() * n_centers <= 200_000
-    for _ in range(max_iter):
-        bc = spark.sparkContext.broadcast([m[2] for m in models_])
+    spark = data.sparkSession
+    dim = len(data.select("x").first()["x"])
+    found: list[list[np.ndarray]] = [[] for _ in range(chains)]
+    for j in range(k):
+        sent = spark.sparkContext.broadcast([np.array(c) for c in found])
 
-        def step(batches, bc=bc):
-            centers = bc.value
+        def race(batches, j=j, sent=sent):
             for pdf in batches:
                 if pdf.empty:
                     continue
                 pts = np.stack(pdf["x"].to_numpy())
-                out = []
-                for mi, cen in enumerate(centers):
-                    dist = ((pts[:, None, :] - cen[None, :, :]) ** 2).sum(axis=2)
-                    lab = dist.argmin(axis=1)
-                    best = dist[np.arange(len(pts)), lab]
-                    k = len(cen)
-                    n = np.bincount(lab, minlength=k)
-                    cost = np.bincount(lab, weights=best, minlength=k)
-                    sums = np.stack([np.bincount(lab, weights=pts[:, j], minlength=k) for j in range(d)], axis=1)
-                    part = pd.DataFrame({"m": mi, "c": np.arange(k), "n": n, "cost": cost})
-                    for j in range(d):
-                        part[f"s{j}"] = sums[:, j]
-                    out.append(part[n > 0])
-                yield pd.concat(out, ignore_index=True)
-
-        partial = data.select("x").mapInPandas(step, schema)
-        if direct:
-            # few partitions: the partial sums (partitions x centers rows)
-            # come back as they are and are added up here
-            pdf = partial.toPandas()
-        else:
-            pdf = (partial.groupBy("m", "c").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-                                                 *[F.sum(f"s{j}").alias(f"s{j}") for j in range(d)]).toPandas())
-        bc.unpersist()
-        pdf = pdf.groupby(["m", "c"], as_index=False).sum()
-        costs = [0.0] * len(models_)
-        new_centers = [m[2].copy() for m in models_]
-        for row in pdf.itertuples(index=False):
-            mi, ci = int(row.m), int(row.c)
-            costs[mi] += row.cost
-            new_centers[mi][ci] = np.array([getattr(row, f"s{j}") for j in range(d)]) / row.n
-        moved = False
-        for mi, m in enumerate(models_):
-            if not active[mi]:
+                ids = pdf["_id"].to_numpy().astype(np.int64).view(np.uint64)
+                rows = []
+                for c, centers in enumerate(sent.value):
+                    with np.errstate(over="ignore"):
+                        h = ids ^ np.uint64((seed * 1_000_003 + c * 1009 + j + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+                        h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+                        h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+                        h ^= h >> np.uint64(31)
+                    u = ((h >> np.uint64(11)).astype(float) + 0.5) / 2.0 ** 53
+                    weight = np.ones(len(pts)) if not len(centers) else ((pts[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2).min(axis=1)
+                    # rows that coincide with a center lose unless all do
+                    time = -np.log(u) / np.maximum(weight, 1e-300)
+                    best = int(time.argmin())
+                    rows.append((c, float(time[best]), pts[best].tolist()))
+                yield pd.DataFrame(rows, columns=["chain", "time", "x"])
+
+        won = (data.mapInPandas(race, "chain int, time double, x array<double>").groupBy("chain")
+               .agg(F.min_by("x", F.struct("time", "x")).alias("x")).collect())   # one row a chain
+        for r in won:
+            found[r["chain"]].append(np.array(r["x"], dtype=float))
+    return [np.array(c).reshape(-1, dim) for c in found]
+
+
+def _assign(data: DataFrame, models: dict[int, np.ndarray], dim: int) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """One pass: per model the clusters' sizes and sums and the total cost.  Tasks
+    send sums, which Spark adds up; models x clusters rows reach the driver."""
+    import pandas as pd
+
+    sent = data.sparkSession.sparkContext.broadcast(models)
+
+    def step(batches):
+        for pdf in batches:
+            if pdf.empty:
                 continue
-            shift = float(((new_centers[mi] - m[2]) ** 2).sum())
-            m[2] = new_centers[mi]
-            if shift <= threshold:
-                active[mi] = False
-            else:
-                moved = True
-        if not moved:
+            pts = np.stack(pdf["x"].to_numpy())
+            rows = []
+            for m, cen in sent.value.items():
+                dist = ((pts[:, None, :] - cen[None, :, :]) ** 2).sum(axis=2)
+                lab = dist.argmin(axis=1)
+                n = np.bincount(lab, minlength=len(cen))
+                cost = np.bincount(lab, weights=dist[np.arange(len(pts)), lab], minlength=len(cen))
+                sums = [np.bincount(lab, weights=pts[:, j], minlength=len(cen)) for j in range(dim)]
+                rows += [(m, c, int(n[c]), float(cost[c]), *(float(x[c]) for x in sums)) for c in np.flatnonzero(n).tolist()]
+            yield pd.DataFrame(rows, columns=["m", "c", "n", "cost"] + [f"s{j}" for j in range(dim)])
+
+    schema = "m int, c int, n long, cost double, " + ", ".join(f"s{j} double" for j in range(dim))
+    total = (data.select("x").mapInPandas(step, schema).groupBy("m", "c")
+             .agg(*[F.sum(c).alias(c) for c in ["n", "cost"] + [f"s{j}" for j in range(dim)]]).collect())
+    out = {m: (np.zeros(len(c)), np.zeros((len(c), dim)), 0.0) for m, c in models.items()}
+    for r in total:
+        n, sums, cost = out[r["m"]]
+        n[r["c"]], sums[r["c"]] = r["n"], [r[f"s{j}"] for j in range(dim)]
+        out[r["m"]] = (n, sums, cost + r["cost"])
+    return out
+
+
+def batched_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], restarts: int = 20, seed: int = 123,
+                   max_iter: int = 300, tol: float = 1e-4, key: Sequence[str] | None = None) -> list[tuple]:
+    """Lloyd's k-means for every (k, restart) at once: one pass over the data
+    per iteration serves all models that still move.
+
+    Each restart (the reference's ``n_init``) has its own k-means++ seeds, drawn from
+    all rows.  Returns ``(k, restart, inertia)`` for every model, the inertia of
+    its final centers.
+    """
+    if not ks:
+        return []
+    dim = len(cols)
+    data = _points(df, cols, list(key or cols))
+    chains = seed_chains(data, max(ks), restarts, seed)
+    names = [(k, r) for k in ks for r in range(restarts)]
+    centers = {m: chains[r][:k].copy() for m, (k, r) in enumerate(names)}
+    # convergence as in scikit-learn: squared center shift <= tol * mean variance
+    n_rows = data.count()
+    xs = data.select(*[F.col("x")[j].alias(f"x{j}") for j in range(dim)])
+    threshold = tol * inertia_one_cluster(xs, xs.columns) / max(n_rows * dim, 1)
+    moving = set(centers)
+    for _ in range(max_iter):
+        if not moving:
             break
-    data.unpersist()
-    return [(m[0], m[1], costs[i]) for i, m in enumerate(models_)]
+        for m, (n, sums, _) in _assign(data, {m: centers[m] for m in moving}, dim).items():
+            new = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centers[m])
+            if float(((new - centers[m]) ** 2).sum()) <= threshold:
+                moving.discard(m)
+            centers[m] = new
+    final = _assign(data, centers, dim)
+    return [(k, r, final[m][2]) for m, (k, r) in enumerate(names)]
+
+
+def minibatch_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], batches: int = 8, epochs: int = 2,
+                     seed: int = 2, key: Sequence[str] | None = None) -> dict[int, np.ndarray]:
+    """Mini-batch k-means for every k: rows are dealt to ``batches`` batches by a hash of
+    their key, and in every epoch each batch moves the centers by its share of
+    all rows seen, so every row is read in every epoch.  Centers by k."""
+    dim = len(cols)
+    data = _points(df, cols, list(key or cols))
+    chain = seed_chains(data, max(ks), 1, seed)[0]
+    centers = {k: chain[:k].copy() for k in ks}
+    seen = {k: np.zeros(k) for k in ks}
+    for _ in range(epochs):
+        for b in range(batches):
+            batch = data.where(F.pmod(F.xxhash64("_id"), F.lit(batches)) == b)
+            for k, (n, sums, _) in _assign(batch, centers, dim).items():
+                seen[k] += n
+                centers[k] += (sums - n[:, None] * centers[k]) / np.maximum(seen[k], 1)[:, None]
+    return centers
+
+
+def nearest_center(features: str, centers: np.ndarray) -> Column:
+    """Index of the nearest center of an array column."""
+    x = qcol(features)
+    dist = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
+            for c in centers]
+    return F.array_min(F.array(*[F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(dist)]))["i"]
 
 
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(1, 11), restarts: int = 20,
@@ -254,27 +286,19 @@ def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(1, 11),
     return sorted(best.items())
 
 
-def compare_clusterers(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(3, 7),
-                       batch_fraction: float = 0.25) -> list[tuple]:
-    """k-means vs a mini-batch style k-means for each k: Davies-Bouldin and
-    silhouette.
-
-    The mini-batch variant fits on a seeded sample of the rows (the batches)
-    and then assigns every row to the nearest fitted center.
-    """
+def compare_clusterers(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(3, 7)) -> list[tuple]:
+    """k-means vs mini-batch k-means, both over all rows, for each k:
+    Davies-Bouldin and silhouette."""
     from pizarra.operators.stats import davies_bouldin, silhouette_sq
 
-    data = right_sized(vectors(df, cols).withColumn("_arr", vector_to_array("features"))).cache()
-    sample = data.sample(fraction=batch_fraction, seed=2)
+    arr = df.select(F.array(*[qcol(c).cast("double") for c in cols]).alias("_arr"), *[qcol(c) for c in cols])
+    data = fit_table(vectors(arr, cols), list(cols))
+    mini = minibatch_kmeans(df, cols, list(ks))
     out = []
     for k in ks:
-        fits = (("kmeans", KMeans(k=k, seed=1, featuresCol="features", predictionCol="_lab").fit(data)),
-                ("minibatch_kmeans", KMeans(k=k, seed=2, featuresCol="features", predictionCol="_lab",
-                                            initMode="random").fit(sample)))
-        for name, model in fits:
-            lab = model.transform(data)
+        full = KMeans(k=k, seed=1, featuresCol="features", predictionCol="_lab").fit(data).transform(data)
+        for name, lab in (("kmeans", full), ("minibatch_kmeans", data.withColumn("_lab", nearest_center("_arr", mini[k])))):
             db = davies_bouldin(lab, "_arr", "_lab").first()["davies_bouldin"]
             sil = silhouette_sq(lab, "_arr", "_lab").first()["silhouette"]
             out.append((name, k, float(db), None if sil is None else float(sil)))
-    data.unpersist()
     return out

@@ -101,8 +101,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
     sample std, min, exact linear-interpolated quantiles, max.
 
     Quantiles are exact at any size: values are sorted once (distributed
-    range sort over ``(column, value)``), numbered with partition offsets,
-    and the two neighbours of each quantile position are picked out.
+    range sort over ``(column, value)``) and numbered with partition offsets;
+    only the two neighbours of each quantile position, two values per column
+    and quantile, are read back.
     """
     cols = list(cols or numeric_columns(df))
     long = df.select([qcol(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
@@ -122,44 +123,37 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
         return basic.join(qa, "column").select(
             *basic.columns, *[F.col("_q")[i].alias(f"p{int(round(q * 100))}") for i, q in enumerate(quantiles)])
     numbered = with_running_totals(long, [F.col("column"), F.col("value")])
-    starts = numbered.groupBy("column").agg(F.min(POS).alias("_start"), F.count(F.lit(1)).alias("_n"))
+    # one row per column of the frame: where its values start and how many there are
+    spans = numbered.groupBy("column").agg(F.min(POS).alias("start"), F.count(F.lit(1)).alias("n")).collect()
     # quantile q over n values sits between ranks floor(q(n-1)) and ceil(q(n-1))
-    targets = []
-    for q in quantiles:
-        h = F.lit(float(q)) * (F.col("_n") - 1)
-        targets.append(F.struct(F.lit(float(q)).alias("q"), F.floor(h).cast("long").alias("lo"),
-                                (h - F.floor(h)).alias("frac")))
-    t = starts.select("column", "_start", F.explode(F.array(*targets)).alias("t")).select(
-        "column", "_start", "t.q", "t.lo", "t.frac"
-    )
-    # the two neighbours of each quantile: a bounded set (2 per quantile per column)
-    lo_rows = numbered.join(t, "column").filter(
-        (F.col(POS) == F.col("_start") + F.col("lo")) | (F.col(POS) == F.col("_start") + F.col("lo") + 1)
-    )
-    qv = lo_rows.groupBy("column", "q").agg(
-        F.min_by("value", POS).alias("v_lo"),
-        F.max_by("value", POS).alias("v_hi"),
-        F.count(F.lit(1)).alias("k"),
-        F.first("frac").alias("frac"),
-    ).select(
-        "column", "q",
-        F.when(F.col("k") == 1, F.col("v_lo"))
-        .otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("qv"),
-    )
-    qwide = qv.groupBy("column").agg(
-        *[F.max(F.when(F.col("q") == float(q), F.col("qv"))).alias(f"p{int(round(q * 100))}") for q in quantiles]
-    )
-    return basic.join(qwide, "column")
+    wanted = {}
+    for r in spans:
+        for q in quantiles:
+            h = float(q) * (r["n"] - 1)
+            lo = r["start"] + int(h)
+            wanted[r["column"], q] = (lo, min(lo + 1, r["start"] + r["n"] - 1), h - int(h))
+    places = sorted({p for lo, hi, _ in wanted.values() for p in (lo, hi)})
+    at = {r[POS]: r["value"] for r in numbered.filter(F.col(POS).isin(places)).select(POS, "value").collect()} if places else {}
+
+    def value(c, q):
+        lo, hi, frac = wanted[c, q]
+        return at[lo] + (at[hi] - at[lo]) * frac
+
+    rows = [(r["column"], *[value(r["column"], q) for q in quantiles]) for r in spans]
+    names = [f"p{int(round(q * 100))}" for q in quantiles]
+    schema = "column string, " + ", ".join(f"{x} double" for x in names)
+    return basic.join(F.broadcast(df.sparkSession.createDataFrame(rows, schema)), "column")
 
 
 def sparsity(ratings: DataFrame, user: str, item: str, digits: int = 3) -> DataFrame:
-    """Share of empty cells of the user x item grid, without building it."""
+    """Share of empty cells of the user x item grid, without building it (null
+    for an empty table)."""
     return ratings.agg(
         F.count_distinct(qcol(user), qcol(item)).alias("_pairs"),
         F.count_distinct(qcol(user)).alias("_users"),
         F.count_distinct(qcol(item)).alias("_items"),
     ).select(
-        round_half_even(F.lit(1.0) - F.col("_pairs") / (F.col("_users") * F.col("_items")), digits).alias("sparsity")
+        round_half_even(F.lit(1.0) - F.try_divide(F.col("_pairs"), F.col("_users") * F.col("_items")), digits).alias("sparsity")
     )
 
 

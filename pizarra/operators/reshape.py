@@ -61,6 +61,13 @@ def centre_by_row_mean(ratings: DataFrame, row: str, value: str, name: str = "ce
     )
 
 
+def filled_row_means(centred: DataFrame, row: str, column: str, value: str, name: str = "filled_mean") -> DataFrame:
+    """Mean of each row of the wide table with its empty cells as 0: the sum of the
+    row's present cells over the number of columns.  Keeps ``row_mean``."""
+    n_columns = centred.agg(F.count_distinct(qcol(column))).scalar()
+    return centred.groupBy(qcol(row)).agg(F.first("row_mean").alias("row_mean"), (F.sum(qcol(value)) / n_columns).alias(name))
+
+
 def melt(df: DataFrame, id_vars: Sequence[str], value_vars: Sequence[str], var_name: str = "variable",
          value_name: str = "value") -> DataFrame:
     return df.unpivot(list(id_vars), list(value_vars), var_name, value_name)
@@ -112,8 +119,8 @@ def ordered_split(df: DataFrame, order: Sequence[str], fraction: float = 0.8) ->
     numbered = with_running_totals(df, [qcol(c).asc_nulls_last() for c in order])
     n = numbered.count()  # reads the checkpointed numbering, not the input plan
     cut = int(n * fraction)
-    train = numbered.filter(F.col(POS) < cut).drop(POS, "_cum")
-    test = numbered.filter(F.col(POS) >= cut).drop(POS, "_cum")
+    train = numbered.filter(F.col(POS) < cut).drop(POS)
+    test = numbered.filter(F.col(POS) >= cut).drop(POS)
     return train, test
 
 
@@ -123,4 +130,4 @@ def ordered_split_flag(df: DataFrame, order: Sequence[str], fraction: float = 0.
     numbered = with_running_totals(df, [qcol(c).asc_nulls_last() for c in order])
     n = numbered.count()  # reads the checkpointed numbering, not the input plan
     cut = F.floor(F.lit(n) * F.lit(float(fraction)))
-    return numbered.withColumn(name, F.col(POS) < cut).drop("_cum")
+    return numbered.withColumn(name, F.col(POS) < cut)

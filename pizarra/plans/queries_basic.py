@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from pizarra.functions.scalar import code_map, day_text, recode, round_half_even, to_numeric
 from pizarra.operators import clean, joins, profile, reshape
+from pizarra.operators.ordering import POS, with_running_totals
 from pizarra.operators.ratings import answers_filled, ratings
 from pizarra.plans import jobs
 from pizarra.plans import standin_sql as Q
@@ -269,10 +270,10 @@ LEFT JOIN t3 ON t1.DNI = t3.DNI""")
 def q_enrich_chain(spark, sf):
     """Three left joins on an id every table calls DNI: pandas suffix layout."""
     t1, t2, t3 = _enrich_tables(spark, sf)
-    base = S.cohort(spark, sf).select("USUARIO", "CURID", "DNI_CARACTERIZADO")
-    m1 = joins.merge(base, t1, left_on=["DNI_CARACTERIZADO"], right_on=["DNI"])
-    m2 = joins.merge(m1, t2, left_on=["DNI_CARACTERIZADO"], right_on=["DNI"])
-    return joins.merge(m2, t3, left_on=["DNI_x"], right_on=["DNI"])
+    out = S.cohort(spark, sf).select("USUARIO", "CURID", "DNI_CARACTERIZADO")
+    for table, key in ((t1, "DNI_CARACTERIZADO"), (t2, "DNI_CARACTERIZADO"), (t3, "DNI_x")):
+        out = joins.merge(out, table, left_on=[key], right_on=["DNI"])
+    return out
 
 
 @register("group_overlap", sql=Q.with_(Q.COHORT) + """
@@ -450,12 +451,14 @@ _FILLED = """filled AS (SELECT USUARIO, IDNUMBER, CURID, DES_CURSO,
 
 
 @register("best_rated", settle=["mean_rating"], sql=Q.with_(Q.SURVEY, _FILLED) + """
-SELECT CURID, avg(OPCION_ELEGIDA) AS mean_rating FROM filled GROUP BY CURID""")
+SELECT CURID, mean_rating, row_number() OVER (ORDER BY mean_rating DESC, CURID) AS rank
+FROM (SELECT CURID, avg(OPCION_ELEGIDA) AS mean_rating FROM filled GROUP BY CURID)""")
 def q_best_rated(spark, sf):
-    """Mean answer per course (sorted best first)."""
+    """Mean answer per course, sorted best first, with its rank."""
     f = answers_filled(S.survey(spark, sf))
     m = profile.mean_per_group(f, ["CURID"], "OPCION_ELEGIDA", "mean_rating")
-    return m.orderBy(F.col("mean_rating").desc(), "CURID")
+    m = with_running_totals(m, [F.col("mean_rating").desc(), F.col("CURID")]).withColumn(POS, F.col(POS) + 1)
+    return clean.sort_values(m.withColumnRenamed(POS, "rank"), ["mean_rating"], ascending=False, tie_break=["CURID"])
 
 
 @register("best_rated_top5", settle=["mean_rating"], sql=Q.with_(Q.SURVEY) + """
@@ -598,6 +601,25 @@ def q_pivot_unique(spark, sf):
     return reshape.pivot_unique(S.activity_days(spark, sf), "IDNUMBER", "CURID", "DIAS", list(range(1, 13)))
 
 
+@register("sparse_sum", sql=Q.with_(Q.SURVEY, _FILLED) + """
+SELECT IDNUMBER, CURID, CAST(sum(OPCION_ELEGIDA) AS BIGINT) AS total FROM filled GROUP BY IDNUMBER, CURID""")
+def q_sparse_sum(spark, sf):
+    """Sparse teacher x course build where duplicate cells add up."""
+    f = answers_filled(S.survey(spark, sf))
+    return reshape.sum_duplicates(f, ["IDNUMBER", "CURID"], "OPCION_ELEGIDA", "total").withColumn("total", F.col("total").cast("long"))
+
+
+@register("centred_row_means", settle=["row_mean", "filled_mean"], sql=Q.with_(Q.SURVEY, _FILLED, _RATINGS2) + """
+, c AS (SELECT IDNUMBER, PUNTUACION, PUNTUACION - avg(PUNTUACION) OVER (PARTITION BY IDNUMBER) AS centred FROM ratings2)
+SELECT IDNUMBER, avg(PUNTUACION) AS row_mean,
+       sum(centred) / (SELECT count(DISTINCT CURID) FROM ratings2) AS filled_mean
+FROM c GROUP BY IDNUMBER""")
+def q_centred_row_means(spark, sf):
+    """Row means after centring, with empty cells counted as 0: all are 0 (the reference's check)."""
+    r = ratings(S.survey(spark, sf))
+    return reshape.filled_row_means(reshape.centre_by_row_mean(r, "IDNUMBER", "PUNTUACION"), "IDNUMBER", "CURID", "centred")
+
+
 @register("centred_ratings", settle=["row_mean", "centred"], sql=Q.with_(Q.SURVEY, _FILLED, _RATINGS2) + """
 SELECT CURID, IDNUMBER, PUNTUACION, avg(PUNTUACION) OVER (PARTITION BY IDNUMBER) AS row_mean,
        PUNTUACION - avg(PUNTUACION) OVER (PARTITION BY IDNUMBER) AS centred

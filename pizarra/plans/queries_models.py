@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from pizarra.functions.scalar import recode
 from pizarra.operators import features, models, stats
-from pizarra.operators.clean import capped_per_class, fill_nulls, filter_ne_keep_nulls
+from pizarra.operators.clean import drop_nulls, fill_nulls, filter_ne_keep_nulls
+from pizarra.operators.ordering import GROUP_N, GROUP_POS, with_group_positions
 from pizarra.operators.ratings import ratings
 from pizarra.operators.recommend import neighbour_features
-from pizarra.operators.reshape import append, ordered_split
+from pizarra.operators.reshape import ordered_split
 from pizarra.plans import jobs
 from pizarra.plans.catalog import register
-from pizarra.session import ensure_checkpoint_dir, scratch_path
+from pizarra.session import scratch_path
 from pizarra.sources import io
 from pizarra.sources import standins as S
 
@@ -26,7 +27,7 @@ DROPOUT_NUMERIC = ["Porc_act_realizada", "PORC_DIAS", "NOTA"]
 def dropout_frame(spark, sf):
     """Prepared cohort without the excluded status; target 1 = did not finish."""
     c = filter_ne_keep_nulls(jobs.cohort_prepared(spark, sf), "CUMPLIMIENTO", jobs.EXCLUDED_STATUS)
-    c = fill_nulls(c, {"PORC_DIAS": 0.0})
+    c = drop_nulls(fill_nulls(c, {"PORC_DIAS": 0.0}), DROPOUT_NUMERIC)
     return c.withColumn("target", recode("CUMPLIMIENTO", {"CULMINARON": 0}, 1).cast("double"))
 
 
@@ -36,8 +37,8 @@ def _dropout_split(spark, sf):
 
 
 def _dropout_model(train):
-    n = train.count()
-    return models.logistic_pipeline(DROPOUT_CATEGORICAL, DROPOUT_NUMERIC, "target", n).fit(models.right_sized(train))
+    table = models.fit_table(train, ["USUARIO"])
+    return models.logistic_pipeline(DROPOUT_CATEGORICAL, DROPOUT_NUMERIC, "target", table.count()).fit(table)
 
 
 @register("dropout_scores")
@@ -53,8 +54,7 @@ def q_dropout_report(spark, sf):
     """Hold-out classification report of the drop-out model (truth, prediction)."""
     train, test = _dropout_split(spark, sf)
     scored = _dropout_model(train).transform(test)
-    return stats.class_report(scored, "target", "prediction", positive=1.0).join(
-        stats.confusion(scored, "target", "prediction", positive=1.0))
+    return stats.class_report(scored, "target", "prediction", positive=1.0, counts=True)
 
 
 # Fixed value: enrolments from this date on form the second (scoring) cohort.
@@ -77,7 +77,7 @@ def q_dropout_gbt(spark, sf):
     """Boosted-tree classifier (100 trees) on the same features and split."""
     train, test = _dropout_split(spark, sf)
     model = models.gbt_classifier_pipeline(DROPOUT_CATEGORICAL, DROPOUT_NUMERIC, "target").fit(
-        models.right_sized(train))
+        models.fit_table(train, ["USUARIO"]))
     scored = models.positive_probability(model.transform(test))
     return scored.select("USUARIO", "target", "prediction", "p1")
 
@@ -96,33 +96,35 @@ def q_model_roundtrip(spark, sf):
 
 FORECAST_STRINGS = ["o_orderpriority", "c_mktsegment", "n_name", "r_name"]
 FORECAST_NUMBERS = ["o_totalprice", "c_acctbal", "month"]
+# The reference's extract takes at most so many rows per class; here it bounds the fit only.
 PER_CLASS_CAP = 100_000
 
 
 def forecast_frame(spark, sf):
-    """Training extract: at most 100 000 rows per outcome class, ordered by id."""
+    """Outcome, text and numbers of every order."""
     od = S.table(spark, sf, "orders")
     cust = S.table(spark, sf, "customer")
     nation = S.table(spark, sf, "nation")
     region = S.table(spark, sf, "region")
-    base = (od.join(cust, od.o_custkey == cust.c_custkey)
+    return (od.join(cust, od.o_custkey == cust.c_custkey)
             .join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
             .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
             .select("o_orderkey", "o_orderpriority", "c_mktsegment", "n_name", "r_name", "o_totalprice",
                     "c_acctbal", F.month("o_orderdate").cast("double").alias("month"),
-                    F.when(F.col("o_orderstatus") == "F", "EXITOSO").otherwise("NO EXITOSO").alias("RENDIMIENTO")))
-    ok = capped_per_class(base.filter(F.col("RENDIMIENTO") == "EXITOSO"), "RENDIMIENTO", PER_CLASS_CAP, ["o_orderkey"])
-    ko = capped_per_class(base.filter(F.col("RENDIMIENTO") == "NO EXITOSO"), "RENDIMIENTO", PER_CLASS_CAP,
-                          ["o_orderkey"])
-    return append(ok, ko).withColumn("label", (F.col("RENDIMIENTO") == "NO EXITOSO").cast("double"))
+                    F.when(F.col("o_orderstatus") == "F", "EXITOSO").otherwise("NO EXITOSO").alias("RENDIMIENTO"))
+            .withColumn("label", (F.col("RENDIMIENTO") == "NO EXITOSO").cast("double")))
 
 
 @register("mlp_scores")
 def q_mlp_scores(spark, sf):
     """Perceptron (100, 100 hidden, 300 iterations): label-encoded text and
-    min-max scaled numbers, encoders fitted on the stratified 80 %."""
+    min-max scaled numbers.  Encoders and the fit take the first 100 000 rows per
+    class of the stratified 80 %; every other row is scored."""
     d = features.hash_split(forecast_frame(spark, sf), ["o_orderkey"], 0.8, seed=123, stratify="label")
-    train, test = d.filter("is_train"), d.filter(~F.col("is_train"))
+    placed = with_group_positions(d, F.struct("is_train", "label"), [F.col("o_orderkey")])
+    fit = F.col("is_train") & (F.col(GROUP_POS) < PER_CLASS_CAP)
+    placed = placed.withColumn("_fit", fit).drop(GROUP_POS, GROUP_N)
+    train, rest = placed.filter("_fit"), placed.filter("not _fit")
     enc = features.fit_labels(train, FORECAST_STRINGS)
     scal = features.fit_min_max(train, FORECAST_NUMBERS)
     cols = [f"{c}_code" for c in FORECAST_STRINGS] + FORECAST_NUMBERS
@@ -132,13 +134,11 @@ def q_mlp_scores(spark, sf):
         df = fill_nulls(df, {f"{x}_code": -1 for x in FORECAST_STRINGS})
         return models.vectors(df, cols)
 
-    # the optimiser reads the training vectors once per iteration: write them once
-    ensure_checkpoint_dir(spark)
-    train_vec = models.right_sized(prep(train).select("features", "label")).checkpoint(eager=True)
+    # the optimiser reads the training vectors once per iteration: written once
+    train_vec = models.fit_table(prep(train).select("o_orderkey", "features", "label"), ["o_orderkey"])
     mlp = models.mlp_pipeline(len(cols), "label").fit(train_vec)
-    scored = mlp.transform(prep(test))
-    return scored.select("o_orderkey", "label", "prediction",
-                         vector_to_array("probability")[1].alias("p1"))
+    return mlp.transform(prep(rest)).select("o_orderkey", "label", "is_train", "prediction",
+                                            vector_to_array("probability")[1].alias("p1"))
 
 
 # ---------------------------------------------------------------- J1 clustering
@@ -151,17 +151,21 @@ def _scaled_scores(spark, sf):
 
 @register("kmeans_scores")
 def q_kmeans_scores(spark, sf):
-    """k-means (k=3) on the standardised entry/exit scores, labels 1..3."""
+    """k-means (k=3) on the standardised entry/exit scores, labels 1..3, written to
+    the result table and read back."""
     data = models.vectors(_scaled_scores(spark, sf), ["view_z", "click_z"])
-    _, scored = models.kmeans_labels(data, 3, seed=1)
-    return scored.select("CURID", "IDNUMBER", "view", "click", "clusters")
+    _, scored = models.kmeans_labels(data, 3, seed=1, key=["CURID", "IDNUMBER"])
+    # the job's output: labels written over the result table
+    path = scratch_path(spark, "clusters")
+    io.replace_files(scored.select("CURID", "IDNUMBER", "view", "click", "clusters"), path)
+    return spark.read.parquet(path)
 
 
 @register("cluster_profile")
 def q_cluster_profile(spark, sf):
     """Teachers per k-means cluster (k=4), with the two quality indices."""
     data = models.vectors(_scaled_scores(spark, sf), ["view_z", "click_z"])
-    _, scored = models.kmeans_labels(data, 4, seed=1)
+    _, scored = models.kmeans_labels(data, 4, seed=1, key=["CURID", "IDNUMBER"])
     scored = scored.withColumn("_arr", vector_to_array("features")).cache()
     db = stats.davies_bouldin(scored, "_arr", "clusters").first()["davies_bouldin"]
     sil = stats.silhouette_sq(scored, "_arr", "clusters").first()["silhouette"]
@@ -179,7 +183,7 @@ def q_elbow(spark, sf):
 
 @register("compare_k")
 def q_compare_k(spark, sf):
-    """k-means vs sample-fitted (mini-batch) k-means for k = 3..6: Davies-Bouldin and silhouette."""
+    """k-means vs mini-batch k-means, both over all rows, for k = 3..6: Davies-Bouldin and silhouette."""
     rows = models.compare_clusterers(_scaled_scores(spark, sf), ["view_z", "click_z"], range(3, 7))
     return spark.createDataFrame(rows, "algorithm string, k long, davies_bouldin double, silhouette double")
 
@@ -198,8 +202,7 @@ def _rating_features(spark, sf, part: str):
     f = neighbour_features(train if part == "train" else test, "USUARIO", "CURID", "PUNTUACION")
     # written once to the checkpoint folder: the boosting passes read it many
     # times and must not re-run the similarity blocks
-    ensure_checkpoint_dir(spark)
-    return models.right_sized(f.withColumn("puntuacion", F.col("puntuacion").cast("double"))).checkpoint(eager=True)
+    return models.fit_table(f.withColumn("puntuacion", F.col("puntuacion").cast("double")), ["USUARIO", "CURID"])
 
 
 @register("gbt_ratings")

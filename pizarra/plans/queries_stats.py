@@ -72,7 +72,10 @@ def q_one_hot(spark, sf):
     return fit.transform(c, keep=["USUARIO", "Porc_act_realizada"])
 
 
-@register("stratified_split")
+@register("stratified_split", sql=Q.with_(Q.COHORT) + """
+SELECT USUARIO, CUMPLIMIENTO, row_number() OVER (PARTITION BY CUMPLIMIENTO ORDER BY md5(concat_ws('|', CAST(USUARIO AS VARCHAR), '42')), USUARIO)
+       <= floor(CAST(count(*) OVER (PARTITION BY CUMPLIMIENTO) AS DOUBLE) * CAST(0.8 AS DOUBLE)) AS is_train
+FROM cohort""")
 def q_stratified_split(spark, sf):
     """Seeded 80/20 split per outcome class (share per class is the check)."""
     c = S.cohort(spark, sf).select("USUARIO", "CUMPLIMIENTO")
@@ -200,7 +203,7 @@ def q_normality(spark, sf):
     return stats.normality(_emb_long(spark, sf), "dim", "value")
 
 
-@register("kruskal", settle=["H"], sql="WITH " + _PTS + """,
+_KRUSKAL = "WITH " + _PTS + """,
 r AS (SELECT dim, label, rank() OVER (PARTITION BY dim ORDER BY x)
                            + (count(*) OVER (PARTITION BY dim, x) - 1) / 2.0 AS rk FROM pts),
 g AS (SELECT dim, label, sum(rk) AS R, count(*) AS ni FROM r GROUP BY dim, label),
@@ -208,13 +211,27 @@ t AS (SELECT dim, sum(power(c, 3) - c) AS tt FROM (SELECT dim, x, count(*) AS c
 h AS (SELECT dim, sum(R * R / ni) AS sr, CAST(sum(ni) AS DOUBLE) AS N, count(*) AS k FROM g GROUP BY dim)
 SELECT CAST(dim AS BIGINT) AS dim, (12.0 / (N * (N + 1)) * sr - 3 * (N + 1)) / (1 - tt / (N * N * N - N)) AS H,
        CAST(k - 1 AS BIGINT) AS dof, CAST(N AS BIGINT) AS n
-FROM h JOIN t USING (dim)""")
+FROM h JOIN t USING (dim)"""
+
+
+@register("kruskal", settle=["H"], sql=_KRUSKAL)
 def q_kruskal(spark, sf):
     """Kruskal-Wallis H of every vector dimension across the given labels."""
     return stats.kruskal_h(_emb_long(spark, sf), "dim", "label", "value")
 
 
-@register("kruskal_p")
+# chi-square tail: closed series for even degrees of freedom; for odd ones the series of erf as well
+_CHI2_TAIL = """
+SELECT dim, H, dof, n, CASE WHEN H <= 0 THEN 1 WHEN dof % 2 = 0 THEN
+    exp(-H / 2) * list_sum(list_transform(range(0, dof // 2), lambda j: exp(j * ln(H / 2) - lgamma(j + 1))))
+  ELSE 1 - 2 / sqrt(pi()) * exp(-H / 2) * list_sum(list_transform(range(0, 200), lambda j:
+      exp(j * ln(4.0) + lgamma(j + 1) - lgamma(2 * j + 2) + (2 * j + 1) * ln(sqrt(H / 2)))))
+    + coalesce(sqrt(2 * H / pi()) * exp(-H / 2) * list_sum(list_transform(range(0, (dof - 1) // 2), lambda j:
+      exp(j * ln(H) + j * ln(2.0) + lgamma(j + 1) - lgamma(2 * j + 2)))), 0) END AS p_value
+FROM (""" + _KRUSKAL + ")"
+
+
+@register("kruskal_p", settle=["H", "p_value"], sql=_CHI2_TAIL)
 def q_kruskal_p(spark, sf):
     """Kruskal-Wallis H with its chi-square p-value."""
     h = stats.kruskal_h(_emb_long(spark, sf), "dim", "label", "value")

@@ -52,7 +52,6 @@ _SHIPPED: set[str] = set()
 def ship_code(spark: SparkSession) -> None:
     """Send this package to the executors (``addPyFile`` of a zip), once per
     application, so Python tasks can import the helpers they call."""
-    import hashlib
     import io
     import zipfile
 
@@ -67,12 +66,10 @@ def ship_code(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     zf.write(full, os.path.join("pizarra", os.path.relpath(full, root)))
-    data = buf.getvalue()
-    digest = hashlib.sha1(data).hexdigest()[:12]
-    path = os.path.join(tempfile.gettempdir(), f"pizarra-{digest}.zip")
-    if not os.path.exists(path):
-        with open(path, "wb") as fh:
-            fh.write(data)
+    # a fresh private folder: nobody else can have put a file there
+    path = os.path.join(tempfile.mkdtemp(prefix="pizarra-code-"), "pizarra-code.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
 
@@ -80,8 +77,10 @@ def ship_code(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only set our own when
-    nothing is configured (local tests), never overriding the cluster's.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master, whose
+    executors share the driver's disk, gets a temporary folder when nothing is
+    configured; elsewhere that is an error, since executors would each write to
+    a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -89,6 +88,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="pizarra-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
@@ -102,5 +103,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     machine-local temp folder of its own.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    token = os.urandom(6).hex()
-    return f"{base}/pizarra-{name}-{token}"
+    path = f"{base}/pizarra-{name}-{os.urandom(6).hex()}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this application wrote (their results must
+    have been read by then); how many there were."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)

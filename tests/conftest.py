@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pizarra.session import get_session  # noqa: E402
+from pizarra.session import clean_scratch, get_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -15,3 +15,4 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     s = get_session("local[*]", app="pizarra-tests", **{"spark.sql.shuffle.partitions": "8"})
     yield s
+    clean_scratch(s)

@@ -4,19 +4,20 @@ from pyspark.sql import functions as F
 from pizarra.operators import clean, joins
 
 
-def test_merge_suffix_layout_matches_pandas(spark):
-    a = pd.DataFrame({"id": [10, 20, 30], "v": [1, 2, 3]})
-    b = pd.DataFrame({"DNI": [10, 30], "x": [1.0, 3.0]})
-    c = pd.DataFrame({"DNI": [20, 30], "y": [2.0, 3.0]})
-    d = pd.DataFrame({"DNI": [10], "z": [5.0]})
-    m1 = pd.merge(a, b, how="left", left_on="id", right_on="DNI")
-    m2 = pd.merge(m1, c, how="left", left_on="id", right_on="DNI")
-    m3 = pd.merge(m2, d, how="left", left_on="DNI_x", right_on="DNI")
-    sa, sb, sc, sd = (spark.createDataFrame(t) for t in (a, b, c, d))
-    s1 = joins.merge(sa, sb, left_on=["id"], right_on=["DNI"])
-    s2 = joins.merge(s1, sc, left_on=["id"], right_on=["DNI"])
-    s3 = joins.merge(s2, sd, left_on=["DNI_x"], right_on=["DNI"])
-    assert s3.columns == list(m3.columns)
+def test_same_named_keys_get_suffixes_and_lone_ones_keep_their_name(spark):
+    people = spark.createDataFrame([("ana", 7), ("ben", 8)], "person string, badge long")
+    rooms = spark.createDataFrame([(7, "attic")], "code long, room string")
+    desks = spark.createDataFrame([(8, 3)], "code long, desk long")
+    once = joins.merge(people, rooms, left_on=["badge"], right_on=["code"])
+    assert once.columns == ["person", "badge", "code", "room"]
+    twice = joins.merge(once, desks, left_on=["badge"], right_on=["code"])
+    assert twice.columns == ["person", "badge", "code_x", "room", "code_y", "desk"]
+    assert sorted(map(tuple, twice.collect())) == [("ana", 7, 7, "attic", None, None), ("ben", 8, None, None, 8, 3)]
+    # the third table meets the suffixed key; its own key has no twin by then
+    doors = spark.createDataFrame([(7, "red")], "code long, door string")
+    thrice = joins.merge(twice, doors, left_on=["code_x"], right_on=["code"])
+    assert thrice.columns == ["person", "badge", "code_x", "room", "code_y", "desk", "code", "door"]
+    assert {r.person: r.door for r in thrice.collect()} == {"ana": "red", "ben": None}
 
 
 def test_shared_key_once(spark):
@@ -53,8 +54,8 @@ def test_fill_keeps_type(spark):
     assert [r[0] for r in out.collect()] == [3, 2]
 
 
-def test_capped_per_class_large_cap_uses_numbering(spark, monkeypatch):
-    monkeypatch.setattr(clean, "GROUP_LIMIT_THRESHOLD", 2)
-    df = spark.createDataFrame([(c, i) for c in "ab" for i in range(50)], "c string, i long").repartition(5)
+def test_capped_per_class_with_a_hot_and_a_null_class(spark):
+    rows = [("a", i) for i in range(400)] + [("b", i) for i in range(3)] + [(None, i) for i in range(9)]
+    df = spark.createDataFrame(rows, "c string, i long").repartition(5)
     out = clean.capped_per_class(df, "c", 7, ["i"]).collect()
-    assert sorted((r.c, r.i) for r in out) == [(c, i) for c in "ab" for i in range(7)]
+    assert sorted((str(r.c), r.i) for r in out) == sorted([(c, i) for c in ("a", "None") for i in range(7)] + [("b", i) for i in range(3)])

@@ -16,10 +16,10 @@ def test_scalers_constant_columns(spark):
 def test_labels_sorted_and_inverse(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "s string")
     fit = features.fit_labels(df, ["s"])
-    assert fit.labels["s"] == ["a", "b", "c"]
-    out = fit.inverse(fit.transform(df), {"s2": "s_code"} if False else {"s": "s_code"})
-    assert [r.s_code for r in fit.transform(df).collect()] == [1, 0, 2, 0]
-    assert [r.s for r in out.collect()] == ["b", "a", "c", "a"]
+    other = spark.createDataFrame([("b", 1), ("c", 2), ("zz", 3), (None, 4), ("a", 5)], "s string, i long")
+    coded = fit.transform(other)
+    assert {r.i: r.s_code for r in coded.collect()} == {1: 1, 2: 2, 3: None, 4: None, 5: 0}
+    assert {r.i: r.s for r in fit.inverse(coded, {"s": "s_code"}).collect()} == {1: "b", 2: "c", 3: None, 4: None, 5: "a"}
 
 
 def test_one_hot_unseen_is_zero(spark):
@@ -75,3 +75,48 @@ def test_describe_sketch_close_to_exact(spark):
     approx = profile.describe(df, ["v"], approximate=True).first()
     for q in ("p25", "p50", "p75"):
         assert abs(exact[q] - approx[q]) < 0.01
+
+
+def test_scalers_take_columns_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
+    for scaled in (features.standardise(df, ["a", "b"]), features.min_max(df, ["a", "b"])):
+        assert [r.a for r in scaled.collect()] == [None, None]
+
+
+def test_null_and_unseen_categories_encode_as_zeros(spark):
+    from pyspark.ml import Pipeline
+
+    train = spark.createDataFrame([("x", 1.0), ("y", 2.0), (None, 3.0)], "s string, v double")
+    model = Pipeline(stages=models.encoded_features(["s"], ["v"])).fit(train)
+    new = spark.createDataFrame([("x", 0.0), ("y", 0.0), (None, 0.0), ("new", 0.0)], "s string, v double")
+    got = {r.s: list(r.features) for r in model.transform(new).collect()}
+    assert got == {"x": [1.0, 0.0, 0.0], "y": [0.0, 1.0, 0.0], None: [0.0, 0.0, 0.0], "new": [0.0, 0.0, 0.0]}
+
+
+def test_one_cluster_inertia_on_shifted_data(spark):
+    df = spark.createDataFrame([(1e9 + i,) for i in range(10)], "a double")
+    assert models.inertia_one_cluster(df, ["a"]) == pytest.approx(82.5)
+
+
+def test_seeds_come_from_all_rows_and_reach_far_ones(spark):
+    # one far row among 30 000: D-squared sampling must pick it as an early center
+    df = spark.range(30_000).selectExpr("id", "cast(id % 7 as double) as a", "if(id = 29999, 1e6, 0.0) as b")
+    data = models._points(df, ["a", "b"], ["id"])
+    for chain in models.seed_chains(data, 2, 3, seed=5):
+        assert (chain[:, 1] == 1e6).any()
+
+
+def test_every_batch_and_pass_reads_every_row(spark):
+    df = spark.range(5000).selectExpr("id", "cast(id % 5 as double) as a")
+    data = models._points(df, ["a"], ["id"])
+    (n, sums, cost), = models._assign(data, {0: np.array([[0.0]])}, 1).values()
+    assert n.sum() == 5000 and sums[0, 0] == 10_000 and cost == 30_000
+    parts = [models._assign(data.where(f"pmod(xxhash64(_id), 8) = {b}"), {0: np.array([[0.0]])}, 1)[0][0].sum() for b in range(8)]
+    assert sum(parts) == 5000 and min(parts) > 400
+    assert sorted(models.minibatch_kmeans(df, ["a"], [2], key=["id"])[2].ravel().tolist())[0] < 2
+
+
+def test_one_hot_refuses_too_many_categories(spark, monkeypatch):
+    monkeypatch.setattr(features, "MAX_CATEGORIES", 3)
+    with pytest.raises(ValueError):
+        features.fit_one_hot(spark.range(4).selectExpr("cast(id as string) as s"), ["s"])

@@ -108,3 +108,18 @@ def test_grouping_sets_means_match_pandas(spark):
     assert np.allclose(users.sort_index().to_numpy(), nz.groupby("u").r.mean().sort_index().to_numpy())
     assert np.allclose(items.sort_index().to_numpy(), nz.groupby("c").r.mean().sort_index().to_numpy())
     assert total == pytest.approx(nz.r.mean())
+
+
+def test_sparsity_of_an_empty_table(spark):
+    from pizarra.operators import profile
+
+    assert profile.sparsity(spark.createDataFrame([], "u long, c long"), "u", "c").first()["sparsity"] is None
+
+
+def test_sum_duplicates_and_filled_row_means(spark):
+    from pizarra.operators import reshape
+
+    df = spark.createDataFrame([(1, 10, 2.0), (1, 10, 3.0), (1, 11, 1.0), (2, 10, 4.0)], "u long, c long, r double")
+    assert {(r.u, r.c): r.r for r in reshape.sum_duplicates(df, ["u", "c"], "r").collect()} == {(1, 10): 5.0, (1, 11): 1.0, (2, 10): 4.0}
+    means = reshape.filled_row_means(reshape.centre_by_row_mean(df, "u", "r"), "u", "c", "centred").collect()
+    assert {r.u: (r.row_mean, r.filled_mean) for r in means} == {1: (2.0, 0.0), 2: (4.0, 0.0)}

@@ -34,6 +34,7 @@ FLUSH = 1 << 20          # signatures a map task holds before it sends them
 PER_BUCKET = 1 << 21     # signatures a bucket is meant to hold
 GROUP_CHUNK = 4096       # members of a shared signature in one row
 BLOCK = 512              # members compared with as many others at a time
+NEAR = 2                 # likeliest partners that a set is compared with at first; four times as many each round
 FILTER_BITS = 1 << 27    # of the broadcast filter: 16 MB; a fuller one only lets more through
 
 _U = np.uint64
@@ -347,9 +348,10 @@ def _plausible(pairs: DataFrame, info: DataFrame) -> DataFrame:
     return met.select("u", "v", "n1", "n2", "s1", "s2").mapInArrow(allow, "u long, v long")
 
 
-def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame) -> DataFrame:
+def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame, near: int) -> DataFrame:
     """Pairs of sets that share a group, aren't in one component yet and whose
-    sketches and sizes allow the similarity.  Groups are compared block by block."""
+    sketches and sizes allow the similarity: of each set the ``near`` likeliest
+    in every block of its group (``u, v``), and the groups that have more (``grp``)."""
     member = groups.select("grp", F.explode("members").alias("node")).distinct()
     placed = member.join(roots, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("root"))
     split = placed.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi")
@@ -362,12 +364,21 @@ def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame) -> DataFrame
 
     def compare(batches):
         for batch in batches:
-            for same, x, y in zip(*(batch.column(k) for k in range(3))):
-                x, y = _members(x.values), _members(y.values)
-                out = _allowed(x, y, same.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["u", "v"])
-
-    return both.select(F.expr("block = block2"), "x", "y").mapInArrow(compare, "u long, v long").distinct()
+            u, v, more = [], [], []
+            for grp, same, x, y in zip(*(batch.column(k) for k in range(4))):
+                a, b, cut = _allowed(_members(x.values), _members(y.values), same.as_py(), near)
+                u.append(a)
+                v.append(b)
+                if cut:
+                    more.append(grp.as_py())
+            u, v = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (u, v))
+            pairs = np.unique(np.stack([u, v], axis=1), axis=0)
+            n, m = len(pairs), len(more)
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([pa.array(pairs[:, 0]), pa.nulls(m, pa.int64())]), pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(m, pa.int64())]),
+                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(more, pa.int64())])], names=["u", "v", "grp"])
+
+    return both.select("grp", F.expr("block = block2"), "x", "y").mapInArrow(compare, "u long, v long, grp long")
 
 
 def _members(x: pa.StructArray):
@@ -375,24 +386,27 @@ def _members(x: pa.StructArray):
     return node, root, n, [np.frombuffer(b, np.uint8) for b in x.field(3).to_pylist()]
 
 
-def _allowed(x, y, same: bool) -> tuple[np.ndarray, np.ndarray]:
+def _allowed(x, y, same: bool, near: int) -> tuple[np.ndarray, np.ndarray, bool]:
     (a, ra, na, sa), (b, rb, nb, sb) = x, y
-    us, vs = [], []
-    for i in range(len(a)):
-        j = np.flatnonzero((rb != ra[i]) & (5 * np.minimum(nb, na[i]) >= 4 * np.maximum(nb, na[i])))
-        if same:
-            j = j[j > i]
-        if not len(j):
-            continue
-        width = min(len(sa[i]), min(len(sb[k]) for k in j))
-        mine = _fold(sa[i], width)
-        theirs = np.stack([_fold(sb[k], width) for k in j])
-        apart = np.bitwise_count(theirs ^ mine).sum(axis=1)
-        j = j[9 * apart <= na[i] + nb[j]]
-        us.append(np.minimum(a[i], b[j]))
-        vs.append(np.maximum(a[i], b[j]))
+    us, vs, cut = [], [], False
+    for side in (0,) if same else (0, 1):     # both sides choose their likeliest
+        if side:
+            (a, ra, na, sa), (b, rb, nb, sb) = y, x
+        for i in range(len(a)):
+            j = np.flatnonzero((rb != ra[i]) & (5 * np.minimum(nb, na[i]) >= 4 * np.maximum(nb, na[i])))
+            if not len(j):
+                continue
+            width = min(len(sa[i]), min(len(sb[k]) for k in j))
+            apart = np.bitwise_count(np.stack([_fold(sb[k], width) for k in j]) ^ _fold(sa[i], width)).sum(axis=1)
+            ok = 9 * apart <= na[i] + nb[j]
+            j, apart = j[ok], apart[ok]
+            if len(j) > near:
+                cut = True
+                j = j[np.lexsort((b[j], apart))[:near]]
+            us.append(np.minimum(a[i], b[j]))
+            vs.append(np.maximum(a[i], b[j]))
     empty = np.empty(0, np.int64)
-    return (np.concatenate(us), np.concatenate(vs)) if us else (empty, empty)
+    return (np.concatenate(us), np.concatenate(vs), cut) if us else (empty, empty, cut)
 
 
 def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -400,9 +414,11 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     id that links lead to.
 
     Sets that are equal are one set from the start.  First every set is compared with
-    the set that leads most groups (sets with a common signature) it is in; then all pairs
-    that share a group and aren't connected by then, unless size or sketch rule them out.
-    So very many near copies of each other cost some comparisons each, not all pairs, and
+    the set that leads most groups (sets with a common signature) it is in.  Then, in
+    rounds, each set is compared with its likeliest partners among those it shares a group
+    with and isn't connected to by then; pairs that sizes or sketches rule out never are.
+    The rounds end when no group has a pair left to compare (at last every one is), so
+    very many near copies of each other cost some comparisons each, not all pairs, and
     yet no link between components is missed.
 
     A null text is empty; an empty set links with nothing.  Rows with a null id have a
@@ -426,11 +442,19 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "info")
     first = written(_plausible(best, info), "pairs")
     one = written(_verified(first, info, slim), "links")
-    roots = components(one)
-    tried = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    rest = written(_crossing(groups, roots, info).join(tried, ["u", "v"], "left_anti"), "pairs")
-    two = written(_verified(rest, info, slim), "links")
-    roots = components(one.unionByName(two))
+    links, tried, near = one, first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), NEAR
+    while True:
+        found = written(_crossing(groups, components(links), info, near), "crossing")
+        rest = written(found.where("u is not null").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
+        if not rest.isEmpty():
+            links = links.unionByName(written(_verified(rest, info, slim), "links"))
+            tried = tried.unionByName(rest)
+        more = found.where("grp is not null").select("grp").distinct()
+        if near >= BLOCK or more.isEmpty():
+            break
+        groups = written(groups.join(more, "grp", "left_semi"), "groups")
+        near *= 4
+    roots = components(links)
     placed = people.join(roots, "node", "left").withColumn("root", F.when(F.col("node") != 0, F.coalesce("root", "node")))
     least = placed.where("root is not null and doc_id is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return placed.join(least, "root", "left").select(

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from pizarra.session import ensure_checkpoint_dir, scratch_path, ship_code
 
-SLICE_BYTES = 8 << 20    # text bytes that one vectorised step works on
+SLICE_BYTES = 4 << 20    # text bytes that one vectorised step works on
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

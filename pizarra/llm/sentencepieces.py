@@ -24,7 +24,7 @@ from pizarra.llm.hashing import keyed, mix, span_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIT_BYTES = 48
-WORK_BYTES = 4 << 20
+WORK_BYTES = 2 << 20
 SPACE, LINE = 0x20, 0x0A
 
 

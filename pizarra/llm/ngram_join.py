@@ -34,7 +34,7 @@ FLUSH = 1 << 20          # signatures a map task holds before it sends them
 PER_BUCKET = 1 << 21     # signatures a bucket is meant to hold
 GROUP_CHUNK = 4096       # members of a shared signature in one row
 BLOCK = 512              # members compared with as many others at a time
-NEAR = 2                 # likeliest partners that a set is compared with at first; four times as many each round
+NEAR = 4                 # likeliest partners that a set is compared with at first; sixteen times as many each round
 FILTER_BITS = 1 << 27    # of the broadcast filter: 16 MB; a fuller one only lets more through
 
 _U = np.uint64
@@ -386,25 +386,44 @@ def _members(x: pa.StructArray):
     return node, root, n, [np.frombuffer(b, np.uint8) for b in x.field(3).to_pylist()]
 
 
+def _folded(sketches: list[np.ndarray], width: int) -> np.ndarray:
+    """The sketches at one width, as rows of 64-bit words."""
+    out = np.empty((len(sketches), width), np.uint8)
+    for i, s in enumerate(sketches):
+        out[i] = s if len(s) == width else _fold(s, width)
+    return out.view(_U)
+
+
 def _allowed(x, y, same: bool, near: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """The pairs to compare of two blocks, each set with its ``near`` likeliest, and
+    whether a set has more."""
     (a, ra, na, sa), (b, rb, nb, sb) = x, y
+    width = min(map(len, sa + sb))
+    wa, wb = _folded(sa, width), _folded(sb, width)
+    total = na[:, None] + nb[None, :]
+    far = np.iinfo(np.int32).max
+    apart = np.full((len(a), len(b)), far, np.int32)
+    step = max(1, (1 << 20) // (len(b) * wa.shape[1]))
+    for i in range(0, len(a), step):
+        d = np.bitwise_count(wa[i:i + step, None, :] ^ wb[None, :, :]).sum(axis=2, dtype=np.int32)
+        ok = (ra[i:i + step, None] != rb[None, :]) & (9 * d <= total[i:i + step])
+        ok &= 9 * np.minimum(na[i:i + step, None], nb[None, :]) >= 4 * total[i:i + step]       # the smaller has 4/5 of the larger
+        apart[i:i + step] = np.where(ok, d, far)
     us, vs, cut = [], [], False
-    for side in (0,) if same else (0, 1):     # both sides choose their likeliest
-        if side:
-            (a, ra, na, sa), (b, rb, nb, sb) = y, x
-        for i in range(len(a)):
-            j = np.flatnonzero((rb != ra[i]) & (5 * np.minimum(nb, na[i]) >= 4 * np.maximum(nb, na[i])))
-            if not len(j):
-                continue
-            width = min(len(sa[i]), min(len(sb[k]) for k in j))
-            apart = np.bitwise_count(np.stack([_fold(sb[k], width) for k in j]) ^ _fold(sa[i], width)).sum(axis=1)
-            ok = 9 * apart <= na[i] + nb[j]
-            j, apart = j[ok], apart[ok]
-            if len(j) > near:
-                cut = True
-                j = j[np.lexsort((b[j], apart))[:near]]
-            us.append(np.minimum(a[i], b[j]))
-            vs.append(np.maximum(a[i], b[j]))
+    for m, p, q in ((apart, a, b), (apart.T, b, a))[:1 if same else 2]:      # both sides choose
+        n = (m < far).sum(axis=1)
+        if not n.any():
+            break
+        if n.max() > near:
+            cut = True
+            pick = np.argpartition(m, near - 1, axis=1)[:, :near]
+            i, j = np.repeat(np.arange(len(m)), near), pick.ravel()
+            hit = m[i, j] < far
+            i, j = i[hit], j[hit]
+        else:
+            i, j = np.nonzero(m < far)
+        us.append(np.minimum(p[i], q[j]))
+        vs.append(np.maximum(p[i], q[j]))
     empty = np.empty(0, np.int64)
     return (np.concatenate(us), np.concatenate(vs), cut) if us else (empty, empty, cut)
 
@@ -443,18 +462,21 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = written(_plausible(best, info), "pairs")
     one = written(_verified(first, info, slim), "links")
     links, tried, near = one, first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), NEAR
+    roots = components(links)
     while True:
-        found = written(_crossing(groups, components(links), info, near), "crossing")
+        found = written(_crossing(groups, roots, info, near), "crossing")
         rest = written(found.where("u is not null").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
         if not rest.isEmpty():
-            links = links.unionByName(written(_verified(rest, info, slim), "links"))
+            new = written(_verified(rest, info, slim), "links")
+            if not new.isEmpty():
+                links = links.unionByName(new)
+                roots = components(links)
             tried = tried.unionByName(rest)
         more = found.where("grp is not null").select("grp").distinct()
         if near >= BLOCK or more.isEmpty():
             break
         groups = written(groups.join(more, "grp", "left_semi"), "groups")
-        near *= 4
-    roots = components(links)
+        near = min(16 * near, BLOCK)
     placed = people.join(roots, "node", "left").withColumn("root", F.when(F.col("node") != 0, F.coalesce("root", "node")))
     least = placed.where("root is not null and doc_id is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return placed.join(least, "root", "left").select(

@@ -119,7 +119,12 @@ def q_svd_block_rmse(spark, sf):
     return stats.rmse(block, pred, ["IDNUMBER", "CURID"], "PUNTUACION", "prediction")
 
 
-@register("sampled_block")
+@register("sampled_block", sql=_R + """
+, us AS (SELECT u FROM (SELECT DISTINCT u FROM r) ORDER BY md5(concat_ws('|', CAST(u AS VARCHAR), '15')), u LIMIT 100),
+ci AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT c FROM r)),
+dr AS (SELECT CAST(concat('0x', substr(md5(concat_ws('|', CAST(i AS VARCHAR), '15')), 1, 8)) AS BIGINT) AS h FROM range(10) t(i))
+SELECT r.c AS CURID, r.u AS USUARIO, r.p AS PUNTUACION FROM r
+WHERE r.u IN (SELECT u FROM us) AND r.c IN (SELECT ci.c FROM ci JOIN dr ON ci.pos = dr.h % ci.n)""")
 def q_sampled_block(spark, sf):
     """Ratings of 100 sampled teachers x 10 course draws (with replacement), seed 15."""
     return recommend.sampled_block(_ratings0(spark, sf), "USUARIO", "CURID", 100, 10, seed=15)

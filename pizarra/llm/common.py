@@ -10,6 +10,8 @@ Rules all operators keep, unless their docstring says otherwise:
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -76,6 +78,18 @@ def through(docs: DataFrame, inputs: list[Column], work, extra: list[tuple[str,
     return wide.mapInArrow(run, schema).toDF(*docs.columns, *[x for x, _ in extra])
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, n: int):
+    """Batches of at most ``n`` rows for the Python work run inside: for rows that are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -109,5 +123,5 @@ def slices(batch: pa.RecordBatch, text_index: int, max_bytes: int = SLICE_BYTES,
         i = j
 
 
-__all__ = ["table", "through", "written", "fresh", "col", "id_text", "shuffle_partitions", "text_buffers", "slices",
+__all__ = ["arrow_rows", "table", "through", "written", "fresh", "col", "id_text", "shuffle_partitions", "text_buffers", "slices",
            "ensure_checkpoint_dir", "scratch_path", "ship_code", "SLICE_BYTES"]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pizarra.llm.common import col, fresh, id_text, ship_code, shuffle_partitions, slices, written
+from pizarra.llm.common import arrow_rows, col, fresh, id_text, ship_code, shuffle_partitions, slices, written
 from pizarra.llm.components import components
 from pizarra.llm.hashing import gram_hashes, keyed, mix, span_hashes, stream, word_spans
 from pizarra.llm.packed import SCHEMA, by_bucket, bucket_of, pack, unpack
@@ -33,6 +33,7 @@ LEVELS = 8
 FLUSH = 1 << 20          # signatures a map task holds before it sends them
 PER_BUCKET = 1 << 21     # signatures a bucket is meant to hold
 GROUP_CHUNK = 4096       # members of a shared signature in one row
+BLOCK_ROWS, SET_ROWS = 32, 1000   # pairs of blocks, and sets, that a task takes in at a time
 BLOCK = 512              # members compared with as many others at a time
 NEAR = 4                 # likeliest partners that a set is compared with at first; sixteen times as many each round
 FILTER_BITS = 1 << 27    # of the broadcast filter: 16 MB; a fuller one only lets more through
@@ -460,14 +461,17 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     info = written(sized.join(nodes, "node").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "info")
     first = written(_plausible(best, info), "pairs")
-    one = written(_verified(first, info, slim), "links")
+    with arrow_rows(spark, SET_ROWS):
+        one = written(_verified(first, info, slim), "links")
     links, tried, near = one, first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), NEAR
     roots = components(links)
     while True:
-        found = written(_crossing(groups, roots, info, near), "crossing")
+        with arrow_rows(spark, BLOCK_ROWS):
+            found = written(_crossing(groups, roots, info, near), "crossing")
         rest = written(found.where("u is not null").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
         if not rest.isEmpty():
-            new = written(_verified(rest, info, slim), "links")
+            with arrow_rows(spark, SET_ROWS):
+                new = written(_verified(rest, info, slim), "links")
             if not new.isEmpty():
                 links = links.unionByName(new)
                 roots = components(links)

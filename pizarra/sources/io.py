@@ -38,24 +38,28 @@ def read_table(spark: SparkSession, options: Mapping[str, str], query: str | Non
     """Read from a database through JDBC.
 
     ``options`` holds url/user/password/driver (from configuration, never
-    from code).  A ``table`` read can be split over ``num_partitions``
-    parallel range queries on a numeric ``partition_column``; a free-form
-    ``query`` is read by one task, so prefer ``table`` for big extracts.
+    from code).  A ``table`` or a free-form ``query`` can be split over
+    ``num_partitions`` parallel range queries on a numeric
+    ``partition_column``; without one a query is read by one task.
     Filters and projections on the result are pushed into the database.
     """
-    reader = spark.read.format("jdbc").options(**options)
-    if query is not None:
-        reader = reader.option("query", query)
-    else:
-        reader = reader.option("dbtable", table)
-        if partition_column:
-            reader = (
-                reader.option("partitionColumn", partition_column)
-                .option("lowerBound", lower_bound)
-                .option("upperBound", upper_bound)
-                .option("numPartitions", num_partitions or 8)
-            )
-    return reader.load()
+    return spark.read.format("jdbc").options(
+        **options, **table_options(query, table, partition_column, lower_bound, upper_bound, num_partitions)).load()
+
+
+def table_options(query: str | None = None, table: str | None = None, partition_column: str | None = None,
+                  lower_bound: int | None = None, upper_bound: int | None = None,
+                  num_partitions: int | None = None) -> dict[str, str]:
+    """The JDBC options that say what to read, and in how many ranges."""
+    if (query is None) == (table is None):
+        raise ValueError("give either a query or a table")
+    if partition_column is None:
+        return {"query": query} if query is not None else {"dbtable": table}
+    if lower_bound is None or upper_bound is None:
+        raise ValueError("a partitioned read needs the column's bounds")
+    # a query can be split only as a derived table
+    return {"dbtable": table if query is None else f"({query}) q", "partitionColumn": partition_column,
+            "lowerBound": str(lower_bound), "upperBound": str(upper_bound), "numPartitions": str(num_partitions or 8)}
 
 
 def replace_table(df: DataFrame, options: Mapping[str, str], table: str, batch_size: int = 10000) -> None:

@@ -11,6 +11,7 @@ Rules all operators keep, unless their docstring says otherwise:
 from __future__ import annotations
 
 import contextlib
+import ctypes
 
 import numpy as np
 import pyarrow as pa
@@ -94,6 +95,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker process serves many tasks, and
+    what one of them has freed should not stand against the executor's limit."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def text_buffers(arr) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an Arrow string column and its ``n + 1`` offsets into
     them; nulls are empty."""
@@ -121,7 +133,8 @@ def slices(batch: pa.RecordBatch, text_index: int, max_bytes: int = SLICE_BYTES,
         j = max(i + 1, int(np.searchsorted(off, off[i] + max_bytes, side="right")) - 1)
         yield batch.slice(i, j - i), data[off[i]:off[j]], off[i:j + 1] - off[i]
         i = j
+    release()
 
 
-__all__ = ["arrow_rows", "table", "through", "written", "fresh", "col", "id_text", "shuffle_partitions", "text_buffers", "slices",
+__all__ = ["arrow_rows", "release", "table", "through", "written", "fresh", "col", "id_text", "shuffle_partitions", "text_buffers", "slices",
            "ensure_checkpoint_dir", "scratch_path", "ship_code", "SLICE_BYTES"]

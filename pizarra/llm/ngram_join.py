@@ -31,7 +31,7 @@ from pizarra.llm.packed import SCHEMA, by_bucket, bucket_of, pack, unpack
 WORDS = 5
 LEVELS = 8
 FLUSH = 1 << 20          # signatures a map task holds before it sends them
-PER_BUCKET = 1 << 21     # signatures a bucket is meant to hold
+PER_BUCKET = 1 << 20     # signatures a bucket is meant to hold
 GROUP_CHUNK = 4096       # members of a shared signature in one row
 BLOCK_ROWS, SET_ROWS = 32, 1000   # pairs of blocks, and sets, that a task takes in at a time
 BLOCK = 512              # members compared with as many others at a time
@@ -450,7 +450,8 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     slim = id_text(docs, id_col, text_col)
     chars = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(shuffle_partitions(spark), int(chars // 6 * 0.6 // PER_BUCKET) + 1)   # 0.6 signatures a word
-    signed = written(_signed(slim, n_buckets), "signatures")
+    with arrow_rows(spark, SET_ROWS):
+        signed = written(_signed(slim, n_buckets), "signatures")
     people = signed.where("kind = 0").select("doc_id", "n_shingles", "node")
     groups = signed.where("kind = 1").select("grp", F.col("node").alias("u"), "members")
     led = groups.select("u", F.explode("members").alias("v")).where("u <> v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("w"))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pizarra.llm.common import shuffle_partitions
+from pizarra.llm.common import release, shuffle_partitions
 
 FLUSH = 1 << 20           # entries that a map task holds before it sends them
 PER_BUCKET = 1 << 19      # entries that a bucket is meant to hold
@@ -65,10 +65,13 @@ def by_bucket(df: DataFrame, process: Callable[[int, list[bytes]], Iterator[pa.R
                 if held and b != now:
                     yield from process(now, held)
                     held = []
+                    release()
                 now = b
                 held.append(data.as_py())
         if held:
             yield from process(now, held)
+        del held
+        release()
 
     return (df.repartition(shuffle_partitions(df.sparkSession), "bucket").sortWithinPartitions("bucket")
             .mapInArrow(stream, schema))

@@ -25,15 +25,17 @@ from pizarra.operators.clean import qcol
 from pizarra.session import ensure_checkpoint_dir
 
 
-# Partitions of a table that an iterative fit reads again and again: fixed, so
-# that a fit doesn't depend on how its input happened to be partitioned.
-FIT_PARTITIONS = 16
-
-
 def fit_table(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``df`` dealt by ``key`` and written once to the checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.repartition(FIT_PARTITIONS, *[qcol(k) for k in key]).checkpoint(eager=True)
+    """``df`` dealt by ``key`` and written once to the checkpoint folder, for a fit
+    that reads it again and again.
+
+    It has as many partitions as the session's ``spark.sql.shuffle.partitions``,
+    however its input was partitioned and whatever its size.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *[qcol(k) for k in key]).checkpoint(eager=True)
 
 
 def encoded_features(categorical: Sequence[str], numeric: Sequence[str], out: str = "features") -> list:

@@ -35,7 +35,7 @@ PER_BUCKET = 1 << 20     # signatures a bucket is meant to hold
 GROUP_CHUNK = 4096       # members of a shared signature in one row
 BLOCK_ROWS, SET_ROWS = 32, 1000   # pairs of blocks, and sets, that a task takes in at a time
 BLOCK = 512              # members compared with as many others at a time
-NEAR = 4                 # likeliest partners that a set is compared with at first; sixteen times as many each round
+NEAR = 2                 # likeliest partners that a set is compared with at first; four times as many each round
 FILTER_BITS = 1 << 27    # of the broadcast filter: 16 MB; a fuller one only lets more through
 
 _U = np.uint64
@@ -464,8 +464,8 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = written(_plausible(best, info), "pairs")
     with arrow_rows(spark, SET_ROWS):
         one = written(_verified(first, info, slim), "links")
-    links, tried, near = one, first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), NEAR
-    roots = components(links)
+    tried, near = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), NEAR
+    roots = components(one)
     while True:
         with arrow_rows(spark, BLOCK_ROWS):
             found = written(_crossing(groups, roots, info, near), "crossing")
@@ -474,14 +474,13 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             with arrow_rows(spark, SET_ROWS):
                 new = written(_verified(rest, info, slim), "links")
             if not new.isEmpty():
-                links = links.unionByName(new)
-                roots = components(links)
+                roots = components(new.unionByName(roots.toDF("u", "v")))
             tried = tried.unionByName(rest)
         more = found.where("grp is not null").select("grp").distinct()
         if near >= BLOCK or more.isEmpty():
             break
         groups = written(groups.join(more, "grp", "left_semi"), "groups")
-        near = min(16 * near, BLOCK)
+        near *= 4
     placed = people.join(roots, "node", "left").withColumn("root", F.when(F.col("node") != 0, F.coalesce("root", "node")))
     least = placed.where("root is not null and doc_id is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return placed.join(least, "root", "left").select(

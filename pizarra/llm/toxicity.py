@@ -20,7 +20,7 @@ from pizarra.llm.hashing import NOT_ALNUM, byte_set, span_hashes, word_spans
 
 BITS = 22
 PREFIXES = (3, 4, 5, 6)         # bytes of a word's beginning that are features besides the word
-FIT_ROWS = 2000                 # labelled rows of each class that the fit may take (documented bound)
+FIT_ROWS = 1500                 # labelled rows of each class that the fit may take (documented bound)
 FIT_BYTES = {0: 8 << 10, 1: 256 << 10}   # of a longer fit row every k-th sentence is taken, about so many bytes in all
 MIN_RATIO = 16.0
 SHRINK = 1e-4
@@ -91,13 +91,13 @@ def fit_noisy_or(data: np.ndarray, off: np.ndarray, y: np.ndarray, steps: int =
     if pos == 0 or neg == 0:
         return _never(-20.0 if pos == 0 else 0.0)
     feat, sent, rows, *_ = _features(data, off)
-    toxic, clean = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    toxic, clean = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
     for k in range(feat.shape[1]):                       # documents that have each feature
         has = np.unique(rows[sent] << BITS | feat[:, k])
         for c, counts in ((1, toxic), (0, clean)):
             np.add.at(counts, has[y[has >> BITS] == c] & ((1 << BITS) - 1), 1)
     f = np.flatnonzero(toxic)
-    toxic, clean = toxic[f], clean[f]
+    toxic, clean = toxic[f].astype(float), clean[f].astype(float)
     odds = np.log((toxic + 0.25) / (pos + 0.5)) - np.log((clean + 0.25) / (neg + 0.5))
     share = (toxic + clean) / n
     ratio = 2 * (toxic * np.log(np.maximum(toxic, 1e-9) / (pos * share)) + clean * np.log(np.maximum(clean, 1e-9) / (neg * share)))

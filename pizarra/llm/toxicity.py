@@ -10,18 +10,22 @@ from __future__ import annotations
 
 import zlib
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pizarra.llm.common import col, fresh, id_text, ship_code, slices, through
+from pizarra.llm.common import arrow_rows, col, fresh, id_text, ship_code, slices, through, written
 from pizarra.llm.hashing import NOT_ALNUM, byte_set, span_hashes, word_spans
 
 BITS = 22
 PREFIXES = (3, 4, 5, 6)         # bytes of a word's beginning that are features besides the word
 FIT_ROWS = 1500                 # labelled rows of each class that the fit may take (documented bound)
-FIT_BYTES = {0: 8 << 10, 1: 256 << 10}   # of a longer fit row every k-th sentence is taken, about so many bytes in all
+TEXT_ROWS = 64                  # fit texts that a task takes in at a time
+DRIVER_HITS = 1 << 22           # chosen features in the fit's sentences that the driver sums up; more are summed in tasks
+STEPS, RATE = 150, 0.1
 MIN_RATIO = 16.0
 SHRINK = 1e-4
 SENTENCE_END = byte_set(b".!?\n")
@@ -83,77 +87,165 @@ def _never(b: float) -> Model:
     return Model(np.empty(0, np.int64), np.empty(0, np.float32), b)
 
 
-def fit_noisy_or(data: np.ndarray, off: np.ndarray, y: np.ndarray, steps: int = 150, rate: float = 0.1) -> Model:
-    """Choose features whose document counts speak for label 1 (likelihood ratio of
-    ``MIN_RATIO`` or more), then fit their weights, kept at 0 or above, and the bias to
-    the documents' noisy-or likelihood by full-batch Adam; the classes weigh the same."""
-    n, pos, neg = len(off) - 1, int((y == 1).sum()), int((y == 0).sum())
-    if pos == 0 or neg == 0:
-        return _never(-20.0 if pos == 0 else 0.0)
+def _count(counts: np.ndarray, data: np.ndarray, off: np.ndarray, y: np.ndarray) -> None:
+    """Add to ``counts`` (class, feature) the rows of each class that have each feature."""
     feat, sent, rows, *_ = _features(data, off)
-    toxic, clean = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
-    for k in range(feat.shape[1]):                       # documents that have each feature
+    for k in range(feat.shape[1]):
         has = np.unique(rows[sent] << BITS | feat[:, k])
-        for c, counts in ((1, toxic), (0, clean)):
-            np.add.at(counts, has[y[has >> BITS] == c] & ((1 << BITS) - 1), 1)
-    f = np.flatnonzero(toxic)
-    toxic, clean = toxic[f].astype(float), clean[f].astype(float)
+        for c in (0, 1):
+            np.add.at(counts[c], has[y[has >> BITS] == c] & ((1 << BITS) - 1), 1)
+
+
+def _choose(f: np.ndarray, clean: np.ndarray, toxic: np.ndarray, neg: int, pos: int) -> tuple[np.ndarray, np.ndarray]:
+    """The features whose document counts speak for label 1 (likelihood ratio of
+    ``MIN_RATIO`` or more), and their log odds."""
+    f, clean, toxic = f[toxic > 0], clean[toxic > 0].astype(float), toxic[toxic > 0].astype(float)
     odds = np.log((toxic + 0.25) / (pos + 0.5)) - np.log((clean + 0.25) / (neg + 0.5))
-    share = (toxic + clean) / n
+    share = (toxic + clean) / (pos + neg)
     ratio = 2 * (toxic * np.log(np.maximum(toxic, 1e-9) / (pos * share)) + clean * np.log(np.maximum(clean, 1e-9) / (neg * share)))
     chosen = (odds > 0) & (ratio >= MIN_RATIO)
-    ids, w, b = f[chosen], np.append(0.3 * odds[chosen], 0.0), -6.0
-    place = np.full(1 << BITS, len(ids), np.int32)       # the last place: features left out
+    return f[chosen], odds[chosen]
+
+
+def _hits(data: np.ndarray, off: np.ndarray, ids: np.ndarray):
+    """All that the fit needs of each row: the number of its sentences without chosen
+    features, and for each chosen feature its sentence (those with any are numbered
+    through all rows) and its place in ``ids``; ``rows`` has the row of each such sentence."""
+    feat, sent, rows, *_ = _features(data, off)
+    n, place = len(off) - 1, np.full(1 << BITS, -1, np.int32)
     place[ids] = np.arange(len(ids))
     feat = place[feat]
-    hit = (feat < len(ids)).any(axis=1)
-    feat, sent = feat[hit], sent[hit]
-    weight = np.where(y == 1, 0.5 / pos, 0.5 / neg)
+    word, kind = np.nonzero(feat >= 0)
+    some, at = np.unique(sent[word], return_inverse=True)
+    plain = np.bincount(rows, minlength=n) - np.bincount(rows[some], minlength=n)
+    return plain, rows[some], at, feat[word, kind]
+
+
+def _sums(y, weight, plain, rows, at, place, w, b) -> tuple[np.ndarray, float]:
+    """Gradient of the weighted loss over the rows of ``_hits``, by weight and bias."""
+    n = len(y)
+    z = np.clip(np.bincount(at, weights=w[place], minlength=len(rows)) + b, -30, 30)
+    flat = float(np.clip(b, -30, 30))
+    total = np.bincount(rows, weights=_softplus(z), minlength=n) + plain * _softplus(flat)     # -log(1 - p)
+    # d loss / d total: 1 for label 0, -(1 - p) / p for label 1
+    slope = np.where(y == 1, -1.0 / np.maximum(np.expm1(np.minimum(total, 50.0)), 1e-4), 1.0) * weight
+    slope = np.where(plain + np.bincount(rows, minlength=n) > 0, slope, 0.0)
+    dz = slope[rows] / (1.0 + np.exp(-z))
+    return np.bincount(place, weights=dz[at], minlength=len(w)), dz.sum() + (slope * plain).sum() / (1.0 + np.exp(-flat))
+
+
+def _adam(ids: np.ndarray, odds: np.ndarray, sums: Callable, steps: int, rate: float) -> Model:
+    """Weights, kept at 0 or above, and the bias by full-batch Adam over ``sums(w, b)``."""
+    w, b = 0.3 * odds, -6.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = np.clip(np.bincount(sent, weights=w[feat].sum(axis=1), minlength=len(rows)) + b, -30, 30)
-        total = np.bincount(rows, weights=_softplus(z), minlength=n)          # -log(1 - p)
-        # d loss / d total: 1 for label 0, -(1 - p) / p for label 1
-        slope = np.where(y == 1, -1.0 / np.maximum(np.expm1(np.minimum(total, 50.0)), 1e-4), 1.0) * weight
-        dz = slope[rows] / (1.0 + np.exp(-z))
-        g = np.bincount(feat.ravel(), weights=np.repeat(dz[sent], feat.shape[1]), minlength=len(w))
-        gb = dz.sum()
+        g, gb = sums(w, b)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         c1, c2, step = 1 - 0.9 ** t, 1 - 0.99 ** t, rate * (1 - (t - 1) / steps)
         s = step / (np.sqrt(v / c2) + 1e-5)
         w = np.maximum(w - s * (m / c1) - s * SHRINK, 0.0)
-        w[-1] = 0.0
         b -= step * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
-    used = w[:-1] > 0
-    return Model(ids[used], w[:-1][used].astype(np.float32), float(b))
+    used = w > 0
+    return Model(ids[used], w[used].astype(np.float32), float(b))
+
+
+_HITS = "id long, h long, y int, plain long, size long, ends binary, place binary"
+
+
+def _hit_rows(table: pa.Table):
+    """The arguments of ``_sums`` from rows of ``_HITS``, but for the weights of the rows."""
+    y, plain, n = (table.column(c).to_numpy().astype(np.int64) for c in ("y", "plain", "size"))
+    ends = [np.frombuffer(x, np.int32) for x in table.column("ends").to_pylist()]      # of each sentence with hits
+    rows = np.repeat(np.arange(len(y)), [len(x) for x in ends])
+    size = np.concatenate([np.diff(x, prepend=0) for x in ends]) if ends else np.empty(0, np.int64)
+    place = np.frombuffer(b"".join(table.column("place").to_pylist()), np.int32)
+    return y, plain, rows, np.repeat(np.arange(len(rows)), size), place
+
+
+def _fit_sample(sample: DataFrame, steps: int = STEPS, rate: float = RATE) -> Model:
+    """Fit on all of ``sample (id, h, y, text)``, texts whole.  They stay in the tasks: the driver
+    gets feature counts (at most ``2 ** BITS``), and of the sentences no more than
+    ``DRIVER_HITS`` chosen features, or else a sum of gradients from each task and step."""
+    spark = sample.sparkSession
+    n = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    neg, pos = n.get(0, 0), n.get(1, 0)
+    if pos == 0 or neg == 0:
+        return _never(-20.0 if pos == 0 else 0.0)
+
+    def count(batches):
+        counts = np.zeros((2, 1 << BITS), np.int32)
+        for batch in batches:
+            for rows, data, off in slices(batch, 1):
+                _count(counts, data, off, rows.column(0).to_numpy())
+        f = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(counts[0, f].astype(np.int64)), pa.array(counts[1, f].astype(np.int64))], names=["f", "clean", "toxic"])
+
+    def choose(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, _choose(*(c.to_numpy() for c in batch.columns), neg, pos))), names=["f", "odds"])
+
+    with arrow_rows(spark, TEXT_ROWS):
+        counted = written(sample.select("y", "text").mapInArrow(count, "f long, clean long, toxic long"), "counts")
+    chosen = counted.groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where("toxic > 0").mapInArrow(
+        choose, "f long, odds double").toArrow().sort_by("f")
+    ids, odds = chosen.column("f").to_numpy(), chosen.column("odds").to_numpy()
+    shared = spark.sparkContext.broadcast(ids)
+
+    def hit(batches):
+        for batch in batches:
+            for rows, data, off in slices(batch, 3):
+                plain, row, at, place = _hits(data, off, shared.value)
+                k = len(off) - 1
+                first = np.searchsorted(row, np.arange(k + 1))                  # sentences of each row
+                cut = np.searchsorted(at, np.arange(len(row) + 1))              # hits of each sentence
+                ends = [(cut[i + 1:j + 1] - cut[i]).astype(np.int32).tobytes() for i, j in zip(first, first[1:])]
+                places = [place[cut[i]:cut[j]].astype(np.int32).tobytes() for i, j in zip(first, first[1:])]
+                size = np.diff(cut[first])
+                yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(plain), pa.array(size), pa.array(ends, pa.binary()), pa.array(places, pa.binary())],
+                                                 names=["id", "h", "y", "plain", "size", "ends", "place"])
+
+    with arrow_rows(spark, TEXT_ROWS):
+        hits = written(sample.select("id", "h", "y", "text").mapInArrow(hit, _HITS), "hits")
+    share = np.array([0.5 / neg, 0.5 / pos])
+    if hits.agg(F.sum(F.col("size") + 1)).first()[0] <= DRIVER_HITS:
+        rows = _hit_rows(hits.toArrow().sort_by([("id", "ascending"), ("h", "ascending")]))
+        return _adam(ids, odds, lambda w, b: _sums(rows[0], share[rows[0]], *rows[1:], w, b), steps, rate)
+
+    def sums(w, b):
+        now = spark.sparkContext.broadcast((w, b))
+
+        def part(batches):
+            g, gb = np.zeros(len(w)), 0.0
+            for batch in batches:
+                rows = _hit_rows(pa.Table.from_batches([batch]))
+                x, xb = _sums(rows[0], share[rows[0]], *rows[1:], *now.value)
+                g, gb = g + x, gb + xb
+            yield pa.RecordBatch.from_arrays([pa.array([g.tobytes()], pa.binary()), pa.array([gb])], names=["g", "gb"])
+
+        with arrow_rows(spark, TEXT_ROWS):
+            parts = list(hits.mapInArrow(part, "g binary, gb double").toLocalIterator())
+        now.destroy()
+        return sum(np.frombuffer(r["g"]) for r in parts), sum(r["gb"] for r in parts)
+
+    return _adam(ids, odds, sums, steps, rate)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> Model:
     """Fit on at most ``fit_rows`` labelled rows of each class, those with the
     smallest hash of their id, and never on a row whose crc32(id as text) mod 5
-    is 0.  Null labels and ids are left out; a row of either table that repeats
-    counts once.  Without both classes the model scores everything 0 (or, with
-    toxic rows only, 0.5 and up for texts with words)."""
+    is 0; the texts of these rows are read whole.  Null labels and ids are left out; a row
+    of either table that repeats counts once.  Without both classes the model scores
+    everything 0 (or, with toxic rows only, 0.5 and up for texts with words)."""
     ship_code(docs.sparkSession)
     texts = id_text(docs, id_col, text_col)
     y = labels.select(col(id_col).cast("long").alias("id"), col(label_col).cast("int").alias("y")).where(
         "id is not null and y in (0, 1) and crc32(cast(cast(id as string) as binary)) % 5 <> 0").groupBy("id").agg(F.max("y").alias("y"))
     chosen = [y.where(F.col("y") == c).orderBy(F.xxhash64("id"), "id").limit(fit_rows) for c in (0, 1)]
     rows = chosen[0].unionByName(chosen[1])  # at most 2 * fit_rows ids: a bounded broadcast
-    step = F.greatest(F.ceil(F.octet_length("text") / F.when(F.col("y") == 0, FIT_BYTES[0]).otherwise(FIT_BYTES[1])), F.lit(1))
-    thin = F.array_join(F.filter(F.split("text", "(?<=[.!?\n])"), lambda s, i: i % F.col("step") == 0), "")
-    sample = (texts.join(F.broadcast(rows), "id").withColumn("step", step)
-              .select("id", "y", F.when(F.col("step") > 1, thin).otherwise(F.col("text")).alias("text"))
-              .dropDuplicates(["id", "text"]).toArrow().sort_by([("id", "ascending"), ("text", "ascending")]))
-    out = [(d, o) for b in sample.combine_chunks().to_batches() for _, d, o in slices(b, 2, 1 << 40)]
-    if not out:
-        return _never(-20.0)
-    data = np.concatenate([d for d, _ in out])
-    base = np.cumsum([0, *[len(d) for d, _ in out]])
-    off = np.concatenate([[0], *[o[1:] + a for (_, o), a in zip(out, base)]])
-    return fit_noisy_or(data, off, sample.column("y").to_numpy().astype(np.int64))
+    sample = texts.join(F.broadcast(rows), "id").select("id", F.xxhash64("text").alias("h"), "y", "text").dropDuplicates(["id", "text"])
+    return _fit_sample(written(sample, "fit"))
 
 
 def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:

@@ -313,6 +313,25 @@ def test_noisy_or_learns_from_document_labels_and_locates_sentences(docs_of, lab
     assert kept.columns == d.columns and 0 < kept.count() < len(rows)
 
 
+@pytest.mark.parametrize("bound", [1 << 22, 0])
+def test_long_clean_documents_are_fitted_whole(docs_of, labels_of, monkeypatch, bound):
+    # thousands of sentences each; the second sentence is in all of both classes, so it says nothing
+    monkeypatch.setattr(tx, "DRIVER_HITS", bound)       # 0: gradients are summed in tasks
+    rng = random.Random(10)
+    rows, labels = [], []
+    for i in range(80):
+        s = [f"plain{rng.randrange(50)} of s{rng.randrange(9)}." for k in range(2500)]
+        s[1] = "we borrow books."
+        if i % 2:
+            s[rng.randrange(2, len(s))] = "you snotfish."
+        rows.append((i, " ".join(s)))
+        labels.append((i, i % 2, "t"))
+    rows += [(100, "plain1 of s1. " * 5000), (101, "plain1 of s1. you snotfish."), (102, "we borrow books.")]
+    model = tx.fit_toxicity(docs_of(rows), labels_of(labels))
+    data, off = text_buffers(pa.array([t for _, t in rows]))
+    assert (model.scores(data, off) >= 0.5).tolist() == [bool(i % 2) for i in range(80)] + [False, True, False]
+
+
 def test_toxicity_without_labels_or_rows(docs_of, labels_of):
     assert {r.predicted for r in tx.toxicity_report(docs_of([(1, "a b."), (2, None)]), labels_of([])).collect()} == {0}
     assert tx.toxicity_report(docs_of([]), labels_of([(1, 1, "t")])).count() == 0

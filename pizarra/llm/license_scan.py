@@ -1,7 +1,7 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-Each line, each paragraph and the whole text of a document is a unit.  A unit's
-words are runs of ASCII letters, digits and non-ASCII characters, A-Z
+Each line, each paragraph, each run of consecutive paragraphs and the whole text of a
+document is a unit; the full licence texts are templates too.  A unit's words are runs of ASCII letters, digits and non-ASCII characters, A-Z
 lower-cased; lines that begin with the word ``copyright`` are left out.  Of a unit with
 ``a`` distinct bigrams, only templates with a size between ``a * t / (2 - t)``
 and ``a * (2 - t) / t`` can reach the threshold ``t``; the others are pruned.
@@ -9,6 +9,9 @@ and ``a * (2 - t) / t`` can reach the threshold ``t``; the others are pruned.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +20,7 @@ from pizarra.llm.common import id_text, ship_code, slices
 from pizarra.llm.hashing import NOT_ALNUM, gram_hashes, mix, span_hashes, word_spans
 
 THRESHOLD = 0.8
-UNITS = ("line", "paragraph", "text")
+UNITS = ("line", "paragraph", "text", "paragraphs")   # the last: a run of several
 
 # The wording of the licences and of their usual notices.
 _WARRANTY = (
@@ -107,6 +110,12 @@ TEMPLATES: list[tuple[str, str]] = [
 _COPYRIGHT = span_hashes(np.frombuffer(b"copyright", np.uint8), np.array([0]), np.array([9]), True)[0]
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """The full licence texts, without the lines that begin with ``copyright``.  Read on the driver."""
+    drop = re.compile(r"^[^a-z0-9\n]*copyright\b.*$", re.IGNORECASE | re.MULTILINE)
+    return [(f.stem, drop.sub("", f.read_text())) for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+
+
 def _words(data, off):
     s, e, first = word_spans(data, off, NOT_ALNUM)
     return span_hashes(data, s, e, lower=True), s, first
@@ -140,8 +149,74 @@ def _units(data, off):
     return words[keep], row[keep], {k: v[keep] for k, v in numbers.items()}
 
 
+def _best_run(grams, par, template, low: float) -> float:
+    """Largest Dice of a run of paragraphs of one row with the template, 0 below the threshold.
+
+    A run need not begin or end with a paragraph that adds nothing of the template to the rest of it: the run
+    without it is as like.  So a run ends where a bigram of the template is met first, and begins
+    with the last of one in the run."""
+    n = len(template)
+    need, cap, never = int(np.ceil(low * n - 1e-9)), n / low + 1e-9, len(par)
+    par = np.cumsum(np.append(0, par[1:] != par[:-1]))
+    starts = np.flatnonzero(np.append(True, par[1:] != par[:-1]))
+    ends = np.append(starts[1:], len(par))
+    at = np.minimum(np.searchsorted(template, grams), n - 1)
+    hits = np.flatnonzero(template[at] == grams)
+    order = np.argsort(grams, kind="stable")
+    same = grams[order[1:]] == grams[order[:-1]]
+    before = np.full(len(grams), -1)                     # the same bigram's last place before
+    before[order[1:][same]] = order[:-1][same]
+    after, best = np.full(n, never), 0.0                 # each template bigram's first place from here on
+    for part in np.split(hits, np.flatnonzero(np.diff(par[hits])) + 1)[::-1]:
+        kinds, first = np.unique(at[part], return_index=True)
+        later = after[kinds]
+        after[kinds] = part[first]
+        found = np.sort(after[after < never])
+        if len(found) < need or not (later > found[need - 1]).any():
+            continue
+        p, size = int(par[part[0]]), 0
+        s = done = int(starts[p])
+        until = par[found + 1]                           # the paragraph that a run must reach to have it
+        for q in np.unique(until[need - 1:]).tolist():
+            e = int(ends[q]) - 1
+            size += int((before[done:e] < s).sum())
+            done = e
+            if size > cap:
+                break
+            if q > p:
+                best = max(best, 2 * int(np.searchsorted(until, q, side="right")) / (size + n))
+    return best
+
+
+def _runs(row, par, grams, templates, threshold: float):
+    """Yields ``(row, name, dice, kind)`` of the best run of paragraphs for each template at the threshold."""
+    low = threshold / (2 - threshold)
+    sizes = np.array([len(b) for _, b in templates])
+    every = np.concatenate([b for _, b in templates])
+    order = np.argsort(every, kind="stable")
+    known, start = np.unique(every[order], return_index=True)
+    owner, start = np.repeat(np.arange(len(sizes)), sizes)[order], np.append(start, len(every))
+    many = np.zeros(int(row[-1]) + 1, bool)
+    many[row[1:][(row[1:] == row[:-1]) & (par[1:] != par[:-1])]] = True
+    place = np.flatnonzero((row[1:] == row[:-1]) & many[row[1:]])
+    at = np.minimum(np.searchsorted(known, grams[place]), len(known) - 1)
+    hit = known[at] == grams[place]
+    # a run has `low` of the template's bigrams, so the row has
+    r, k = np.divmod(np.unique(row[place[hit]] * len(known) + at[hit]), len(known))
+    number = np.diff(start)[k]
+    pick = np.repeat(start[k] - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
+    shared = np.bincount(np.repeat(r, number) * len(sizes) + owner[pick], minlength=len(sizes)).astype(np.int64)
+    for c in np.flatnonzero((shared > 0) & (shared >= low * np.resize(sizes, len(shared)) - 1e-9)).tolist():
+        r, k = divmod(c, len(sizes))
+        a, b = np.searchsorted(row, [r, r + 1])
+        dice = _best_run(grams[a:b - 1], par[a:b], templates[k][1], low)
+        if dice >= threshold:
+            yield r, templates[k][0], dice, "paragraphs"
+
+
 def matches(data, off, templates: list[tuple[str, np.ndarray]], threshold: float):
-    """Yields ``(row, name, dice, kind)`` of every unit and template at the threshold."""
+    """Yields ``(row, name, dice, kind)`` of every unit and template at the threshold; of the
+    runs of paragraphs, the best for each template."""
     words, row, numbers = _units(data, off)
     if len(words) < 2:
         return
@@ -151,7 +226,8 @@ def matches(data, off, templates: list[tuple[str, np.ndarray]], threshold: float
     hit = known[at] == grams
     sizes = np.array([len(b) for _, b in templates])
     low = threshold / (2 - threshold)
-    for kind in UNITS:
+    yield from _runs(row, numbers["paragraph"], grams, templates, threshold)
+    for kind in UNITS[:3]:
         unit = numbers[kind]
         inside = np.flatnonzero(unit[1:] == unit[:-1])
         if not len(inside):
@@ -184,12 +260,12 @@ def matches(data, off, templates: list[tuple[str, np.ndarray]], threshold: float
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    templates=None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id, license, dice, unit`` of its best match, the
-    first by name and then by unit (line, paragraph, text) among equals; nulls where
+    first by name and then by unit (line, paragraph, text, paragraphs) among equals; nulls where
     nothing reaches the threshold, as in null, empty and one-word texts.  The whole text
     is read, in one pass without a shuffle."""
     ship_code(docs.sparkSession)
     # a size bound for what goes to each task: the templates are a parameter list
-    known = [(n, b) for n, b in template_bigrams(TEMPLATES if templates is None else templates) if len(b)]
+    known = [(n, b) for n, b in template_bigrams(TEMPLATES + full_texts() if templates is None else templates) if len(b)]
 
     def scan(batches):
         for batch in batches:

@@ -202,6 +202,62 @@ def test_license_scan_finds_notices_and_leaves_prose_alone(docs_of):
     assert ls.license_report(docs_of([])).count() == 0
 
 
+def broken(text, *starts):
+    """The text wrapped as in real files, with a blank line before each of ``starts``."""
+    for s in starts:
+        assert s in text
+        text = text.replace(s, "\n\n" + s)
+    return "\n\n".join("\n".join(" ".join(p.split()[i:i + 11]) for i in range(0, len(p.split()), 11)) for p in text.split("\n\n"))
+
+
+def test_license_scan_finds_licences_of_several_paragraphs_inside_longer_texts(docs_of):
+    text = {n: t for n, t in ls.TEMPLATES[::-1]}
+    mit = broken(ls.TEMPLATES[0][1], "The above copyright notice and", 'THE SOFTWARE IS PROVIDED "AS IS"')
+    bsd = broken(text["BSD-3-Clause"], "1. Redis", "2. Redis", "3. Neither", "THIS SOFTWARE")
+    apache = broken(text["Apache-2.0"], "http", "Unless")
+    gpl = broken(ls._GPL_NOTICE.format(3), "This program is distributed")
+    prose = lambda k: "\n\n".join(" ".join(f"word{k}x{i}x{j}" for j in range(75)) for i in range(4))
+    around = lambda t, k: f"{prose(k)}\n\nCopyright (c) 2020 Someone\n\n{t}\n\n{prose(k + 50)}"
+    header = "".join(f"# {x}\n" if x else "#\n" for x in mit.split("\n")) + "\nimport os\n\n" + prose(9)
+    rows = [(1, around(mit, 1)), (2, around(bsd, 2)), (3, around(apache, 3)), (4, around(gpl, 4)), (5, header), (6, prose(6))]
+    rows += [(10 + i, around(t, 10 + i)) for i, (_, t) in enumerate(ls.full_texts())]
+    got = {r.doc_id: r for r in ls.license_report(docs_of(rows)).collect()}
+    assert [got[i].license for i in range(1, 7)] == ["MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "MIT", None]
+    assert all(got[i].dice == 1 and got[i].unit == "paragraphs" for i in range(1, 6))
+    assert [got[10 + i].license for i in range(len(ls.full_texts()))] == [n for n, _ in ls.full_texts()]
+
+
+def test_best_run_of_paragraphs_matches_all_runs():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(8)]
+    some = lambda a, b: " ".join(rng.choice(words) for _ in range(rng.randrange(a, b)))
+    templates = [(f"t{i}", some(3, 25)) for i in range(15)]
+    part = lambda w, i, n: " ".join(w[i:i + n])
+    texts = []
+    for _ in range(300):
+        w = rng.choice(templates)[1].split()
+        ps = [part(w, i, 3) for i in range(0, len(w), 3)] + [some(1, 4)]
+        texts.append("\n\n".join([some(1, 9), some(1, 9), *ps, *rng.sample(ps, 2)][rng.randrange(4):]))
+    data, off = text_buffers(pa.array(texts))
+    got = {(r, n): round(d, 9) for r, n, d, k in ls.matches(data, off, ls.template_bigrams(templates), 0.6) if k == "paragraphs"}
+    grams = lambda t: {tuple(t.split()[i:i + 2]) for i in range(len(t.split()) - 1)}
+    want, single = {}, {}
+    for r, t in enumerate(texts):
+        ps = t.split("\n\n")
+        for n, x in templates:
+            b = grams(x)
+            for i in range(len(ps)):
+                for j in range(i + 1, len(ps) + 1):
+                    a = grams(" ".join(ps[i:j]))
+                    d = round(2 * len(a & b) / (len(a) + len(b)), 9)
+                    if d >= 0.6:
+                        best = single if j == i + 1 else want
+                        best[r, n] = max(best.get((r, n), 0), d)
+    more = {k: d for k, d in want.items() if d > single.get(k, 0)}      # where a run is the better unit
+    assert len(more) > 50 and {k: got.get(k) for k in more} == more
+    assert all(d <= want[k] for k, d in got.items())
+
+
 def test_size_bounds_prune_nothing_that_reaches_the_threshold():
     rng = random.Random(2)
     words = [f"w{i}" for i in range(9)]

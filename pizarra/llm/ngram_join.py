@@ -30,7 +30,7 @@ from pizarra.llm.packed import SCHEMA, by_bucket, bucket_of, pack, unpack
 
 WORDS = 5
 LEVELS = 8
-FLUSH = 1 << 20          # signatures a map task holds before it sends them
+FLUSH = 1 << 20          # signatures, or pairs to compare, that a task holds before it sends them
 PER_BUCKET = 1 << 20     # signatures a bucket is meant to hold
 GROUP_CHUNK = 4096       # members of a shared signature in one row
 BLOCK_ROWS, SET_ROWS = 32, 1000   # pairs of blocks, and sets, that a task takes in at a time
@@ -363,21 +363,28 @@ def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame, near: int) -
     other = blocks.select("grp", F.col("block").alias("block2"), F.col("x").alias("y"))
     both = blocks.join(other, "grp").where("block <= block2")
 
+    def rows(u, v, more):
+        u, v = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (u, v))
+        pairs = np.unique(np.stack([u, v], axis=1), axis=0)
+        n, m = len(pairs), len(more)
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(pairs[:, 0]), pa.nulls(m, pa.int64())]), pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(m, pa.int64())]),
+             pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(more, pa.int64())])], names=["u", "v", "grp"])
+
     def compare(batches):
         for batch in batches:
-            u, v, more = [], [], []
+            u, v, more, held = [], [], [], 0
             for grp, same, x, y in zip(*(batch.column(k) for k in range(4))):
                 a, b, cut = _allowed(_members(x.values), _members(y.values), same.as_py(), near)
                 u.append(a)
                 v.append(b)
+                held += len(a)
                 if cut:
                     more.append(grp.as_py())
-            u, v = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (u, v))
-            pairs = np.unique(np.stack([u, v], axis=1), axis=0)
-            n, m = len(pairs), len(more)
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([pa.array(pairs[:, 0]), pa.nulls(m, pa.int64())]), pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(m, pa.int64())]),
-                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(more, pa.int64())])], names=["u", "v", "grp"])
+                if held >= FLUSH:
+                    yield rows(u, v, more)
+                    u, v, more, held = [], [], [], 0
+            yield rows(u, v, more)
 
     return both.select("grp", F.expr("block = block2"), "x", "y").mapInArrow(compare, "u long, v long, grp long")
 
@@ -437,7 +444,7 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     the set that leads most groups (sets with a common signature) it is in.  Then, in
     rounds, each set is compared with its likeliest partners among those it shares a group
     with and isn't connected to by then; pairs that sizes or sketches rule out never are.
-    The rounds end when no group has a pair left to compare (at last every one is), so
+    The rounds end only when no group has a pair left to compare (at last every one is), so
     very many near copies of each other cost some comparisons each, not all pairs, and
     yet no link between components is missed.
 
@@ -477,7 +484,7 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 roots = components(new.unionByName(roots.toDF("u", "v")))
             tried = tried.unionByName(rest)
         more = found.where("grp is not null").select("grp").distinct()
-        if near >= BLOCK or more.isEmpty():
+        if more.isEmpty():          # blocks are dealt by hash: some have more than BLOCK members, so `near` may pass it
             break
         groups = written(groups.join(more, "grp", "left_semi"), "groups")
         near *= 4

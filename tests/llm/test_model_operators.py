@@ -88,6 +88,33 @@ def test_links_that_no_pivot_sees_are_found(docs_of):
     assert {r.component_id for r in got} == {0} == {c for _, _, c in linked_by_hand(rows)}
 
 
+def test_rounds_go_on_where_blocks_exceed_their_size(docs_of, monkeypatch):
+    # families of texts of likeness 0.79 to each other, which sketches don't rule out, and a few links among them
+    rows = []
+    for f in range(3):
+        for i in range(16):
+            w = [f"f{f}w{k}" for k in range(200)]
+            for k in (5 + 5 * i, 100 + 5 * i, 197):
+                w[k] = f"e{i}x{k}"
+            rows.append((100 * f + i, " ".join(w)))
+            if i % 8 == 0:
+                w[190] = "other"
+                rows.append((100 * f + i + 50, " ".join(w)))
+    left, crossing = [], nj._crossing
+
+    def watched(*args):
+        found = crossing(*args)
+        left.append(found.where("grp is not null").count())
+        return found
+
+    monkeypatch.setattr(nj, "_crossing", watched)
+    monkeypatch.setattr(nj, "BLOCK", 1)
+    monkeypatch.setattr(nj, "NEAR", 1)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in nj.linked_documents(docs_of(rows)).collect()), key=str)
+    assert got == linked_by_hand(rows) and len({c for _, _, c in got}) == 48
+    assert left[0] > 0 and left[-1] == 0                 # at the end no group has pairs that weren't compared
+
+
 def test_every_similar_pair_shares_a_signature():
     rng = np.random.default_rng(4)
     missed = tried = 0

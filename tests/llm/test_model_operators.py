@@ -359,6 +359,21 @@ def test_long_clean_documents_are_fitted_whole(docs_of, labels_of, monkeypatch,
     assert (model.scores(data, off) >= 0.5).tolist() == [bool(i % 2) for i in range(80)] + [False, True, False]
 
 
+def test_the_fit_brings_no_texts_to_the_driver(docs_of, labels_of, monkeypatch):
+    # texts without sentence ends, which are one sentence each however long
+    rows = [(i, f"plain{i} of it " * 20_000 + ("snotfish" if i % 2 else "")) for i in range(30)]
+    frame, seen = type(docs_of(rows)), []
+    collect = frame.toArrow
+
+    def watched(df):
+        seen.append(collect(df))
+        return seen[-1]
+
+    monkeypatch.setattr(frame, "toArrow", watched)
+    model = tx.fit_toxicity(docs_of(rows), labels_of([(i, i % 2, "t") for i in range(30)]))
+    assert len(model.ids) and sum(x.nbytes for x in seen) < 100_000 < sum(len(x) for _, x in rows) // 50
+
+
 def test_toxicity_without_labels_or_rows(docs_of, labels_of):
     assert {r.predicted for r in tx.toxicity_report(docs_of([(1, "a b."), (2, None)]), labels_of([])).collect()} == {0}
     assert tx.toxicity_report(docs_of([]), labels_of([(1, 1, "t")])).count() == 0

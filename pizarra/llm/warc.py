@@ -184,6 +184,9 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     return written(ordered.mapInArrow(write, DIRECTORY), "cdx")
 
 
+FOUND = 4096             # captures found that go on together
+
+
 class Reader:
     """Range reads from one folder; keeps the last few files open."""
 
@@ -227,10 +230,9 @@ def lookup(directory: DataFrame, folder: str, keys: DataFrame) -> DataFrame:
 
     def search(batches) -> Iterator[pa.RecordBatch]:
         read = Reader(folder)
-        now, blocks, block, lines = None, [], None, []
+        now, blocks, block, lines, out = None, [], None, [], []
         for batch in batches:
             for key in batch.column(0).to_pylist():
-                out = []
                 for first, _, name, offset, length in files[bisect.bisect_left(lasts, key):]:
                     if first > key:
                         break
@@ -240,7 +242,10 @@ def lookup(directory: DataFrame, folder: str, keys: DataFrame) -> DataFrame:
                         if (name, b[1]) != block:
                             block, lines = (name, b[1]), list(_captures(read, name, [b]))
                         out += lines[bisect.bisect_left(lines, key, key=lambda x: x[0]):bisect.bisect_right(lines, key, key=lambda x: x[0])]
-                yield _batch(out)
+                        if len(out) >= FOUND:
+                            yield _batch(out)
+                            out = []
+        yield _batch(out)
 
     want = keys.select("key").where(F.col("key").isNotNull()).distinct()
     # near keys go to the same task, in order, so that a block is read once
@@ -286,13 +291,14 @@ def read_captures(captures: DataFrame, folder: str) -> DataFrame:
 
 
 def archive_report(pages: DataFrame, **columns: str) -> DataFrame:
-    """Write ``pages`` as archives with their index, then read every record back
-    through the index.  One row per page: ``page_id, payload_bytes, payload_digest,
+    """Write ``pages`` as archives with their index, then look up every page's url key
+    in the index and read the records found.  One row per page: ``page_id, payload_bytes, payload_digest,
     record_type, refers_to``.  Null urls and pages of one url are captures of their
     own; an empty table gives no files and no rows."""
     folder = scratch_path(pages.sparkSession, "warc")
-    directory = write_index(write_archives(pages, folder, **columns), f"{folder}-index")
-    return read_captures(all_captures(directory, f"{folder}-index"), folder)
+    captures = write_archives(pages, folder, **columns)
+    directory = write_index(captures, f"{folder}-index")
+    return read_captures(lookup(directory, f"{folder}-index", captures), folder)
 
 
 def export_bytes(folder: str, name: str) -> io.BytesIO:

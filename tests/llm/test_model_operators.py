@@ -253,6 +253,16 @@ def test_warc_lookup_and_plain_gzip_reading(spark):
     assert raw.count(b"WARC/1.1\r\n") == captures.where(captures.file == file).count()
 
 
+def test_archive_report_finds_captures_by_lookup(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"http://h{i % 7}.org/p{i % 50}", f"page {i} " * 20) for i in range(400)], "page_id long, url string, html string")
+    looked, lookup = [], warc.lookup
+    monkeypatch.setattr(warc, "lookup", lambda *a: looked.append(a) or lookup(*a))
+    assert sorted(r.page_id for r in warc.archive_report(df).collect()) == list(range(400)) and len(looked) == 1
+    index, folder, captures = looked[0]
+    rows = lambda x: sorted(map(tuple, x.select("key", "page_id", "file", "offset", "length").collect()))
+    assert rows(lookup(index, folder, captures)) == rows(warc.all_captures(index, folder)) == rows(captures)
+
+
 def test_url_keys():
     assert warc.url_key("http://www.A.org/x?y") == "org,a,www)/x?y" and warc.url_key(None) == ")" and warc.url_key("a.b#c") == "b,a)#c"
 

@@ -4,6 +4,8 @@ Byte triplets at a few fixed spreads are hashed into buckets; each bucket's coun
 is coded by the quartile it falls in (2 bits), after a header with the length
 on a log scale and a checksum.  Digests are compared by a bounded difference
 score: a step of one or two quartiles costs as much, opposite ends cost more.
+Likeness is beside the worst that the occupied buckets allow, so short texts, which
+occupy few, aren't alike for the empty ones.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from pizarra.llm.hashing import mix
 
 BUCKETS = 256
 #: distances of a triplet's second and third byte from its first
-SPREADS = ((5, 11), (7, 17))
+SPREADS = ((5, 11), (7, 17), (1, 2))   # the last also where a text is too short for the others
 OPPOSITE = 6            # cost of the lowest against the highest quartile
 LENGTH_COST = 4         # cost of each step of the length code
-WORST = BUCKETS * OPPOSITE // 4   # a difference of so much or more has likeness 0
+WORST = BUCKETS * OPPOSITE // 4   # a difference of so much or more has likeness 0, also among short texts' few buckets
 CHUNK = 1 << 20
 
 
@@ -93,13 +95,15 @@ def difference(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return 1.0 - difference(a, b) / WORST
+    occupied = (a[:, 2:] > 0).sum(axis=1) + (b[:, 2:] > 0).sum(axis=1)
+    worst = np.clip(OPPOSITE * occupied, 1, WORST)
+    return 1.0 - np.minimum(difference(a, b), worst) / worst
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, fingerprint``.  A null text is the empty
-    one; equal texts have equal fingerprints; texts too short for a triplet are
-    told apart by length only."""
+    one; equal texts have equal fingerprints; texts of less than three bytes have no
+    triplet and are told apart by length only."""
     ship_code(docs.sparkSession)
 
     def hashed(batches):

@@ -183,6 +183,18 @@ def test_fingerprint_counts_match_a_loop_and_tell_edits_from_strangers():
     assert near.min() > far.max() and fp.likeness(codes, codes).min() == 1
 
 
+@pytest.mark.parametrize("n", [3, 5, 8, 11, 12, 14, 17, 30])
+def test_short_texts_are_told_apart(n):
+    rng = random.Random(n)
+    texts = ["".join(rng.choice("etaoinshrdlucmfw") for _ in range(n)) for _ in range(200)]
+    data, off = text_buffers(pa.array(texts))
+    assert (fp.bucket_counts(data, off).sum(axis=1) > 0).all()
+    codes = fp.digests(data, off)
+    near = fp.likeness(codes[:-1], codes[1:])
+    assert (fp.likeness(codes, codes) == 1).all() and near.mean() < 0.3
+    assert len(set(fp.to_hex(codes))) > (150 if n > 4 else 80)
+
+
 def test_fingerprints_of_one_row_and_none(docs_of):
     (r,) = fp.edit_report(docs_of([(5, "abcdef")])).collect()
     assert r.edited_sha256 == sha("abcdab") and r.near_next == 1

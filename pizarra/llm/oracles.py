@@ -70,3 +70,25 @@ x AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, name,
 SELECT d.doc_id, x.name AS license, x.dice, ['line', 'paragraph', 'text'][x.unit + 1] AS unit
 FROM d LEFT JOIN x ON d.doc_id = x.doc_id AND x.rn = 1
 """
+
+# role, line feed, text, line feed of each turn; marks of 13, 15 and 7 characters and an escape character for each
+# backslash and control string
+_MARKS = ["<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>", "<<ROLE>>", "<<TEXT>>", "<</ROLE>>"]
+_ESCAPED = "replace(text, chr(92), chr(92) || chr(92))"
+for _m in _MARKS:
+    _ESCAPED = f"replace({_ESCAPED}, '{_m}', '{_m[0]}' || chr(92) || '{_m[1:]}')"
+OP13_CHAT_FORMAT = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+m AS (SELECT *, CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 25 + length({_ESCAPED.replace('text', 'role')}) END
+  + length({_ESCAPED}) AS chars FROM c),
+w AS (SELECT *, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn) AS prev,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM m)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars,
+  bool_and(prev || '>' || role IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user') AND (back > 1 OR role = 'assistant')) AS valid
+FROM w GROUP BY conv_id
+"""

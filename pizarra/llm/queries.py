@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pizarra.llm import oracles
+from pizarra.llm.chat_format import chat_report, with_probe
 from pizarra.llm.common import table
 from pizarra.llm.decontamination import contamination_report
 from pizarra.llm.fingerprint import edit_report
@@ -89,3 +90,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_report(with_probe(table(spark, sf_dir, "conversations"), spark))

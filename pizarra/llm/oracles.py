@@ -92,3 +92,30 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   bool_and(prev || '>' || role IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user') AND (back > 1 OR role = 'assistant')) AS valid
 FROM w GROUP BY conv_id
 """
+
+OP12_SOURCE_DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT id, lang, source, unnest(regexp_extract_all({_ASCII_LOWER.format('text')}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+gt AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(gt.total, 0) + v.v))::HUGEINT AS p
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN gt ON gt.lang = g.lang AND gt.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+ln AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term),
+lt AS (SELECT lang, sum(n) AS total FROM ln GROUP BY lang),
+q AS (SELECT lang, term, (1 + (1000000000::HUGEINT * (ln.n + 1)) // (lt.total + v.v))::HUGEINT AS q
+  FROM ln JOIN lt USING (lang) JOIN v USING (lang)),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pr AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pv.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+tm AS (SELECT lang, source, 'term' AS part, term AS item, (((p.p - q.q) * (p.p - q.q)) // q.q)::BIGINT AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p.p > q.q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pr UNION ALL SELECT * FROM tm))
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""

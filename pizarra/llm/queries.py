@@ -10,6 +10,7 @@ from pizarra.llm import oracles
 from pizarra.llm.chat_format import chat_report, with_probe
 from pizarra.llm.common import table
 from pizarra.llm.decontamination import contamination_report
+from pizarra.llm.divergence import divergence
 from pizarra.llm.fingerprint import edit_report
 from pizarra.llm.license_scan import license_report
 from pizarra.llm.line_dedup import line_report
@@ -95,3 +96,8 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_report(with_probe(table(spark, sf_dir, "conversations"), spark))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))

@@ -39,6 +39,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Scratch tables by name, for jobs of several steps: a step's input can go once its output is written."""
+
+    def __init__(self, spark: SparkSession, job: str):
+        self.spark, self.job, self.paths = spark, job, {}
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        path = self.paths[name] = scratch_path(self.spark, f"{self.job}-{name}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(name: str, taken) -> str:
     """``name``, with underscores added until no column in ``taken`` has it
     (case-insensitively, as Spark resolves names)."""
@@ -136,5 +153,5 @@ def slices(batch: pa.RecordBatch, text_index: int, max_bytes: int = SLICE_BYTES,
     release()
 
 
-__all__ = ["arrow_rows", "release", "table", "through", "written", "fresh", "col", "id_text", "shuffle_partitions", "text_buffers", "slices",
+__all__ = ["Tables", "arrow_rows", "release", "table", "through", "written", "fresh", "col", "id_text", "shuffle_partitions", "text_buffers", "slices",
            "ensure_checkpoint_dir", "scratch_path", "ship_code", "SLICE_BYTES"]

@@ -119,3 +119,24 @@ tm AS (SELECT lang, source, 'term' AS part, term AS item, (((p.p - q.q) * (p.p -
 r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pr UNION ALL SELECT * FROM tm))
 SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200
 """
+
+OP11_COLLOCATIONS = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, {_ASCII_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*)::BIGINT AS a
+  FROM i, (SELECT unnest([1, 2, 3, 4]) AS k) AS ks WHERE i + k - 1 <= len(ws) GROUP BY lang, k, phrase),
+nl AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND a >= 30),
+u AS (SELECT lang, k, phrase, a, ws, unnest(range(1, k)) AS j FROM c),
+s AS (SELECT u.lang, u.phrase, u.a, j, x.a AS l, y.a AS r, ((2000000::HUGEINT * u.a) // (x.a + y.a))::BIGINT AS score FROM u
+  JOIN f x ON x.lang = u.lang AND x.k = j AND x.phrase = array_to_string(ws[1:j], ' ')
+  JOIN f y ON y.lang = u.lang AND y.k = u.k - j AND y.phrase = array_to_string(ws[j + 1:u.k], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+gone AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN c h ON h.lang = c.lang AND h.k > c.k AND 100::HUGEINT * h.a >= 80::HUGEINT * c.a
+  AND contains(' ' || h.phrase || ' ', ' ' || c.phrase || ' ')),
+o AS (SELECT b.* FROM b LEFT JOIN gone USING (lang, phrase) WHERE gone.phrase IS NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN nl USING (lang) WHERE rank <= 2000
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pizarra.llm import oracles
 from pizarra.llm.chat_format import chat_report, with_probe
+from pizarra.llm.collocations import collocations
 from pizarra.llm.common import table
 from pizarra.llm.decontamination import contamination_report
 from pizarra.llm.divergence import divergence
@@ -98,6 +99,11 @@ def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_report(with_probe(table(spark, sf_dir, "conversations"), spark))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))

@@ -10,7 +10,7 @@ from pizarra.operators import stats
 from pizarra.operators.reshape import block_slice, ordered_split
 from pizarra.plans import standin_sql as Q
 from pizarra.plans.catalog import register
-from pizarra.plans.queries_basic import _FILLED, _RATINGS0
+from pizarra.plans.queries_basic import _FILLED, _RATINGS0, _RATINGS2
 from pizarra.sources import standins as S
 
 
@@ -109,6 +109,26 @@ def q_svd_rmse(spark, sf):
     return recommend.svd_rmse(ratings(S.survey(spark, sf)), "IDNUMBER", "CURID", "PUNTUACION", rank=6)
 
 
+@register("svd_identity", settle=["sum_s2", "sum_s4"], sql=Q.with_(Q.SURVEY, _FILLED, _RATINGS2) + """,
+r AS (SELECT CURID, IDNUMBER, PUNTUACION AS p FROM ratings2),
+c AS (SELECT CURID, IDNUMBER, p - avg(p) OVER (PARTITION BY IDNUMBER) AS x FROM r),
+g AS (SELECT a.CURID, b.CURID AS d, sum(a.x * b.x) AS g FROM c a JOIN c b ON a.IDNUMBER = b.IDNUMBER GROUP BY a.CURID, b.CURID)
+SELECT (SELECT count(DISTINCT CURID) FROM r) AS n_values, (SELECT sum(x * x) FROM c) AS sum_s2,
+       (SELECT sum(g * g) FROM g) / 1000 AS sum_s4, (SELECT count(*) FROM r) AS n_cells, true AS restored""")
+def q_svd_identity(spark, sf):
+    """All singular values of the centred ratings: their squares add up to the trace of the Gramian, their
+    fourth powers to its squared norm, and the full-rank prediction restores every rating."""
+    r = ratings(S.survey(spark, sf))
+    n = r.select("CURID").distinct().count()
+    model = recommend.svd_model(r, "IDNUMBER", "CURID", "PUNTUACION", n)
+    pred = recommend.svd_predict_cells(r, "IDNUMBER", "CURID", "PUNTUACION", model=model)
+    both = r.join(pred, ["IDNUMBER", "CURID"])
+    s2 = model.values ** 2
+    return both.agg(F.lit(len(s2)).cast("long").alias("n_values"), F.lit(float(s2.sum())).alias("sum_s2"),
+                    F.lit(float((s2 * s2).sum()) / 1000).alias("sum_s4"), F.count(F.lit(1)).alias("n_cells"),
+                    (F.max(F.abs(F.col("PUNTUACION") - F.col("prediction"))) < 1e-6).alias("restored"))
+
+
 @register("svd_block_rmse")
 def q_svd_block_rmse(spark, sf):
     """RMSE of the SVD prediction on the observed cells of the first 50

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pizarra.operators import features, stats
+from pizarra.operators import features, silhouette, stats
 from pizarra.operators.ratings import ratings
 from pizarra.operators.reshape import ordered_split
 from pizarra.plans import jobs
@@ -170,6 +170,18 @@ def q_silhouette(spark, sf):
     return stats.silhouette_sq(S.cluster_vectors(spark, sf), "embedding", "label")
 
 
+@register("silhouette_euclid", settle=["silhouette"], sql="""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+n AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+s AS (SELECT a.vec_id, a.label AS own, b.label AS c, sum(list_distance(a.x, b.x)) AS s FROM e a, e b GROUP BY a.vec_id, a.label, b.label),
+ab AS (SELECT vec_id, max(CASE WHEN c = own AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN c <> own THEN s / n END) AS b
+       FROM s JOIN n ON n.label = s.c GROUP BY vec_id)
+SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette, count(*) AS n_points FROM ab""")
+def q_silhouette_euclid(spark, sf):
+    """Mean silhouette (Euclidean) of the given vector labels, exact, over all pairs of points."""
+    return silhouette.silhouette_euclid(S.cluster_vectors(spark, sf), "embedding", "label")
+
+
 def _emb_long(spark, sf):
     long = stats.dims_long(S.cluster_vectors(spark, sf), "embedding", ["vec_id", "label"])
     return long.withColumn("dim", F.col("dim").cast("long"))

@@ -62,14 +62,14 @@ def encoded_features(categorical: Sequence[str], numeric: Sequence[str], out: st
 
 
 def logistic_pipeline(categorical: Sequence[str], numeric: Sequence[str], label: str, n_train: int,
-                      c: float = 1.0, max_iter: int = 1000) -> Pipeline:
+                      c: float = 1.0, max_iter: int = 1000, tol: float = 1e-6) -> Pipeline:
     """L2 logistic regression with the objective of ``LogisticRegression(C=c)``.
 
     scikit-learn minimises C*sum(logloss) + ||w||^2/2; dividing by C*n gives
     Spark's mean(logloss) + regParam/2 ||w||^2 with regParam = 1/(C*n).
     """
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * max(n_train, 1)),
-                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, fitIntercept=True)
+                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol, fitIntercept=True)
     return Pipeline(stages=encoded_features(categorical, numeric) + [lr])
 
 
@@ -268,6 +268,40 @@ def minibatch_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], batc
     return centers
 
 
+def settle_centers(df: DataFrame, cols: Sequence[str], centers: np.ndarray, key: Sequence[str] | None = None,
+                   max_iter: int = 1000) -> np.ndarray:
+    """Lloyd's steps from ``centers`` until they stand still (a library fit stops a little before)."""
+    data = _points(df, cols, list(key or cols))
+    centers = np.array(centers, dtype=float)
+    for _ in range(max_iter):
+        n, sums, _ = _assign(data, {0: centers}, len(cols))[0]
+        new = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centers)
+        if np.abs(new - centers).max() <= 1e-12 * max(1.0, np.abs(centers).max()):
+            return centers
+        centers = new
+    raise RuntimeError(f"the centers did not stand still in {max_iter} steps")
+
+
+def kmeans_certificate(df: DataFrame, features: str, label: str, centers: np.ndarray, tolerance: float = 1e-9) -> DataFrame:
+    """Whether labels and centers are a fixed point of Lloyd's method, from all rows of ``df``.
+
+    One row: ``n_points``, ``n_clusters``, ``n_misplaced`` (rows whose own center, number ``label`` from 0, isn't
+    the nearest) and ``n_moved`` (clusters whose center isn't the mean of their rows).  Both are 0 at a fixed point.
+    """
+    x = qcol(features)
+    dist = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
+            for c in centers]
+    placed = df.select(x.alias("x"), qcol(label).alias("lab"), F.array(*dist).alias("d")).select(
+        "x", "lab", (F.get("d", F.col("lab")) > F.array_min("d") * (1 + tolerance) + tolerance).alias("off"))
+    dim = len(centers[0])
+    per = placed.groupBy("lab").agg(F.count(F.lit(1)).alias("n"), F.count_if("off").alias("off"),
+                                    *[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(dim)])
+    center = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
+    shift = F.greatest(*[F.abs(F.col(f"m{j}") - F.get(center, F.col("lab"))[j]) for j in range(dim)], F.lit(0.0))
+    return per.agg(F.sum("n").cast("long").alias("n_points"), F.count(F.lit(1)).cast("long").alias("n_clusters"),
+                   F.sum("off").cast("long").alias("n_misplaced"), F.count_if(shift > tolerance).cast("long").alias("n_moved"))
+
+
 def nearest_center(features: str, centers: np.ndarray) -> Column:
     """Index of the nearest center of an array column."""
     x = qcol(features)

@@ -6,14 +6,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pizarra.functions.scalar import recode
-from pizarra.operators import features, models, stats
+from pizarra.operators import features, models, newton, stats
 from pizarra.operators.clean import drop_nulls, fill_nulls, filter_ne_keep_nulls
 from pizarra.operators.ordering import GROUP_N, GROUP_POS, with_group_positions
 from pizarra.operators.ratings import ratings
 from pizarra.operators.recommend import neighbour_features
 from pizarra.operators.reshape import ordered_split
 from pizarra.plans import jobs
+from pizarra.plans import standin_sql as Q
 from pizarra.plans.catalog import register
+from pizarra.plans.queries_basic import SCORE_TABLE_CTES
 from pizarra.session import scratch_path
 from pizarra.sources import io
 from pizarra.sources import standins as S
@@ -49,6 +51,25 @@ def q_dropout_scores(spark, sf):
     return scored.select("USUARIO", "target", F.col("prediction"), "p1")
 
 
+@register("dropout_newton", sql=Q.with_(Q.COHORT) + """
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE CUMPLIMIENTO IS DISTINCT FROM 'CULMINARON') AS n_positive, true AS optimal, true AS agrees
+FROM cohort WHERE CUMPLIMIENTO IS DISTINCT FROM 'NINGUNA ACTIVIDAD' AND Porc_act_realizada IS NOT NULL AND NOTA IS NOT NULL""")
+def q_dropout_newton(spark, sf):
+    """Drop-out model fitted on the whole cohort by Newton steps.  ``optimal``: the gradient, recomputed over
+    all rows, is below 1e-6.  ``agrees``: the pipeline's coefficients on features of unit spread are within 1e-4."""
+    d = dropout_frame(spark, sf)
+    d = features.standardise(d, DROPOUT_NUMERIC, suffix="_z")
+    numeric = [f"{c}_z" for c in DROPOUT_NUMERIC]
+    table = models.fit_table(d.select("USUARIO", "target", *DROPOUT_CATEGORICAL, *numeric), ["USUARIO"])
+    rows = newton.encoded_rows(table, DROPOUT_CATEGORICAL, numeric, "target")
+    fit = newton.logistic_newton(rows, "x", "y")
+    gradient, n, positive = newton.gradient_at(rows, "x", "y", fit.coefficients, fit.intercept)
+    other = models.logistic_pipeline(DROPOUT_CATEGORICAL, numeric, "target", n, tol=1e-10).fit(table).stages[-1]
+    apart = max(abs(other.coefficients.toArray() - fit.coefficients).max(), abs(other.intercept - fit.intercept))
+    return spark.range(1).select(F.lit(n).cast("long").alias("n_rows"), F.lit(positive).cast("long").alias("n_positive"),
+                                 F.lit(gradient < 1e-6).alias("optimal"), F.lit(bool(apart < 1e-4)).alias("agrees"))
+
+
 @register("dropout_report")
 def q_dropout_report(spark, sf):
     """Hold-out classification report of the drop-out model (truth, prediction)."""
@@ -158,7 +179,19 @@ def q_kmeans_scores(spark, sf):
     # the job's output: labels written over the result table
     path = scratch_path(spark, "clusters")
     io.replace_files(scored.select("CURID", "IDNUMBER", "view", "click", "clusters"), path)
-    return spark.read.parquet(path)
+    return io.read_files(spark, path)
+
+
+@register("kmeans_certificate", sql=SCORE_TABLE_CTES + """
+SELECT count(*) AS n_points, CAST(3 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_misplaced, CAST(0 AS BIGINT) AS n_moved FROM score_table""")
+def q_kmeans_certificate(spark, sf):
+    """k-means (k=3) run until its centers stand still, and the check of that over all rows."""
+    cols = ["view_z", "click_z"]
+    table = models.fit_table(_scaled_scores(spark, sf).select("CURID", "IDNUMBER", *cols), ["CURID", "IDNUMBER"])
+    fit, _ = models.kmeans_labels(models.vectors(table, cols), 3, seed=1, key=["CURID", "IDNUMBER"])
+    centers = models.settle_centers(table, cols, fit.clusterCenters(), key=["CURID", "IDNUMBER"])
+    points = table.select(F.array(*cols).alias("x"))
+    return models.kmeans_certificate(points.withColumn("lab", models.nearest_center("x", centers)), "x", "lab", centers)
 
 
 @register("cluster_profile")

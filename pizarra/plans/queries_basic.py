@@ -118,7 +118,31 @@ def q_replace_table(spark, sf):
     first = S.roster(spark, sf).select("DNI")
     io.replace_files(first, path)
     io.replace_files(jobs.score_table(spark, sf), path)
-    return spark.read.parquet(path)
+    return io.read_files(spark, path)
+
+
+@register("csv_quarantine", sql=Q.with_(Q.COHORT) + """,
+m AS (SELECT CASE USUARIO % 7 WHEN 0 THEN 'too many fields' WHEN 2 THEN 'bad value' ELSE 'kept' END AS outcome,
+             USUARIO, CASE WHEN USUARIO % 7 = 1 THEN NULL ELSE ESCALA END AS ESCALA FROM cohort)
+SELECT outcome, count(*) AS n, CAST(sum(CASE WHEN outcome = 'kept' THEN USUARIO END) AS BIGINT) AS ids,
+       count(CASE WHEN outcome = 'kept' THEN ESCALA END) AS n_escala FROM m GROUP BY outcome""")
+def q_csv_quarantine(spark, sf):
+    """Text with wide, short, quoted and unreadable rows: rows kept and rejected, by reason."""
+    c = S.cohort(spark, sf)
+    user, course = F.col("USUARIO").cast("string"), F.col("CURID").cast("string")
+    kind = F.col("USUARIO") % 7
+    line = (F.when(kind == 0, F.concat_ws(";", user, course, F.col("ESCALA"), F.lit("x")))
+            .when(kind == 1, F.concat_ws(";", user, course))
+            .when(kind == 2, F.concat_ws(";", user, F.lit("month"), F.col("ESCALA")))
+            .when(kind == 3, F.concat(user, F.lit(";"), course, F.lit(';"a;'), F.col("ESCALA"), F.lit('"')))
+            .otherwise(F.concat_ws(";", user, course, F.col("ESCALA"))))
+    path = scratch_path(spark, "quarantine")
+    c.select(line.alias("value")).write.text(path)
+    kept, rejected = io.read_checked(spark, path, "USUARIO long, CURID long, ESCALA string")
+    good = kept.agg(F.lit("kept").alias("outcome"), F.count(F.lit(1)).alias("n"), F.sum("USUARIO").alias("ids"), F.count("ESCALA").alias("n_escala"))
+    none = F.lit(None).cast("long")
+    return good.unionByName(rejected.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"), none.alias("ids"),
+                                                                                   F.lit(0).cast("long").alias("n_escala")))
 
 
 # ---------------------------------------------------------------- cleaning

@@ -44,21 +44,26 @@ def test_products_meet_by_chunk_and_slice(spark, monkeypatch):
     for u, c, v in rows:
         x[u, c] = v
     triples = spark.createDataFrame(rows, "u long, c long, v double")
-    ids = krylov.distinct_items(triples, "c", 2)
-    sparse = krylov.sparse_rows(triples, "u", "c", "v", ids)
+    sparse = krylov.user_rows(triples, "u", "c", "v")
+    ids = krylov.distinct_items(sparse, 2)
     block = rng.standard_normal((37, 3))
-    for chunk, step in ((1 << 17, 1 << 21), (6, 9)):
+    means = np.array([[np.mean([v for w, _, v in rows if w == u])] for u in range(50)])
+    centred = np.where(x != 0, x - means, 0.0)
+    for chunk, step in ((1 << 17, 1 << 19), (6, 60)):
         monkeypatch.setattr(partial_sums, "CHUNK_CELLS", chunk)
-        monkeypatch.setattr(krylov, "_STEP_CELLS", step)
-        assert np.allclose(krylov.gramian_times(sparse, block), x.T @ (x @ block))
+        monkeypatch.setattr(krylov.user_blocks, "__defaults__", (step,))
+        assert np.allclose(krylov.gramian_times(sparse, ids, block, False), x.T @ (x @ block))
+        assert np.allclose(krylov.gramian_times(sparse, ids, block, True), centred.T @ (centred @ block))
 
 
 def test_items_may_be_text(spark):
     rows = [(u, f"c{(u * k) % 5}", float(u + k)) for u in range(1, 9) for k in (1, 2)]
     pdf = pd.DataFrame(rows, columns=["u", "c", "r"]).drop_duplicates(["u", "c"])
-    ids, v, s = recommend.svd_basis(spark.createDataFrame(pdf), "u", "c", "r", rank=2)
+    df = spark.createDataFrame(pdf)
+    model = recommend.svd_model(df, "u", "c", "r", rank=2, centre=False)
     x = pdf.pivot(index="u", columns="c", values="r").fillna(0.0)
-    assert list(ids) == list(x.columns) and np.allclose(s, np.linalg.svd(x.to_numpy(), compute_uv=False)[:2])
+    assert list(model.items) == list(x.columns) and np.allclose(model.values, np.linalg.svd(x.to_numpy(), compute_uv=False)[:2])
+    assert recommend.svd_top_k(df, "u", "c", "r", k=2, model=model).where("c like 'c%'").count() == 16
 
 
 def test_rmse_of_the_survey_equals_a_dense_svd(spark):

@@ -67,47 +67,49 @@ def _distinct(key: np.ndarray, check: np.ndarray):
     return order[new], inverse, np.diff(np.append(np.flatnonzero(new), len(key)))
 
 
-def _blocks(batches):
+def _blocks(block_bytes: int):
     """Rows of ``_WORDS``: the occurrences of all words of a block of texts."""
-    task, serial = TaskContext.get().partitionId(), 0
-    if task >= 1 << (63 - _CODE_BITS - _SERIAL_BITS):
-        raise ValueError(f"partition {task}: too many partitions to number the blocks")
-    at8 = np.array([0] + [(1 << 64) - (1 << (64 - 8 * i)) for i in range(1, 9)], _U)
-    for batch in batches:
-        for rows, data, off in slices(batch, 1, BLOCK_BYTES):
-            data = _LOWER[data]
-            starts, ends, first = word_spans(data, off, _SEP)
-            if not len(starts):
-                continue
-            if serial >= 1 << _SERIAL_BITS or len(starts) >= 1 << _CODE_BITS:
-                raise ValueError("a partition has too many blocks, or a text too many words, to be numbered")
-            row = row_of(first)
-            piece = np.cumsum(_PIECE[data], dtype=np.int64)[starts]
-            new = np.zeros(len(starts), bool)
-            new[1:] = (piece[1:] != piece[:-1]) | (row[1:] != row[:-1])
-            step = 1 + new.astype(np.uint32)
-            langs = rows.column(0).to_pylist()
-            names = {x: i for i, x in enumerate(dict.fromkeys(langs))}
-            lang = np.array([names[x] for x in langs], _U)[row]
-            size = ends - starts
-            # the hash decides, its check makes sure: both ends of the word, its length and language
-            buf = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(8, np.uint8)])
-            at = np.ndarray((len(buf) - 7,), ">u8", buf, strides=(1,))
-            head = at[starts + 8].astype(_U) & at8[np.minimum(size, 8)]
-            tail = at[ends].astype(_U) * (size > 8)
-            check = mix(head ^ mix(tail ^ mix(size.astype(_U) ^ (lang << _U(40)))))
-            key = mix(span_hashes(data, starts, ends, lower=False) ^ mix(lang + _U(1)))
-            index, code, counts = _distinct(key, check)
-            raw = data.tobytes()
-            words = [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist())]
-            by_lang = pa.array(list(names), pa.string()).take(pa.array(lang[index].astype(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(task << _SERIAL_BITS) + serial], pa.int64()), pa.array([len(starts)], pa.int32()),
-                 pa.array([_squeezed(step)], pa.binary()), pa.array([_squeezed(code)], pa.binary()),
-                 _one_list(by_lang), _one_list(pa.array(words, pa.binary()).cast(pa.string())), _one_list(pa.array(counts.astype(np.int64)))],
-                names=["block", "m", "pos", "code", "langs", "words", "counts"])
-            serial += 1
-            release()
+    def run(batches):
+        task, serial = TaskContext.get().partitionId(), 0
+        if task >= 1 << (63 - _CODE_BITS - _SERIAL_BITS):
+            raise ValueError(f"partition {task}: too many partitions to number the blocks")
+        at8 = np.array([0] + [(1 << 64) - (1 << (64 - 8 * i)) for i in range(1, 9)], _U)
+        for batch in batches:
+            for rows, data, off in slices(batch, 1, block_bytes):
+                data = _LOWER[data]
+                starts, ends, first = word_spans(data, off, _SEP)
+                if not len(starts):
+                    continue
+                if serial >= 1 << _SERIAL_BITS or len(starts) >= 1 << _CODE_BITS:
+                    raise ValueError("a partition has too many blocks, or a text too many words, to be numbered")
+                row = row_of(first)
+                piece = np.cumsum(_PIECE[data], dtype=np.int64)[starts]
+                new = np.zeros(len(starts), bool)
+                new[1:] = (piece[1:] != piece[:-1]) | (row[1:] != row[:-1])
+                step = 1 + new.astype(np.uint32)
+                langs = rows.column(0).to_pylist()
+                names = {x: i for i, x in enumerate(dict.fromkeys(langs))}
+                lang = np.array([names[x] for x in langs], _U)[row]
+                size = ends - starts
+                # the hash decides, its check makes sure: both ends of the word, its length and language
+                buf = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(8, np.uint8)])
+                at = np.ndarray((len(buf) - 7,), ">u8", buf, strides=(1,))
+                head = at[starts + 8].astype(_U) & at8[np.minimum(size, 8)]
+                tail = at[ends].astype(_U) * (size > 8)
+                check = mix(head ^ mix(tail ^ mix(size.astype(_U) ^ (lang << _U(40)))))
+                key = mix(span_hashes(data, starts, ends, lower=False) ^ mix(lang + _U(1)))
+                index, code, counts = _distinct(key, check)
+                raw = data.tobytes()
+                words = [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist())]
+                by_lang = pa.array(list(names), pa.string()).take(pa.array(lang[index].astype(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([(task << _SERIAL_BITS) + serial], pa.int64()), pa.array([len(starts)], pa.int32()),
+                     pa.array([_squeezed(step)], pa.binary()), pa.array([_squeezed(code)], pa.binary()),
+                     _one_list(by_lang), _one_list(pa.array(words, pa.binary()).cast(pa.string())), _one_list(pa.array(counts.astype(np.int64)))],
+                    names=["block", "m", "pos", "code", "langs", "words", "counts"])
+                serial += 1
+                release()
+    return run
 
 
 def _one_list(values: pa.Array) -> pa.ListArray:
@@ -192,7 +194,7 @@ def frequent_phrases(docs: DataFrame, tables: Tables, lang_col: str = "lang", te
     ship_code(spark)
     slim = docs.select(F.coalesce(col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
-    blocks = tables.write("blocks", slim.mapInArrow(_blocks, _WORDS))
+    blocks = tables.write("blocks", slim.mapInArrow(_blocks(BLOCK_BYTES), _WORDS))
     words = blocks.select("block", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("code", "w")).select(
         (F.shiftleft("block", _CODE_BITS) + F.col("code")).alias("ref"), F.col("w.langs").alias("lang"),
         F.col("w.words").alias("word"), F.col("w.counts").alias("n"))

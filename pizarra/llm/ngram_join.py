@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,8 @@ PER_BUCKET = 1 << 20     # signatures a bucket is meant to hold
 GROUP_CHUNK = 4096       # members of a shared signature in one row
 BLOCK_ROWS, SET_ROWS = 32, 1000   # pairs of blocks, and sets, that a task takes in at a time
 BLOCK = 512              # members compared with as many others at a time
-NEAR = 2                 # likeliest partners that a set is compared with at first; four times as many each round
+NEAR, MORE = 2, 16       # likeliest partners that a set is compared with at first; so many times as many each turn
+SALTS = 16               # tasks that a group's members are dealt to
 FILTER_BITS = 1 << 27    # of the broadcast filter: 16 MB; a fuller one only lets more through
 
 _U = np.uint64
@@ -349,19 +351,37 @@ def _plausible(pairs: DataFrame, info: DataFrame) -> DataFrame:
     return met.select("u", "v", "n1", "n2", "s1", "s2").mapInArrow(allow, "u long, v long")
 
 
-def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame, near: int) -> DataFrame:
-    """Pairs of sets that share a group, aren't in one component yet and whose
-    sketches and sizes allow the similarity: of each set the ``near`` likeliest
-    in every block of its group (``u, v``), and the groups that have more (``grp``)."""
+def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
+    """Pairs of sets that share a group, aren't in one component yet, haven't been tried and whose
+    sketches and sizes allow the similarity (``u, v``), and the groups that have more (``grp``).
+
+    A group's sets are dealt to blocks of about ``BLOCK``.  Turn 0 compares each block with
+    itself, turn 1 also with the next one, turn 2 with those up to 3 further, and so on; of each set the likeliest
+    in the other block, ``NEAR`` when two blocks first meet and ``MORE`` times as many each turn.
+    """
     member = groups.select("grp", F.explode("members").alias("node")).distinct()
     placed = member.join(roots, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("root"))
     split = placed.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi")
-    rows = placed.join(split, "grp").join(info.select("node", "n", "sketch"), "node")
-    # blocks of a group by hash; a group of many has several, each pair of them is one row
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)).cast("int"))
-    blocks = rows.groupBy("grp", "block").agg(F.collect_list(F.struct("node", "root", "n", "sketch")).alias("x"))
-    other = blocks.select("grp", F.col("block").alias("block2"), F.col("x").alias("y"))
-    both = blocks.join(other, "grp").where("block <= block2")
+    split = written(split.select("grp", F.ceil(F.col("members") / BLOCK).cast("int").alias("nb")), "split")
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    dealt = split.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = placed.withColumn("salt", salt).join(dealt, ["grp", "salt"]).join(info.select("node", "n", "sketch"), "node")
+    done = tried.select(F.col("u").alias("node"), "v").unionByName(tried.select(F.col("v").alias("node"), F.col("u").alias("v"))).groupBy(
+        "node").agg(F.collect_list("v").alias("done"))
+    rows = rows.join(done, "node", "left").withColumn("done", F.coalesce("done", F.array().cast("array<long>")))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    blocks = rows.groupBy("grp", "block").agg(F.collect_list(F.struct("node", "root", "n", "sketch", "done")).alias("x"),
+                                              F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("nb").alias("nb"))
+    both = blocks.where("lo < hi").select("grp", F.lit(0).alias("step"), "x", F.col("x").alias("y"))
+    far = (1 << turn) - 1                 # the farthest block of this turn; half the circle meets all
+    if far:
+        step = F.explode(F.sequence(F.lit(1), F.least(F.lit(far), F.floor(F.col("nb") / 2).cast("int")))).alias("step")
+        left = blocks.where("nb > 1").select("grp", "x", "lo", "hi", "block", "nb", step).select(
+            "grp", "x", "lo", "hi", "step", F.pmod(F.col("block") + F.col("step"), F.col("nb")).alias("block"))
+        other = blocks.select("grp", "block", F.col("x").alias("y"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+        both = both.unionByName(left.join(other, ["grp", "block"]).where("least(lo, lo2) < greatest(hi, hi2)").select("grp", "step", "x", "y"))
+    met = F.when(F.col("step") == 0, 0).otherwise(F.ceil(F.log2(F.col("step") + 1))).cast("int")
+    near = F.least(F.lit(NEAR) * F.pow(F.lit(MORE), F.lit(turn) - met), F.lit(1 << 30)).cast("int")
 
     def rows(u, v, more):
         u, v = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (u, v))
@@ -374,8 +394,8 @@ def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame, near: int) -
     def compare(batches):
         for batch in batches:
             u, v, more, held = [], [], [], 0
-            for grp, same, x, y in zip(*(batch.column(k) for k in range(4))):
-                a, b, cut = _allowed(_members(x.values), _members(y.values), same.as_py(), near)
+            for grp, step, near, x, y in zip(*(batch.column(k) for k in range(5))):
+                a, b, cut = _allowed(_members(x.values), _members(y.values), step.as_py() == 0, near.as_py())
                 u.append(a)
                 v.append(b)
                 held += len(a)
@@ -386,12 +406,26 @@ def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame, near: int) -
                     u, v, more, held = [], [], [], 0
             yield rows(u, v, more)
 
-    return both.select("grp", F.expr("block = block2"), "x", "y").mapInArrow(compare, "u long, v long, grp long")
+    found = both.select("grp", "step", near.alias("near"), "x", "y").mapInArrow(compare, "u long, v long, grp long")
+    none = F.lit(None).cast("long")
+    return found.unionByName(split.where(F.floor(F.col("nb") / 2) > far).select(none.alias("u"), none.alias("v"), "grp"))
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after more links: these become edges between roots, few beside the nodes."""
+    known = roots.select(F.col("node").alias("at"), F.col("root").alias("to"))
+    for side in ("u", "v"):
+        links = links.join(known, F.col(side) == F.col("at"), "left").withColumn(side, F.coalesce("to", side)).drop("at", "to")
+    stars = components(written(links.where("u <> v").distinct(), "edges"))
+    lifted = stars.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    moved = roots.join(lifted, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return written(moved.unionByName(stars), "roots")
 
 
 def _members(x: pa.StructArray):
     node, root, n = (x.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-    return node, root, n, [np.frombuffer(b, np.uint8) for b in x.field(3).to_pylist()]
+    owner = np.repeat(np.arange(len(node)), pc.list_value_length(x.field(4)).to_numpy(zero_copy_only=False))
+    return node, root, n, [np.frombuffer(b, np.uint8) for b in x.field(3).to_pylist()], (owner, x.field(4).flatten().to_numpy())
 
 
 def _folded(sketches: list[np.ndarray], width: int) -> np.ndarray:
@@ -405,7 +439,7 @@ def _folded(sketches: list[np.ndarray], width: int) -> np.ndarray:
 def _allowed(x, y, same: bool, near: int) -> tuple[np.ndarray, np.ndarray, bool]:
     """The pairs to compare of two blocks, each set with its ``near`` likeliest, and
     whether a set has more."""
-    (a, ra, na, sa), (b, rb, nb, sb) = x, y
+    (a, ra, na, sa, (owner, partner)), (b, rb, nb, sb, _) = x, y
     width = min(map(len, sa + sb))
     wa, wb = _folded(sa, width), _folded(sb, width)
     total = na[:, None] + nb[None, :]
@@ -417,6 +451,10 @@ def _allowed(x, y, same: bool, near: int) -> tuple[np.ndarray, np.ndarray, bool]
         ok = (ra[i:i + step, None] != rb[None, :]) & (9 * d <= total[i:i + step])
         ok &= 9 * np.minimum(na[i:i + step, None], nb[None, :]) >= 4 * total[i:i + step]       # the smaller has 4/5 of the larger
         apart[i:i + step] = np.where(ok, d, far)
+    order = np.argsort(b)
+    at = np.minimum(np.searchsorted(b[order], partner), len(b) - 1)
+    hit = b[order][at] == partner
+    apart[owner[hit], order[at[hit]]] = far                # tried already
     us, vs, cut = [], [], False
     for m, p, q in ((apart, a, b), (apart.T, b, a))[:1 if same else 2]:      # both sides choose
         n = (m < far).sum(axis=1)
@@ -442,11 +480,12 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Sets that are equal are one set from the start.  First every set is compared with
     the set that leads most groups (sets with a common signature) it is in.  Then, in
-    rounds, each set is compared with its likeliest partners among those it shares a group
+    turns, each set is compared with its likeliest partners among those it shares a group
     with and isn't connected to by then; pairs that sizes or sketches rule out never are.
-    The rounds end only when no group has a pair left to compare (at last every one is), so
-    very many near copies of each other cost some comparisons each, not all pairs, and
-    yet no link between components is missed.
+    A turn looks within blocks of a group and between blocks ever further apart, and what it links
+    is one component in the next.  The turns end only when no group has a pair left to
+    compare (at last every one is), so very many near copies of each other cost
+    some comparisons each, not all pairs, and yet no link between components is missed.
 
     A null text is empty; an empty set links with nothing.  Rows with a null id have a
     null component and link nothing; rows that repeat an id are judged each by its text.
@@ -471,23 +510,23 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = written(_plausible(best, info), "pairs")
     with arrow_rows(spark, SET_ROWS):
         one = written(_verified(first, info, slim), "links")
-    tried, near = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), NEAR
+    tried, turn = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), 0
     roots = components(one)
     while True:
         with arrow_rows(spark, BLOCK_ROWS):
-            found = written(_crossing(groups, roots, info, near), "crossing")
-        rest = written(found.where("u is not null").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
+            found = written(_crossing(groups, roots, info, tried, turn), "crossing")
+        rest = written(found.where("u is not null").select("u", "v").distinct(), "pairs")
         if not rest.isEmpty():
             with arrow_rows(spark, SET_ROWS):
                 new = written(_verified(rest, info, slim), "links")
             if not new.isEmpty():
-                roots = components(new.unionByName(roots.toDF("u", "v")))
+                roots = _merged(roots, new)
             tried = tried.unionByName(rest)
         more = found.where("grp is not null").select("grp").distinct()
-        if more.isEmpty():          # blocks are dealt by hash: some have more than BLOCK members, so `near` may pass it
+        if more.isEmpty():
             break
         groups = written(groups.join(more, "grp", "left_semi"), "groups")
-        near *= 4
+        turn += 1
     placed = people.join(roots, "node", "left").withColumn("root", F.when(F.col("node") != 0, F.coalesce("root", "node")))
     least = placed.where("root is not null and doc_id is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return placed.join(least, "root", "left").select(

@@ -21,14 +21,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pizarra.llm.common import Tables, arrow_rows, col, release, ship_code, slices
+from pizarra.llm.common import Tables, arrow_rows, col, release, ship_code, shuffle_partitions, slices
 from pizarra.llm.hashing import byte_set, mix, row_of, span_hashes, word_spans
+from pizarra.llm.packed import bucket_of
 
 MIN_COUNT = 30
 MAX_WORDS = 4
 TOP = 2000
 INSIDE_PERCENT = 80        # a phrase goes if a longer one around it has this share of its occurrences
 BLOCK_BYTES = 8 << 20      # text of a block; a longer text is a block by itself
+HOLD = 1 << 21             # counts of candidates that a task holds before it sends them
+PER_BUCKET = 1 << 20       # counts that meet in a bucket, at most
 _CODE_BITS, _SERIAL_BITS = 30, 13
 _PIECE = byte_set(b".,;:!?\n\x0b\x0c\r")
 _SEP = _PIECE | byte_set(b" \t")
@@ -37,7 +40,8 @@ _LOWER[65:91] += 32
 _U = np.uint64
 _WORDS = "block long, m int, pos binary, code binary, langs array<string>, words array<string>, counts array<long>"
 _RELATION = "block long, m int, pos binary, code binary, ids array<long>"
-_CANDIDATES = "ref long, id1 long, id2 long, n long"
+_SENT = "bucket long, m int, data binary"
+_FOUND = "ref long, id long, a long, id1 long, id2 long"
 
 
 def _squeezed(a: np.ndarray) -> bytes:
@@ -128,18 +132,87 @@ def _rows(batches, columns: int):
         yield from zip(*(batch.column(i).to_pylist() if i < 4 else list(batch.column(i)) for i in range(columns)))
 
 
-def _candidates(batches):
-    """Rows of ``_CANDIDATES``: the phrases that a block's relation extends to, with their counts there."""
-    for block, m, pos, code, ids in _rows(batches, 5):
-        ids = ids.values.to_numpy(zero_copy_only=False)
-        _, pair = _adjacent(_positions(pos, m), _opened(code, m))
-        pair, n = np.unique(pair, return_counts=True)
-        ref = (block << _CODE_BITS) + np.arange(len(pair), dtype=np.int64)
-        cols = [ref, ids[(pair >> _U(32)).astype(np.int64)], ids[(pair & _U(0xFFFFFFFF)).astype(np.int64)], n.astype(np.int64)]
-        for a in range(0, len(pair), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(c[a:a + (1 << 16)]) for c in cols], names=["ref", "id1", "id2", "n"])
+def _candidates(n_buckets: int):
+    """Rows of ``_SENT``: the phrases that the relations of blocks extend to, with their counts there."""
+    def send(held: list):
+        id1, id2, ref, n = (np.concatenate(x) for x in zip(*held))
+        bucket = bucket_of(mix(mix(id1.view(_U)) ^ id2.view(_U)), n_buckets)
+        order = np.lexsort((id2, id1, bucket))          # runs of equal words pack well
+        cols, bucket = [c[order] for c in (id1, id2, ref, n)], bucket[order]
+        cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[cut[:-1]]), pa.array(np.diff(cut).astype(np.int32)),
+             pa.array([_packed([c[a:b] for c in cols]) for a, b in zip(cut, cut[1:])], pa.binary())], names=["bucket", "m", "data"])
         release()
 
+    def run(batches):
+        held, size = [], 0
+        for block, m, pos, code, ids in _rows(batches, 5):
+            ids = ids.values.to_numpy(zero_copy_only=False)
+            _, pair = _adjacent(_positions(pos, m), _opened(code, m))
+            pair, n = np.unique(pair, return_counts=True)
+            if not len(pair):
+                continue
+            ref = (block << _CODE_BITS) + np.arange(len(pair), dtype=np.int64)
+            held.append((ids[(pair >> _U(32)).astype(np.int64)], ids[(pair & _U(0xFFFFFFFF)).astype(np.int64)], ref, n.astype(np.int64)))
+            size += len(pair)
+            if size >= HOLD:
+                yield from send(held)
+                held, size = [], 0
+        if held:
+            yield from send(held)
+    return run
+
+
+def _packed(cols: list[np.ndarray]) -> bytes:
+    """64-bit columns, their bytes by place, compressed."""
+    return pa.compress(b"".join(c.view(np.uint8).reshape(-1, 8).T.tobytes() for c in cols), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, m: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(data, 4 * 8 * m, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, 8, m).transpose(0, 2, 1)).view(np.int64).reshape(4, m)
+
+
+def _frequent_pairs(min_count: int):
+    """Rows of ``_FOUND``: the group counts of a bucket's phrases, and which are frequent."""
+    def settle(blobs: list):
+        id1, id2, ref, n = np.concatenate(blobs, axis=1)
+        order = np.lexsort((ref, id2, id1))
+        id1, id2, ref, n = id1[order], id2[order], ref[order], n[order]
+        new = np.append(True, (id1[1:] != id1[:-1]) | (id2[1:] != id2[:-1]))
+        at = np.flatnonzero(new)
+        size, total = np.diff(np.append(at, len(new))), np.add.reduceat(n, at)
+        keep = np.repeat(total >= min_count, size)
+        lead = new[keep]
+        cols = [np.repeat(total, size)[keep], id1[keep], id2[keep]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ref[keep]), pa.array(np.repeat(ref[at], size)[keep]), *[pa.array(c, mask=~lead) for c in cols]],
+            names=["ref", "id", "a", "id1", "id2"])
+        release()
+
+    def run(batches):
+        now, held = None, []
+        for batch in batches:
+            for b, m, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if held and b != now:
+                    yield from settle(held)
+                    held = []
+                now = b
+                held.append(_unpacked(data.as_buffer(), m))
+        if held:
+            yield from settle(held)
+    return run
+
+
+def _counted(relation: DataFrame, min_count: int) -> DataFrame:
+    """The frequent phrases that are longer by one word, as :func:`_frequent` gives the words."""
+    parts = shuffle_partitions(relation.sparkSession)
+    entries = relation.agg(F.sum("m")).first()[0] or 0           # a block has no more candidates than occurrences
+    buckets = max(parts, int(entries // PER_BUCKET) + 1)
+    sent = relation.mapInArrow(_candidates(buckets), _SENT).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return sent.mapInArrow(_frequent_pairs(min_count), _FOUND)
+
 
 def _kept(pos: np.ndarray, code: np.ndarray, codes: np.ndarray, ids: np.ndarray):
     """The occurrences whose phrase is among the frequent ``codes``, with codes of their own."""
@@ -168,13 +241,13 @@ def _semi_joined(extend: bool):
     return run
 
 
-def _frequent(rows: DataFrame, keys: list[str], min_count: int) -> DataFrame:
-    """The block entries ``ref`` of frequent phrases with the phrase's number ``id`` and count ``a``;
-    the keys stay in the one entry that names the phrase."""
-    whole = Window.partitionBy(*keys)
+def _frequent(words: DataFrame, min_count: int) -> DataFrame:
+    """The block entries ``ref`` of frequent words with the word's number ``id`` and count ``a``;
+    the word itself stays in the one entry that names it."""
+    whole = Window.partitionBy("lang", "word")
     lead = F.col("ref") == F.col("id")
-    return (rows.withColumn("a", F.sum("n").over(whole)).where(F.col("a") >= min_count).withColumn("id", F.min("ref").over(whole))
-            .select("ref", "id", F.when(lead, F.col("a")).alias("a"), *[F.when(lead, F.col(k)).alias(k) for k in keys]))
+    return (words.withColumn("a", F.sum("n").over(whole)).where(F.col("a") >= min_count).withColumn("id", F.min("ref").over(whole))
+            .select("ref", "id", *[F.when(lead, F.col(k)).alias(k) for k in ("a", "lang", "word")]))
 
 
 def _by_block(frequent: DataFrame) -> DataFrame:
@@ -199,7 +272,7 @@ def frequent_phrases(docs: DataFrame, tables: Tables, lang_col: str = "lang", te
         (F.shiftleft("block", _CODE_BITS) + F.col("code")).alias("ref"), F.col("w.langs").alias("lang"),
         F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     totals = tables.write("totals", words.groupBy("lang").agg(F.sum("n").alias("n")))
-    found = tables.write("found1", _frequent(words, ["lang", "word"], min_count))
+    found = tables.write("found1", _frequent(words, min_count))
     one = found.where("ref = id").select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a",
                                          F.array("a").alias("heads"), F.array("a").alias("tails"))
     phrases, relation = [tables.write("phrases1", one)], blocks
@@ -210,8 +283,7 @@ def frequent_phrases(docs: DataFrame, tables: Tables, lang_col: str = "lang", te
             relation = tables.write(f"relation{k - 1}", joined.select("block", "m", "pos", "code", "codes", "new_ids").mapInArrow(
                 _semi_joined(extend=k > 2), _RELATION))
             tables.drop("blocks" if k == 2 else old, f"found{k - 1}")
-            rows = relation.mapInArrow(_candidates, _CANDIDATES)
-            found = tables.write(f"found{k}", _frequent(rows, ["id1", "id2"], min_count))
+            found = tables.write(f"found{k}", _counted(relation, min_count))
         before = phrases[-1]
         head = before.select(F.col("id").alias("id1"), "lang", F.col("phrase").alias("first_words"), "heads")
         tail = before.select(F.col("id").alias("id2"), "last", "tails")

@@ -10,7 +10,7 @@ and ``a * (2 - t) / t`` can reach the threshold ``t``; the others are pruned.
 from __future__ import annotations
 
 import re
-from pathlib import Path
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -111,9 +111,13 @@ _COPYRIGHT = span_hashes(np.frombuffer(b"copyright", np.uint8), np.array([0]), n
 
 
 def full_texts() -> list[tuple[str, str]]:
-    """The full licence texts, without the lines that begin with ``copyright``.  Read on the driver."""
+    """The full licence texts, without the lines that begin with ``copyright``.  Read on the driver,
+    also from a zipped package; their absence is an error."""
     drop = re.compile(r"^[^a-z0-9\n]*copyright\b.*$", re.IGNORECASE | re.MULTILINE)
-    return [(f.stem, drop.sub("", f.read_text())) for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+    files = sorted((f for f in (resources.files(__package__) / "licenses").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    if not files:
+        raise FileNotFoundError("the licence texts are not in the package")
+    return [(f.name.removesuffix(".txt"), drop.sub("", f.read_text(encoding="utf-8"))) for f in files]
 
 
 def _words(data, off):

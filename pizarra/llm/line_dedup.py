@@ -110,8 +110,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, number of lines, of dropped lines, SHA-256 of the kept text,
-    and the keep bitmap."""
+    """Per row: id, number of lines, of dropped lines, and the SHA-256 of the text that the keep bitmap leaves."""
     slim = id_text(docs, id_col, text_col)
     out, runs, n = with_bitmaps(slim, "id", "text")
     return out.select(

@@ -185,6 +185,7 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
 
 
 FOUND = 4096             # captures found that go on together
+READ_RUN = 1 << 20       # archive bytes whose records are read by one task, one after the other
 
 
 class Reader:
@@ -248,8 +249,10 @@ def lookup(directory: DataFrame, folder: str, keys: DataFrame) -> DataFrame:
         yield _batch(out)
 
     want = keys.select("key").where(F.col("key").isNotNull()).distinct()
-    # near keys go to the same task, in order, so that a block is read once
-    return want.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(search, CAPTURES)
+    # near keys go to the same task, in order, so that a block is read once; the keys are few bytes, their
+    # records are not, so the number of tasks is the session's
+    n = shuffle_partitions(keys.sparkSession)
+    return want.repartitionByRange(n, "key").sortWithinPartitions("key").mapInArrow(search, CAPTURES)
 
 
 def all_captures(directory: DataFrame, folder: str) -> DataFrame:
@@ -286,7 +289,10 @@ def read_captures(captures: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict(rows, schema=pa.schema(
                 [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]))
 
-    return captures.select("file", "offset", "length").mapInArrow(
+    # dealt by place: captures of one key, however many, are read by many tasks, in order
+    n = shuffle_partitions(captures.sparkSession)
+    dealt = captures.select("file", "offset", "length").repartition(n, "file", F.expr(f"offset div {READ_RUN}")).sortWithinPartitions("file", "offset")
+    return dealt.mapInArrow(
         read_all, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 

@@ -64,24 +64,39 @@ def min_max(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     return fit_min_max(df, cols).transform(df, suffix)
 
 
+# Code tables of so many rows at most are broadcast (some MB); others are joined by a salted key.
+MAX_BROADCAST_CODES = 100_000
+_SALTS = 64
+
+
+def _with_code(df: DataFrame, key: Column, table: DataFrame, on: str, take: str, name: str, n: int) -> DataFrame:
+    """Left join of ``take`` from a code table of ``n`` rows.  A label that a third of the rows share is dealt to many tasks."""
+    side = table.select(F.col(on).alias("_on"), F.col(take).alias(name))
+    if n <= MAX_BROADCAST_CODES:
+        return df.join(F.broadcast(side), key == F.col("_on"), "left").drop("_on")
+    dealt = side.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int"))
+    return salted.join(dealt, (key == F.col("_on")) & (F.col("_salt") == F.col("_part")), "left").drop("_on", "_part", "_salt")
+
+
 @dataclass
 class LabelFit:
-    """Per column a table ``label, code``; nothing of it is held on the driver."""
+    """Per column a table ``label, code`` and its number of rows; nothing of it is held on the driver."""
 
     codes: dict[str, DataFrame]
+    sizes: dict[str, int]
 
     def transform(self, df: DataFrame, suffix: str = "_code") -> DataFrame:
         """Code = position in the sorted label list; unseen or null -> null."""
         for c, table in self.codes.items():
-            key = table.select(F.col("label").alias("_label"), F.col("code").alias(c + suffix))
-            df = df.join(key, qcol(c).cast("string") == F.col("_label"), "left").drop("_label")
+            df = _with_code(df, qcol(c).cast("string"), table, "label", "code", c + suffix, self.sizes[c])
         return df
 
     def inverse(self, df: DataFrame, code_cols: dict[str, str]) -> DataFrame:
         """Codes back to labels (``inverse_transform``)."""
         for c, code_col in code_cols.items():
-            key = self.codes[c].select(F.col("label").alias("_label"), F.col("code").alias("_code"))
-            df = df.join(key, qcol(code_col).cast("long") == F.col("_code"), "left").withColumn(c, F.col("_label")).drop("_label", "_code")
+            named = _with_code(df, qcol(code_col).cast("long"), self.codes[c], "code", "label", "_label", self.sizes[c])
+            df = named.withColumn(c, F.col("_label")).drop("_label")
         return df
 
 
@@ -94,7 +109,45 @@ def fit_labels(df: DataFrame, cols: Sequence[str]) -> LabelFit:
         labels = df.select(qcol(c).cast("string").alias("label")).where("label is not null").distinct()
         return with_running_totals(labels, [F.col("label")]).select("label", F.col(POS).alias("code"))
 
-    return LabelFit({c: codes(c) for c in cols})
+    tables = {c: codes(c) for c in cols}
+    return LabelFit(tables, {c: t.count() for c, t in tables.items()})
+
+
+@dataclass
+class SparseOneHot:
+    """One-hot encoding of columns with any number of categories: rows hold the positions of their ones."""
+
+    labels: LabelFit
+
+    @property
+    def width(self) -> int:
+        return sum(self.labels.sizes.values())
+
+    def transform(self, df: DataFrame, name: str = "ones") -> DataFrame:
+        """``df`` with an ascending array of positions below ``width``: the columns' categories stand one column after
+        the other, each in code-point order.  A null or unseen value has no position."""
+        out, start, at = self.labels.transform(df, "__pos"), 0, []
+        for c, n in self.labels.sizes.items():
+            at.append(F.col(f"`{c}__pos`") + start)
+            start += n
+        return out.withColumn(name, F.array_compact(F.array(*at))).drop(*[f"{c}__pos" for c in self.labels.sizes])
+
+    def vectors(self, df: DataFrame, name: str = "features") -> DataFrame:
+        """``df`` with the ones as a sparse ``ml`` vector of ``width``."""
+        from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+
+        sizes = list(self.labels.sizes.items())
+        pos, hot = [f"_pos{i}" for i in range(len(sizes))], [f"_hot{i}" for i in range(len(sizes))]
+        # a value without a code takes one more place, which the encoder drops
+        coded = self.labels.transform(df, "__pos").withColumns(
+            {p: F.coalesce(F.col(f"`{c}__pos`"), F.lit(n)).cast("double") for p, (c, n) in zip(pos, sizes)}).drop(*[f"{c}__pos" for c, _ in sizes])
+        top = df.sparkSession.range(1).select(*[F.lit(float(n)).alias(p) for p, (_, n) in zip(pos, sizes)])
+        encoder = OneHotEncoder(inputCols=pos, outputCols=hot, dropLast=True).fit(top)
+        return VectorAssembler(inputCols=hot, outputCol=name).transform(encoder.transform(coded)).drop(*pos, *hot)
+
+
+def fit_sparse_one_hot(df: DataFrame, cols: Sequence[str]) -> SparseOneHot:
+    return SparseOneHot(fit_labels(df, cols))
 
 
 # A one-hot layout has a column per category, so the count is checked first.

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from pizarra.functions.scalar import round_half_even
 from pizarra.operators.clean import qcol
-from pizarra.operators.ordering import POS, with_running_totals
+from pizarra.operators.selection import quantiles as exact_quantiles
+from pizarra.session import ensure_checkpoint_dir
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -100,51 +101,48 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
     """``DataFrame.describe()`` long: one row per column with count, mean,
     sample std, min, exact linear-interpolated quantiles, max.
 
-    Quantiles are exact at any size: values are sorted once (distributed
-    range sort over ``(column, value)``) and numbered with partition offsets;
-    only the two neighbours of each quantile position, two values per column
-    and quantile, are read back.
+    Quantiles are exact at any size, from radix histograms
+    (:mod:`pizarra.operators.selection`): the columns are written once, and
+    nothing of them is sorted or shuffled.
     """
     cols = list(cols or numeric_columns(df))
-    long = df.select([qcol(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    long = long.filter(F.col("value").isNotNull())
-    basic = long.groupBy("column").agg(
-        F.count(F.lit(1)).cast("long").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    ensure_checkpoint_dir(df.sparkSession)
+    narrow = df.select([qcol(c).cast("double").alias(c) for c in cols])
+    if not approximate:
+        narrow = narrow.checkpoint(eager=True)
+    # one pass: a row of partial aggregates per task, then one row per column
+    x = [qcol(c) for c in cols]
+    stats = [F.struct(F.lit(c).alias("column"), F.count(v).cast("long").alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                      F.min(v).alias("min"), F.max(v).alias("max")) for c, v in zip(cols, x)]
+    basic = narrow.agg(F.array(*stats).alias("s")).select(F.inline("s")).where(F.col("count") > 0)
+    names = [f"p{int(round(q * 100))}" for q in quantiles]
     if approximate:
         # one pass, bounded memory per group (Greenwald-Khanna sketch);
         # not interpolated, so it can differ from the exact quartiles
-        qa = long.groupBy("column").agg(
-            F.percentile_approx("value", list(quantiles), accuracy).alias("_q"))
-        return basic.join(qa, "column").select(
-            *basic.columns, *[F.col("_q")[i].alias(f"p{int(round(q * 100))}") for i, q in enumerate(quantiles)])
-    numbered = with_running_totals(long, [F.col("column"), F.col("value")])
-    # one row per column of the frame: where its values start and how many there are
-    spans = numbered.groupBy("column").agg(F.min(POS).alias("start"), F.count(F.lit(1)).alias("n")).collect()
-    # quantile q over n values sits between ranks floor(q(n-1)) and ceil(q(n-1))
-    wanted = {}
-    for r in spans:
-        for q in quantiles:
-            h = float(q) * (r["n"] - 1)
-            lo = r["start"] + int(h)
-            wanted[r["column"], q] = (lo, min(lo + 1, r["start"] + r["n"] - 1), h - int(h))
-    places = sorted({p for lo, hi, _ in wanted.values() for p in (lo, hi)})
-    at = {r[POS]: r["value"] for r in numbered.filter(F.col(POS).isin(places)).select(POS, "value").collect()} if places else {}
-
-    def value(c, q):
-        lo, hi, frac = wanted[c, q]
-        return at[lo] + (at[hi] - at[lo]) * frac
-
-    rows = [(r["column"], *[value(r["column"], q) for q in quantiles]) for r in spans]
-    names = [f"p{int(round(q * 100))}" for q in quantiles]
+        told = narrow.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.percentile_approx(v, list(quantiles), accuracy).alias("q"))
+                                    for c, v in zip(cols, x)]).alias("s")).select(F.inline("s"))
+        return basic.join(told, "column").select(*basic.columns, *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
+    rows = [(c, *q) for c, q in zip(cols, exact_quantiles(narrow, cols, quantiles))]
     schema = "column string, " + ", ".join(f"{x} double" for x in names)
     return basic.join(F.broadcast(df.sparkSession.createDataFrame(rows, schema)), "column")
 
 
+def distinct_sketches(df: DataFrame, group: Sequence[str], col: str, name: str = "sketch", lg_k: int = 16) -> DataFrame:
+    """A HyperLogLog sketch of ``col`` per group: a column that can be kept and merged upward
+    (:func:`merge_sketches`).  The error is about ``1.04 / sqrt(2 ** lg_k)``; null values don't count."""
+    return df.groupBy([qcol(g) for g in group]).agg(F.hll_sketch_agg(qcol(col), lg_k).alias(name))
+
+
+def merge_sketches(sketches: DataFrame, group: Sequence[str], name: str = "sketch") -> DataFrame:
+    """Sketches of finer groups as one per coarser group, without their rows."""
+    return sketches.groupBy([qcol(g) for g in group]).agg(F.hll_union_agg(qcol(name)).alias(name))
+
+
+def sketch_counts(sketches: DataFrame, name: str = "sketch", out: str = "n") -> DataFrame:
+    """The sketches' estimates in place of the sketches."""
+    return sketches.withColumn(out, F.hll_sketch_estimate(qcol(name))).drop(name)
+
+
 def sparsity(ratings: DataFrame, user: str, item: str, digits: int = 3) -> DataFrame:
     """Share of empty cells of the user x item grid, without building it (null
     for an empty table)."""

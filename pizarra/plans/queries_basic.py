@@ -557,6 +557,21 @@ def q_describe(spark, sf):
     return profile.describe(S.cohort(spark, sf), ["CURID", "Porc_act_realizada", "NOTA"])
 
 
+@register("distinct_sketch", sql=Q.with_(Q.ACTIVITY) + """
+SELECT CURID, count(DISTINCT CAST(FECHA_REALIZADA AS DATE)) AS n_days, true AS within FROM activity GROUP BY CURID""")
+def q_distinct_sketch(spark, sf):
+    """Teachers per course from sketches kept per course and day and merged; ``within``: 2 % of the exact count."""
+    act = S.activity(spark, sf).withColumn("day", F.to_date("FECHA_REALIZADA"))
+    path = scratch_path(spark, "sketches")
+    profile.distinct_sketches(act, ["CURID", "day"], "IDNUMBER").write.parquet(path)
+    daily = spark.read.parquet(path)
+    told = profile.sketch_counts(profile.merge_sketches(daily, ["CURID"]))
+    days = daily.groupBy("CURID").agg(F.count(F.lit(1)).alias("n_days"))
+    exact = profile.count_distinct_per_group(act, ["CURID"], "IDNUMBER", "exact")
+    return told.join(exact, "CURID").join(days, "CURID").select(
+        "CURID", "n_days", (F.abs(F.col("n") - F.col("exact")) <= 0.02 * F.col("exact")).alias("within"))
+
+
 @register("sparsity", sql=Q.with_(Q.SURVEY, _FILLED, _RATINGS2) + """
 SELECT round_even((CAST(1 AS DOUBLE) - CAST(count(*) AS DOUBLE)
          / (CAST(count(DISTINCT IDNUMBER) AS DOUBLE) * CAST(count(DISTINCT CURID) AS DOUBLE)))

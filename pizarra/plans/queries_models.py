@@ -199,7 +199,7 @@ def q_cluster_profile(spark, sf):
     """Teachers per k-means cluster (k=4), with the two quality indices."""
     data = models.vectors(_scaled_scores(spark, sf), ["view_z", "click_z"])
     _, scored = models.kmeans_labels(data, 4, seed=1, key=["CURID", "IDNUMBER"])
-    scored = scored.withColumn("_arr", vector_to_array("features")).cache()
+    scored = models.fit_table(scored.withColumn("_arr", vector_to_array("features")), ["CURID", "IDNUMBER"])
     db = stats.davies_bouldin(scored, "_arr", "clusters").first()["davies_bouldin"]
     sil = stats.silhouette_sq(scored, "_arr", "clusters").first()["silhouette"]
     prof = scored.groupBy("clusters").agg(F.count(F.lit(1)).alias("n"), F.avg("view").alias("mean_view"),

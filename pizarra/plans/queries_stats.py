@@ -72,6 +72,19 @@ def q_one_hot(spark, sf):
     return fit.transform(c, keep=["USUARIO", "Porc_act_realizada"])
 
 
+@register("one_hot_sparse", sql=Q.with_(Q.COHORT) + """
+SELECT USUARIO, concat_ws(',', CAST(dense_rank() OVER (ORDER BY ESCALA) - 1 AS VARCHAR),
+       CAST(dense_rank() OVER (ORDER BY NIVEL) - 1 + (SELECT count(DISTINCT ESCALA) FROM cohort) AS VARCHAR)) AS ones,
+       (SELECT count(DISTINCT ESCALA) + count(DISTINCT NIVEL) FROM cohort) AS width
+FROM cohort""")
+def q_one_hot_sparse(spark, sf):
+    """Dummies as positions of the ones, for any number of categories."""
+    c = S.cohort(spark, sf)
+    fit = features.fit_sparse_one_hot(c, ["ESCALA", "NIVEL"])
+    return fit.transform(c).select("USUARIO", F.concat_ws(",", F.col("ones").cast("array<string>")).alias("ones"),
+                                   F.lit(fit.width).cast("long").alias("width"))
+
+
 @register("stratified_split", sql=Q.with_(Q.COHORT) + """
 SELECT USUARIO, CUMPLIMIENTO, row_number() OVER (PARTITION BY CUMPLIMIENTO ORDER BY md5(concat_ws('|', CAST(USUARIO AS VARCHAR), '42')), USUARIO)
        <= floor(CAST(count(*) OVER (PARTITION BY CUMPLIMIENTO) AS DOUBLE) * CAST(0.8 AS DOUBLE)) AS is_train

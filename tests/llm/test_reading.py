@@ -1,5 +1,6 @@
 """Licence texts in a zipped package; captures of one url, read by many tasks."""
 
+import random
 import subprocess
 import sys
 import zipfile
@@ -7,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from pizarra.llm import license_scan, warc
+from pizarra.llm import license_scan, ngram_join, warc
 from pizarra.session import scratch_path
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -38,3 +39,26 @@ def test_pages_of_one_url_are_read_by_many_tasks(spark, monkeypatch):
     first = {r.page_id: r for r in got}
     assert first[45].record_type == "revisit" and first[45].refers_to == 5 and first[5].record_type == "response"
     assert first[399].refers_to == 300
+
+
+def test_a_family_of_near_copies_costs_some_comparisons_each(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 32)
+    counted, write = [], ngram_join.written
+
+    def written(df, name):
+        out = write(df, name)
+        if name == "pairs":
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", written)
+    rng, n = random.Random(4), 300
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        words[rng.randrange(120)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    got = ngram_join.linked_documents(docs_of(rows).repartition(3)).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == n
+    assert sum(counted) <= 12 * n                       # all pairs are 150 times as many as there are documents

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.clustering import KMeans
@@ -138,6 +139,26 @@ def _points(df: DataFrame, cols: Sequence[str], key: Sequence[str]) -> DataFrame
     return fit_table(df.select(x.alias("x"), F.xxhash64(*[qcol(k) for k in key]).alias("_id")), ["_id"])
 
 
+_RACE = pa.schema([("chain", pa.int32()), ("time", pa.float64()), ("x", pa.list_(pa.float64()))])
+
+
+def _decoded(batch, dim: int) -> np.ndarray:
+    """The points of a batch, one row a coordinate."""
+    return np.ascontiguousarray(batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).T)
+
+
+def _nearest(pts: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest center (the first of equals) and the squared distance to it, a center at a time."""
+    best, lab = np.full(pts.shape[1], np.inf), np.zeros(pts.shape[1], np.intp)
+    for c, center in enumerate(centers):
+        dist = (pts[0] - center[0]) ** 2
+        for x, v in zip(pts[1:], center[1:]):
+            dist += (x - v) ** 2
+        near = dist < best
+        best[near], lab[near] = dist[near], c
+    return lab, best
+
+
 def seed_chains(data: DataFrame, k: int, chains: int, seed: int) -> list[np.ndarray]:
     """k-means++ seeding over all rows: ``chains`` sequences of ``k`` centers, each next
     one drawn with probability proportional to the squared distance to the
@@ -147,8 +168,6 @@ def seed_chains(data: DataFrame, k: int, chains: int, seed: int) -> list[np.ndar
     its id, and the smallest wins, so one pass draws a center for all chains and
     only the winners reach the driver.
     """
-    import pandas as pd
-
     spark = data.sparkSession
     dim = len(data.select("x").first()["x"])
     found: list[list[np.ndarray]] = [[] for _ in range(chains)]
@@ -156,11 +175,11 @@ def seed_chains(data: DataFrame, k: int, chains: int, seed: int) -> list[np.ndar
         sent = spark.sparkContext.broadcast([np.array(c) for c in found])
 
         def race(batches, j=j, sent=sent):
-            for pdf in batches:
-                if pdf.empty:
+            for batch in batches:
+                if not batch.num_rows:
                     continue
-                pts = np.stack(pdf["x"].to_numpy())
-                ids = pdf["_id"].to_numpy().astype(np.int64).view(np.uint64)
+                pts = _decoded(batch, dim)
+                ids = batch.column("_id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
                 rows = []
                 for c, centers in enumerate(sent.value):
                     with np.errstate(over="ignore"):
@@ -169,14 +188,14 @@ def seed_chains(data: DataFrame, k: int, chains: int, seed: int) -> list[np.ndar
                         h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
                         h ^= h >> np.uint64(31)
                     u = ((h >> np.uint64(11)).astype(float) + 0.5) / 2.0 ** 53
-                    weight = np.ones(len(pts)) if not len(centers) else ((pts[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2).min(axis=1)
+                    weight = np.ones(len(ids)) if not len(centers) else _nearest(pts, centers)[1]
                     # rows that coincide with a center lose unless all do
                     time = -np.log(u) / np.maximum(weight, 1e-300)
                     best = int(time.argmin())
-                    rows.append((c, float(time[best]), pts[best].tolist()))
-                yield pd.DataFrame(rows, columns=["chain", "time", "x"])
+                    rows.append({"chain": c, "time": float(time[best]), "x": pts[:, best].tolist()})
+                yield pa.RecordBatch.from_pylist(rows, schema=_RACE)
 
-        won = (data.mapInPandas(race, "chain int, time double, x array<double>").groupBy("chain")
+        won = (data.mapInArrow(race, "chain int, time double, x array<double>").groupBy("chain")
                .agg(F.min_by("x", F.struct("time", "x")).alias("x")).collect())   # one row a chain
         for r in won:
             found[r["chain"]].append(np.array(r["x"], dtype=float))
@@ -186,27 +205,25 @@ def seed_chains(data: DataFrame, k: int, chains: int, seed: int) -> list[np.ndar
 def _assign(data: DataFrame, models: dict[int, np.ndarray], dim: int) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """One pass: per model the clusters' sizes and sums and the total cost.  Tasks
     send sums, which Spark adds up; models x clusters rows reach the driver."""
-    import pandas as pd
-
     sent = data.sparkSession.sparkContext.broadcast(models)
+    names = ["m", "c", "n", "cost"] + [f"s{j}" for j in range(dim)]
 
     def step(batches):
-        for pdf in batches:
-            if pdf.empty:
+        sums = {m: np.zeros((dim + 2, len(cen))) for m, cen in sent.value.items()}      # of the whole task
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            pts = np.stack(pdf["x"].to_numpy())
-            rows = []
+            pts = _decoded(batch, dim)
             for m, cen in sent.value.items():
-                dist = ((pts[:, None, :] - cen[None, :, :]) ** 2).sum(axis=2)
-                lab = dist.argmin(axis=1)
-                n = np.bincount(lab, minlength=len(cen))
-                cost = np.bincount(lab, weights=dist[np.arange(len(pts)), lab], minlength=len(cen))
-                sums = [np.bincount(lab, weights=pts[:, j], minlength=len(cen)) for j in range(dim)]
-                rows += [(m, c, int(n[c]), float(cost[c]), *(float(x[c]) for x in sums)) for c in np.flatnonzero(n).tolist()]
-            yield pd.DataFrame(rows, columns=["m", "c", "n", "cost"] + [f"s{j}" for j in range(dim)])
+                lab, dist = _nearest(pts, cen)
+                for j, weights in enumerate((None, dist, *pts)):
+                    sums[m][j] += np.bincount(lab, weights=weights, minlength=len(cen))
+        rows = [(m, c, int(s[0, c]), *s[1:, c].tolist()) for m, s in sums.items() for c in np.flatnonzero(s[0]).tolist()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), [pa.int32(), pa.int32(), pa.int64()] + [pa.float64()] * (dim + 1))], names=names)
 
     schema = "m int, c int, n long, cost double, " + ", ".join(f"s{j} double" for j in range(dim))
-    total = (data.select("x").mapInPandas(step, schema).groupBy("m", "c")
+    total = (data.select("x").mapInArrow(step, schema).groupBy("m", "c")
              .agg(*[F.sum(c).alias(c) for c in ["n", "cost"] + [f"s{j}" for j in range(dim)]]).collect())
     out = {m: (np.zeros(len(c)), np.zeros((len(c), dim)), 0.0) for m, c in models.items()}
     for r in total:

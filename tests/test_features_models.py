@@ -120,3 +120,22 @@ def test_one_hot_refuses_too_many_categories(spark, monkeypatch):
     monkeypatch.setattr(features, "MAX_CATEGORIES", 3)
     with pytest.raises(ValueError):
         features.fit_one_hot(spark.range(4).selectExpr("cast(id as string) as s"), ["s"])
+
+
+def test_nearest_center_a_center_at_a_time_holds_no_points_x_centers_table():
+    import tracemalloc
+
+    import numpy as np
+
+    from pizarra.operators import models
+
+    rng = np.random.default_rng(8)
+    pts = rng.integers(0, 4, (20_000, 3)).astype(float)
+    centers = np.vstack([rng.integers(0, 4, (9, 3)), [[1, 1, 1], [1, 1, 1]]]).astype(float)
+    dist = ((pts[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
+    columns = np.ascontiguousarray(pts.T)
+    tracemalloc.start()
+    lab, best = models._nearest(columns, centers)
+    assert tracemalloc.get_traced_memory()[1] < dist.nbytes
+    tracemalloc.stop()
+    assert (lab == dist.argmin(axis=1)).all() and (best == dist.min(axis=1)).all()

@@ -56,6 +56,38 @@ def test_products_meet_by_chunk_and_slice(spark, monkeypatch):
         assert np.allclose(krylov.gramian_times(sparse, ids, block, True), centred.T @ (centred @ block))
 
 
+def test_packed_rows_multiply_like_the_matrix_in_few_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(u, int(c), float(rng.integers(1, 5))) for u in range(60) for c in rng.choice(31, rng.integers(1, 25), replace=False)]
+    x = np.zeros((60, 31))
+    for u, c, v in rows:
+        x[u, c] = v
+    triples = spark.createDataFrame(rows + [(7, 3, 2.0)] * 2, "u long, c long, v double")      # repeated cells add up
+    x[7, 3] += 4.0
+    sparse = krylov.user_rows(triples.repartition(40), "u", "c", "v").repartition(40)
+    block = rng.standard_normal((31, 4))
+    monkeypatch.setattr(krylov, "PACK_ENTRIES", 20)        # some users have more
+    packed = krylov.packed_rows(sparse, krylov.distinct_items(sparse, 2), False)
+    assert packed.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism and packed.count() > 20
+    assert np.allclose(krylov.packed_times(packed, block), x.T @ (x @ block))
+
+
+def test_best_items_over_many_steps_with_equal_predictions(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    cells = [(u, c, float(rng.integers(1, 5))) for u in range(30) for c in rng.choice(40, 12, replace=False).tolist()]
+    df = spark.createDataFrame(cells, "u long, c long, r double")
+    model = recommend.svd_model(df, "u", "c", "r", rank=2)
+    x = pd.DataFrame(cells, columns=["u", "c", "r"]).pivot(index="u", columns="c", values="r")
+    mean = x.mean(axis=1).to_numpy()[:, None]
+    centred = (x - mean).fillna(0.0).to_numpy()
+    monkeypatch.setattr(recommend, "ITEM_STEP", 3)
+    for digits in (0, 1, 9):                               # no digits: almost all are equal
+        pred = np.rint((centred @ model.basis @ model.basis.T + mean) * 10.0 ** digits) / 10.0 ** digits
+        want = [(u, int(model.items[c]), p + 1) for u in range(30) for p, c in enumerate(np.lexsort((np.arange(len(model.items)), -pred[u]))[:4])]
+        got = recommend.svd_top_k(df, "u", "c", "r", k=4, digits=digits, model=model).collect()
+        assert sorted((r.u, r.c, r["rank"]) for r in got) == sorted(want, key=lambda t: (t[0], t[1], t[2]))
+
+
 def test_items_may_be_text(spark):
     rows = [(u, f"c{(u * k) % 5}", float(u + k)) for u in range(1, 9) for k in (1, 2)]
     pdf = pd.DataFrame(rows, columns=["u", "c", "r"]).drop_duplicates(["u", "c"])

@@ -87,10 +87,11 @@ def _blocks(block_bytes: int):
                 if serial >= 1 << _SERIAL_BITS or len(starts) >= 1 << _CODE_BITS:
                     raise ValueError("a partition has too many blocks, or a text too many words, to be numbered")
                 row = row_of(first)
-                piece = np.cumsum(_PIECE[data], dtype=np.int64)[starts]
+                piece = np.searchsorted(np.flatnonzero(_PIECE[data]), starts)      # nothing wider than a byte for each byte of text
                 new = np.zeros(len(starts), bool)
                 new[1:] = (piece[1:] != piece[:-1]) | (row[1:] != row[:-1])
-                step = 1 + new.astype(np.uint32)
+                pos = _squeezed(1 + new.astype(np.uint32))
+                del piece, new
                 langs = rows.column(0).to_pylist()
                 names = {x: i for i, x in enumerate(dict.fromkeys(langs))}
                 lang = np.array([names[x] for x in langs], _U)[row]
@@ -101,14 +102,18 @@ def _blocks(block_bytes: int):
                 head = at[starts + 8].astype(_U) & at8[np.minimum(size, 8)]
                 tail = at[ends].astype(_U) * (size > 8)
                 check = mix(head ^ mix(tail ^ mix(size.astype(_U) ^ (lang << _U(40)))))
+                del row, size, buf, at, head, tail
                 key = mix(span_hashes(data, starts, ends, lower=False) ^ mix(lang + _U(1)))
                 index, code, counts = _distinct(key, check)
+                del key, check
+                m, code = len(starts), _squeezed(code)
+                starts, ends, lang = starts[index], ends[index], lang[index]
                 raw = data.tobytes()
-                words = [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist())]
-                by_lang = pa.array(list(names), pa.string()).take(pa.array(lang[index].astype(np.int64)))
+                words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+                by_lang = pa.array(list(names), pa.string()).take(pa.array(lang.astype(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([(task << _SERIAL_BITS) + serial], pa.int64()), pa.array([len(starts)], pa.int32()),
-                     pa.array([_squeezed(step)], pa.binary()), pa.array([_squeezed(code)], pa.binary()),
+                    [pa.array([(task << _SERIAL_BITS) + serial], pa.int64()), pa.array([m], pa.int32()),
+                     pa.array([pos], pa.binary()), pa.array([code], pa.binary()),
                      _one_list(by_lang), _one_list(pa.array(words, pa.binary()).cast(pa.string())), _one_list(pa.array(counts.astype(np.int64)))],
                     names=["block", "m", "pos", "code", "langs", "words", "counts"])
                 serial += 1

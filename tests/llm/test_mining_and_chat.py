@@ -259,3 +259,20 @@ def test_chats_of_nothing_and_the_probe(spark):
 def test_chat_formatting_is_native(spark):
     plan = cf.chat_report(convs(spark, [(1, 0, "user", "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_block_of_texts_takes_little_memory(monkeypatch):
+    import tracemalloc
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(co, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"word{w}" for w in rng.integers(0, 2000, 4000)) + "." for _ in range(60)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    size = sum(map(len, texts))
+    list(co._blocks(size)(iter([batch])))           # tables that the process keeps
+    tracemalloc.start()
+    rows = list(co._blocks(size)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r.column(1).to_pylist() for r in rows] == [[240_000]] and peak < 18 * size, peak / size

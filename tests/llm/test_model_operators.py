@@ -394,9 +394,9 @@ def test_toxicity_without_labels_or_rows(docs_of, labels_of):
 def test_all_eleven_are_registered_and_sql_matches_on_the_small_tables(spark):
     names = [n for n in E.queries() if re.match(r"op\d+_|pipeline$", n)]
     assert sorted(names, key=lambda n: int(re.sub(r"\D", "", n) or 0)) == ["pipeline"] + sorted((n for n in names if n != "pipeline"), key=lambda n: int(re.findall(r"\d+", n)[0]))
-    assert len(names) == 11
+    assert len(names) == 14
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in E.oracle_sql().items():
         if re.match(r"op\d+_", name):

@@ -41,7 +41,8 @@ _U = np.uint64
 _WORDS = "block long, m int, pos binary, code binary, langs array<string>, words array<string>, counts array<long>"
 _RELATION = "block long, m int, pos binary, code binary, ids array<long>"
 _SENT = "bucket long, m int, data binary"
-_FOUND = "ref long, id long, a long, id1 long, id2 long"
+_FOUND = "block long, m int, data binary, id long, a long, id1 long, id2 long"
+_ENTRY_BYTES = 12          # of a frequent phrase in a block: its code there and its number
 
 
 def _squeezed(a: np.ndarray) -> bytes:
@@ -179,8 +180,26 @@ def _unpacked(data: bytes, m: int) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, 8, m).transpose(0, 2, 1)).view(np.int64).reshape(4, m)
 
 
+def _entries(code: np.ndarray, ids: np.ndarray) -> bytes:
+    """Codes in a block and the phrases' numbers, their bytes by place, compressed."""
+    raw = np.vstack([code.astype(np.int32).view(np.uint8).reshape(-1, 4).T, ids.astype(np.int64).view(np.uint8).reshape(-1, 8).T])
+    return pa.compress(raw.tobytes(), codec="zstd", asbytes=True)
+
+
+def _entries_of(parts: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of a block from all buckets: codes and numbers."""
+    codes, ids = [], []
+    for part in parts:
+        m = part["m"]
+        raw = np.frombuffer(pa.decompress(part["data"], _ENTRY_BYTES * m, codec="zstd", asbytes=True), np.uint8).reshape(_ENTRY_BYTES, m)
+        codes.append(np.ascontiguousarray(raw[:4].T).view(np.int32).ravel())
+        ids.append(np.ascontiguousarray(raw[4:].T).view(np.int64).ravel())
+    return np.concatenate(codes), np.concatenate(ids)
+
+
 def _frequent_pairs(min_count: int):
-    """Rows of ``_FOUND``: the group counts of a bucket's phrases, and which are frequent."""
+    """Rows of ``_FOUND``: the group counts of a bucket's phrases, and which are frequent.  A frequent
+    phrase has one row with its number, count and parts; its entries in the blocks go packed, one row a block."""
     def settle(blobs: list):
         id1, id2, ref, n = np.concatenate(blobs, axis=1)
         order = np.lexsort((ref, id2, id1))
@@ -188,12 +207,22 @@ def _frequent_pairs(min_count: int):
         new = np.append(True, (id1[1:] != id1[:-1]) | (id2[1:] != id2[:-1]))
         at = np.flatnonzero(new)
         size, total = np.diff(np.append(at, len(new))), np.add.reduceat(n, at)
-        keep = np.repeat(total >= min_count, size)
-        lead = new[keep]
-        cols = [np.repeat(total, size)[keep], id1[keep], id2[keep]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ref[keep]), pa.array(np.repeat(ref[at], size)[keep]), *[pa.array(c, mask=~lead) for c in cols]],
-            names=["ref", "id", "a", "id1", "id2"])
+        often = total >= min_count
+        if not often.any():
+            return
+        lead, keep = at[often], np.repeat(often, size)
+        whose, entry = np.repeat(ref[at], size)[keep], ref[keep]
+        by_block = np.argsort(entry)
+        whose, entry = whose[by_block], entry[by_block]
+        block, code = entry >> _CODE_BITS, entry & ((1 << _CODE_BITS) - 1)
+        cut = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block)).tolist()
+        n_blocks, n_leads = len(cut) - 1, len(lead)
+        packed = [pa.array(block[cut[:-1]]), pa.array(np.diff(cut).astype(np.int32)),
+                  pa.array([_entries(code[a:b], whose[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())]
+        names = ["block", "m", "data", "id", "a", "id1", "id2"]
+        yield pa.RecordBatch.from_arrays(packed + [pa.nulls(n_blocks, pa.int64())] * 4, names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(n_leads, x.type) for x in packed] + [
+            pa.array(c) for c in (ref[lead], total[often], id1[lead], id2[lead])], names=names)
         release()
 
     def run(batches):
@@ -229,16 +258,19 @@ def _kept(pos: np.ndarray, code: np.ndarray, codes: np.ndarray, ids: np.ndarray)
 
 
 def _semi_joined(extend: bool):
-    """The next relation from a relation (``extend``: its merge join) and the block's frequent phrases."""
+    """The next relation from a relation (``extend``: its merge join) and the block's frequent phrases:
+    words by lists of codes and numbers, longer ones packed."""
     def run(batches):
-        for block, m, pos, code, codes, ids in _rows(batches, 6):
+        for block, m, pos, code, *found in _rows(batches, 5 if extend else 6):
             pos, code = _positions(pos, m), _opened(code, m)
             if extend:
                 at, pair = _adjacent(pos, code)
                 _, code = np.unique(pair, return_inverse=True)
                 pos = pos[at]
-            codes = codes.values.to_numpy(zero_copy_only=False)
-            pos, code, ids = _kept(pos, code, codes, ids.values.to_numpy(zero_copy_only=False))
+                codes, new_ids = _entries_of(found[0].as_py())
+            else:
+                codes, new_ids = (x.values.to_numpy(zero_copy_only=False) for x in found)
+            pos, code, ids = _kept(pos, code, codes, new_ids)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([len(pos)], pa.int32()), pa.array([_squeezed(np.diff(pos, prepend=0))], pa.binary()),
                  pa.array([_squeezed(code)], pa.binary()), _one_list(pa.array(ids))], names=["block", "m", "pos", "code", "ids"])
@@ -261,6 +293,10 @@ def _by_block(frequent: DataFrame) -> DataFrame:
         "block", F.col("e.code").alias("codes"), F.col("e.id").alias("new_ids"))
 
 
+def _packed_by_block(found: DataFrame) -> DataFrame:
+    return found.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("m", "data")).alias("entries"))
+
+
 def frequent_phrases(docs: DataFrame, tables: Tables, lang_col: str = "lang", text_col: str = "text", min_count: int = MIN_COUNT,
                      max_words: int = MAX_WORDS) -> tuple[list[DataFrame], DataFrame]:
     """Tables of the frequent phrases of 1 to ``max_words`` words, and each language's number of words.
@@ -283,16 +319,17 @@ def frequent_phrases(docs: DataFrame, tables: Tables, lang_col: str = "lang", te
     phrases, relation = [tables.write("phrases1", one)], blocks
     for k in range(2, max_words + 1):
         with arrow_rows(spark, 1):       # a row is a block
-            joined = relation.select("block", "m", "pos", "code").join(_by_block(found).hint("shuffle_hash"), "block")
+            by_block = _by_block(found) if k == 2 else _packed_by_block(found)
+            joined = relation.select("block", "m", "pos", "code").join(by_block.hint("shuffle_hash"), "block")
             old = f"relation{k - 2}"
-            relation = tables.write(f"relation{k - 1}", joined.select("block", "m", "pos", "code", "codes", "new_ids").mapInArrow(
+            relation = tables.write(f"relation{k - 1}", joined.select("block", "m", "pos", "code", *by_block.columns[1:]).mapInArrow(
                 _semi_joined(extend=k > 2), _RELATION))
             tables.drop("blocks" if k == 2 else old, f"found{k - 1}")
             found = tables.write(f"found{k}", _counted(relation, min_count))
         before = phrases[-1]
         head = before.select(F.col("id").alias("id1"), "lang", F.col("phrase").alias("first_words"), "heads")
         tail = before.select(F.col("id").alias("id2"), "last", "tails")
-        longer = found.where("ref = id").select("id", "id1", "id2", "a").join(head, "id1").join(tail, "id2").select(
+        longer = found.where("id is not null").select("id", "id1", "id2", "a").join(head, "id1").join(tail, "id2").select(
             "id", "lang", F.concat_ws(" ", "first_words", "last").alias("phrase"), "last", "a",
             F.concat("heads", F.array("a")).alias("heads"), F.concat("tails", F.array("a")).alias("tails"), "id1", "id2")
         phrases.append(tables.write(f"phrases{k}", longer))

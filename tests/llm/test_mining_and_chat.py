@@ -78,6 +78,23 @@ def test_collocations_match_brute_force(spark, monkeypatch, min_count, max_words
     assert sorted(tuple(r) for r in got.collect()) == collocations_by_hand(rows, min_count, max_words, top, co.INSIDE_PERCENT)
 
 
+def test_entries_of_a_block_make_no_rows_each(spark, monkeypatch):
+    """The frequent phrases' entries in the blocks are packed: rows by phrase and by block and bucket, not by entry."""
+    monkeypatch.setattr(co, "BLOCK_BYTES", 4000)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(20)]
+    rows = [("en", "s", " ".join(rng.choice(words) for _ in range(700))) for _ in range(24)]
+    tables = co.Tables(spark, "collocations-test")
+    made, write = {}, tables.write
+    monkeypatch.setattr(tables, "write", lambda name, df: made.setdefault(name, (write(name, df), write(f"{name}-kept", df)))[0])
+    co.frequent_phrases(table(spark, rows).repartition(3), tables, min_count=5, max_words=2)
+    found = made["found2"][1]
+    entries = len({(i, p) for i, r in enumerate(rows) for w in [r[2].split()] for p in zip(w, w[1:])})
+    assert found.where("id is not null").count() == 400 and entries > 7000
+    assert found.where("block is not null").agg({"m": "sum"}).first()[0] == entries
+    assert found.count() <= 400 + 24 * 8
+
+
 def test_collocations_of_nothing(spark):
     assert co.collocations(table(spark, []), min_count=1).count() == 0
     assert co.collocations(table(spark, [("en", "s", None), ("en", "s", " . ,\n")]), min_count=1).count() == 0

@@ -139,3 +139,19 @@ def test_nearest_center_a_center_at_a_time_holds_no_points_x_centers_table():
     assert tracemalloc.get_traced_memory()[1] < dist.nbytes
     tracemalloc.stop()
     assert (lab == dist.argmin(axis=1)).all() and (best == dist.min(axis=1)).all()
+
+
+def test_boosting_passes_have_a_task_a_core(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(5000).selectExpr("id AS i", "id % 7 AS x")
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(4 * cores))
+    try:
+        table = models.boosting_table(df, ["i"])
+        assert table.rdd.getNumPartitions() == cores
+        assert table.agg({"i": "sum", "x": "sum"}).first() == df.agg({"i": "sum", "x": "sum"}).first()
+        monkeypatch.setattr(models, "BOOST_ROWS", 5000 // (2 * cores))          # many rows: more tasks
+        assert 2 * cores <= models.boosting_table(df, ["i"]).rdd.getNumPartitions() <= 4 * cores
+    finally:
+        spark.conf.set(key, before)

@@ -41,7 +41,7 @@ SALTS = 16               # tasks that a group's members are dealt to
 FILTER_BITS = 1 << 27    # of the broadcast filter: 16 MB; a fuller one only lets more through
 
 _U = np.uint64
-_SIGN = np.dtype([("key", _U), ("node", _U)])
+_SIGN = np.dtype([("low", np.uint32), ("mid", np.uint8), ("node", _U)])   # a key's lower 40 bits: of the others a bucket's keys have most in common
 
 
 def _bands(top: int) -> np.ndarray:
@@ -189,8 +189,7 @@ def _signed(slim: DataFrame, n_buckets: int) -> DataFrame:
 
     def send(held: list, docs: list, sketches: list):
         if docs:
-            x = np.concatenate(held)
-            yield pack(x, bucket_of(x["key"], n_buckets))
+            yield pack(*(np.concatenate(z) for z in zip(*held)))
             yield _pack_docs(np.concatenate(docs), sketches, n_buckets)
 
     def sign(batches):
@@ -214,8 +213,8 @@ def _signed(slim: DataFrame, n_buckets: int) -> DataFrame:
                 kept = np.flatnonzero(use)
                 keys, owner = signatures(elements[at], np.concatenate([[0], np.cumsum(np.diff(cut)[kept])]))
                 x = np.empty(len(keys), _SIGN)
-                x["key"], x["node"] = keys, node[kept][owner]
-                held.append(x)
+                x["low"], x["mid"], x["node"] = keys & _U(0xFFFFFFFF), keys >> _U(32) & _U(0xFF), node[kept][owner]
+                held.append((x, bucket_of(keys, n_buckets)))
                 count += len(x)
                 if count >= FLUSH:
                     yield from send(held, docs, sketches)
@@ -231,24 +230,25 @@ def _signed(slim: DataFrame, n_buckets: int) -> DataFrame:
                      pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], schema=_ROW)
             return
         x = np.concatenate([unpack(b, _SIGN) for b in blobs])
-        order = np.argsort(x["key"])
-        key = x["key"][order]
+        key = x["mid"].astype(_U) << _U(32) | x["low"]
+        order = np.argsort(key)
+        key = key[order]
         twin = np.append(key[1:] == key[:-1], False)
         twin[1:] |= twin[:-1].copy()
-        x = x[order[twin]]
-        x = x[np.lexsort((x["node"], x["key"]))]
-        x = x[np.append(True, (x["key"][1:] != x["key"][:-1]) | (x["node"][1:] != x["node"][:-1]))[:len(x)]]
-        if not len(x):
+        key, nodes = key[twin], x["node"][order[twin]]
+        order = np.lexsort((nodes, key))
+        key, nodes = key[order], nodes[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (nodes[1:] != nodes[:-1]))[:len(key)]
+        key, nodes = key[new], nodes[new]
+        if not len(key):
             return
-        first = np.flatnonzero(np.append(True, x["key"][1:] != x["key"][:-1]))
-        size = np.diff(np.append(first, len(x)))
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(first, len(key)))
         many = size > 1
-        keep = np.repeat(many, size)
-        x, size = x[keep], size[many]
-        if not len(x):
+        nodes, size = nodes[np.repeat(many, size)], size[many]
+        if not len(nodes):
             return
         # equal groups of several keys go on once; long groups in chunks that name the group and its first member
-        nodes = x["node"]
         start = np.cumsum(size) - size
         with np.errstate(over="ignore"):
             name = mix(np.add.reduceat(mix(nodes), start) ^ size.astype(_U))   # equal groups have equal names
@@ -281,9 +281,10 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def _sets_of(slim: DataFrame, ids: DataFrame) -> DataFrame:
-    """``node, doc_id, elements`` of the documents in ``ids`` and a few others: the filter
-    spares all other texts the work and the shuffle."""
+def _texts_of(slim: DataFrame, ids: DataFrame) -> DataFrame:
+    """``node, doc_id, text`` of the documents in ``ids`` and a few others: the filter
+    spares all other texts the work and the shuffle.  A text travels as it is: it compresses, the hashes
+    of its set, eight bytes a word, don't."""
     bits = slim.sparkSession.sparkContext.broadcast(_filter_of(ids))
 
     def compute(batches):
@@ -291,13 +292,10 @@ def _sets_of(slim: DataFrame, ids: DataFrame) -> DataFrame:
             at = batch.column(0).to_numpy(zero_copy_only=False) & (FILTER_BITS - 1)
             batch = batch.filter(pa.array((bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
             for rows, data, off in slices(batch, 1):
-                elements, cut = shingle_sets(data, off)
-                ends = cut.tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(set_nodes(elements, cut).view(np.int64)), rows.column(0),
-                     pa.array([elements[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())], names=["node", "doc_id", "elements"])
+                yield pa.RecordBatch.from_arrays([pa.array(set_nodes(*shingle_sets(data, off)).view(np.int64)), *rows.columns],
+                                                 names=["node", "doc_id", "text"])
 
-    return slim.where("id is not null").mapInArrow(compute, "node long, doc_id long, elements binary")
+    return slim.where("id is not null").mapInArrow(compute, "node long, doc_id long, text string")
 
 
 def similar(a: int, b: int, shared: int) -> bool:
@@ -306,31 +304,34 @@ def similar(a: int, b: int, shared: int) -> bool:
 
 def _verified(pairs: DataFrame, info: DataFrame, slim: DataFrame) -> DataFrame:
     """Those of ``pairs (u, v)`` whose sets are similar.  The sets of all ``v`` meet their
-    ``u`` in sorted runs, so a task holds two sets; a ``u`` of very many is dealt by a salt."""
+    ``u`` in sorted runs, so a task holds a slice of texts and one set; a ``u`` of very many is dealt by a salt."""
     n = shuffle_partitions(pairs.sparkSession)
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(n)).cast("int"))
     roles = salted.select(F.col("v").alias("node"), F.col("u").alias("run"), "salt", F.lit(1).alias("role")).unionByName(
         salted.select(F.col("u").alias("node"), F.col("u").alias("run"), "salt", F.lit(0).alias("role")).distinct())
     roles = written(roles.join(info.select("node", "doc_id"), "node"), "roles")
-    sets = _sets_of(slim, roles.select("doc_id").distinct())
-    met = sets.join(roles.hint("shuffle_hash"), ["node", "doc_id"]).repartition(n, "run", "salt").sortWithinPartitions("run", "salt", "role")
+    texts = _texts_of(slim, roles.select("doc_id").distinct())
+    met = texts.join(roles.hint("shuffle_hash"), ["node", "doc_id"]).repartition(n, "run", "salt").sortWithinPartitions("run", "salt", "role")
 
     def compare(batches):
         run, held = None, None
         for batch in batches:
             u, v = [], []
-            for key, salt, role, node, blob in zip(*(batch.column(k) for k in range(5))):
-                key, salt, node, x = key.as_py(), salt.as_py(), node.as_py(), np.frombuffer(blob.as_py(), _U)
-                if not role.as_py():
-                    run, held = (key, salt), x
-                elif (key, salt) == run:
-                    at = np.minimum(np.searchsorted(held, x), len(held) - 1)
-                    if similar(len(held), len(x), int((held[at] == x).sum())):
-                        u.append(key)
-                        v.append(node)
+            for rows, data, off in slices(batch, 4):
+                elements, cut = shingle_sets(data, off)
+                ends = cut.tolist()
+                for key, salt, role, node, a, b in zip(*(rows.column(k).to_pylist() for k in range(4)), ends, ends[1:]):
+                    x = elements[a:b]
+                    if not role:
+                        run, held = (key, salt), x
+                    elif (key, salt) == run:
+                        at = np.minimum(np.searchsorted(held, x), len(held) - 1)
+                        if similar(len(held), len(x), int((held[at] == x).sum())):
+                            u.append(key)
+                            v.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return met.select("run", "salt", "role", "node", "elements").mapInArrow(compare, "u long, v long")
+    return met.select("run", "salt", "role", "node", "text").mapInArrow(compare, "u long, v long")
 
 
 def _plausible(pairs: DataFrame, info: DataFrame) -> DataFrame:
@@ -372,13 +373,15 @@ def _crossing(groups: DataFrame, roots: DataFrame, info: DataFrame, tried: DataF
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
     blocks = rows.groupBy("grp", "block").agg(F.collect_list(F.struct("node", "root", "n", "sketch", "done")).alias("x"),
                                               F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("nb").alias("nb"))
+    if turn:                              # three readers of one shuffle: through this no filter or choice of columns makes it three
+        blocks = blocks.mapInArrow(lambda batches: batches, blocks.schema)
     both = blocks.where("lo < hi").select("grp", F.lit(0).alias("step"), "x", F.col("x").alias("y"))
     far = (1 << turn) - 1                 # the farthest block of this turn; half the circle meets all
     if far:
         step = F.explode(F.sequence(F.lit(1), F.least(F.lit(far), F.floor(F.col("nb") / 2).cast("int")))).alias("step")
         left = blocks.where("nb > 1").select("grp", "x", "lo", "hi", "block", "nb", step).select(
             "grp", "x", "lo", "hi", "step", F.pmod(F.col("block") + F.col("step"), F.col("nb")).alias("block"))
-        other = blocks.select("grp", "block", F.col("x").alias("y"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+        other = blocks.where("nb > 1").select("grp", "block", F.col("x").alias("y"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
         both = both.unionByName(left.join(other, ["grp", "block"]).where("least(lo, lo2) < greatest(hi, hi2)").select("grp", "step", "x", "y"))
     met = F.when(F.col("step") == 0, 0).otherwise(F.ceil(F.log2(F.col("step") + 1))).cast("int")
     near = F.least(F.lit(NEAR) * F.pow(F.lit(MORE), F.lit(turn) - met), F.lit(1 << 30)).cast("int")

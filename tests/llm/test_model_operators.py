@@ -115,6 +115,24 @@ def test_rounds_go_on_where_blocks_exceed_their_size(docs_of, monkeypatch):
     assert left[0] > 0 and left[-1] == 0                 # at the end no group has pairs that weren't compared
 
 
+def test_what_travels_is_small(spark, docs_of, monkeypatch):
+    assert nj._SIGN.itemsize == 13                       # of a signature: 40 bits of its key, and its set
+    slim = docs_of([(1, "a b c d e f"), (2, "g h i j k l")]).select("doc_id", "text").toDF("id", "text")
+    texts = nj._texts_of(slim, spark.createDataFrame([(1,), (2,)], "doc_id long"))
+    assert sorted((r.doc_id, r.text) for r in texts.collect()) == [(1, "a b c d e f"), (2, "g h i j k l")]
+    # the blocks of a later turn: one shuffle has the members, whoever reads them
+    monkeypatch.setattr(nj, "BLOCK", 2)
+    groups = spark.createDataFrame([(5, [1, 2, 3, 4, 5, 6])], "grp long, members array<long>")
+    roots = spark.createDataFrame([], "node long, root long")
+    sketch = bytearray(nj.parity_sketch(stream(7, 40)))
+    info = spark.createDataFrame([(i, i, 40, sketch) for i in range(1, 7)], "node long, doc_id long, n long, sketch binary")
+    found = nj._crossing(groups, roots, info, spark.createDataFrame([], "u long, v long"), 1)
+    assert {(r.u, r.v) for r in found.where("u is not null").collect()} >= {(i, j) for i in range(1, 7) for j in range(i + 1, 7)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    folded = [line for line in plan.splitlines() if "collect_list(" in line and "sketch" in line]
+    assert len(folded) == 3 and len({re.sub(r"#\d+L?", "", line).lstrip(" :+-") for line in folded}) == 1
+
+
 def test_every_similar_pair_shares_a_signature():
     rng = np.random.default_rng(4)
     missed = tried = 0
